@@ -85,19 +85,24 @@ def train(documents: DataFrame, labels: DataFrame, keep=None, bits: int = BITS,
     return model.weights().astype(np.float32)
 
 
-def score(documents: DataFrame, weights: np.ndarray, bits: int = BITS) -> DataFrame:
+def _probabilities(s, weights: np.ndarray) -> np.ndarray:
+    """Probability of label 1 of each document of the slice: the sparse dot product of its shares and the weights."""
+    doc, bucket = grams(s, (len(weights) - 1).bit_length() - 1)
+    n = np.bincount(doc, minlength=s.n)
+    x = SCALE * np.bincount(doc, weights=weights[bucket], minlength=s.n) / np.maximum(n, 1) + weights[-1]
+    return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
+
+
+def score(documents: DataFrame, weights: np.ndarray) -> DataFrame:
     """doc_id and score (probability of label 1) of every document, from its whole text; null and empty texts get the bias alone."""
     w = documents.sparkSession.sparkContext.broadcast(weights)
 
     def dot(batches):
         for batch in batches:
-            out = []
+            out = [np.zeros(0)]
             for s in slices(as_bytes(batch.column(1))):
-                doc, bucket = grams(s, bits)
-                n = np.bincount(doc, minlength=s.n)
-                out.append(SCALE * np.bincount(doc, weights=w.value[bucket], minlength=s.n) / np.maximum(n, 1) + w.value[-1])
-            p = 1 / (1 + np.exp(-np.clip(np.concatenate(out), -35, 35)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p)], names=["doc_id", "score"])
+                out.append(_probabilities(s, w.value))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(out))], names=["doc_id", "score"])
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     return documents.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(dot, f"doc_id {kind}, score double")
@@ -111,3 +116,18 @@ def classify(documents: DataFrame, labels: DataFrame, threshold: float = 0.3) ->
     weights = train(documents, labels, fold("doc_id", 5) != 0)
     out = score(documents, weights)
     return out.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def accepted(documents: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
+    """The rows of documents whose text scores at least the threshold, all columns; trained on all labels."""
+    w = documents.sparkSession.sparkContext.broadcast(train(documents, labels))
+    at = documents.columns.index("text")
+
+    def keep(batches):
+        for batch in batches:
+            chosen = [np.zeros(0, bool)]
+            for s in slices(as_bytes(batch.column(at))):
+                chosen.append(_probabilities(s, w.value) >= threshold)
+            yield batch.filter(pa.array(np.concatenate(chosen)))
+
+    return documents.mapInArrow(keep, documents.schema)
