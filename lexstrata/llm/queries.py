@@ -7,28 +7,53 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, quality_classifier, quality_rules, secret_scan
+from . import html_text, language_id, max_score, mixing, ngram_join, packing, quality_classifier, quality_rules, secret_scan, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the rows that are not held out."""
+    return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op2_max_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best vectors for every query, by integer inner product."""
+    return max_score.search(_table(spark, sf_dir, "embeddings"))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document, by the combined automaton over all rules."""
     return secret_scan.digest(secret_scan.find_secrets(_table(spark, sf_dir, "documents")))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the rows that are not held out."""
+    return language_id.identify(_table(spark, sf_dir, "documents"))
+
+
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document: doc_id, size, source_size, target, taken."""
     return mixing.mixed_rows(_table(spark, sf_dir, "documents"))
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under a Jaccard similarity of 0.85 of four-word shingles."""
+    return ngram_join.ngram_components(_table(spark, sf_dir, "documents"), k=4, num=85, den=100)
+
+
 def op7_length_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bucket, batch and slot of every piece of every document."""
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text of every page, as laid out."""
+    return html_text.extract(_table(spark, sf_dir, "pages"))
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, learned from the rows that are not held out."""
     return quality_classifier.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
@@ -102,15 +127,40 @@ q as (select *, greatest(0, least(upto, place + words) - place) + greatest(0, le
 select doc_id, size, source_size, target, cast(all_taken // copies as bigint) as taken from (select *, unnest(range(copies)) as c from q)"""
 
 
+_OP2_SQL = """
+with v as (select cast(vec_id as bigint) as vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as v from embeddings
+    where vec_id is not null and embedding is not null and coalesce(list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(cast(x as double)))), true)),
+s as (select q.vec_id as query_id, c.vec_id, cast(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) as bigint) as score
+    from v q join v c on q.vec_id % 20 = 0 and c.vec_id <> q.vec_id and len(c.v) = len(q.v))
+select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, score from s
+qualify row_number() over (partition by query_id order by score desc, vec_id) <= 20"""
+
+# Brute force over the pairs that share a shingle; components by walking links.
+_OP6_SQL = r"""
+with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') as ws from documents),
+sets as materialized (select doc_id, list_distinct(case when len(ws) = 0 then [] when len(ws) < 4 then [array_to_string(ws, ' ')]
+    else list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' ')) end) as g from w),
+t as materialized (select doc_id, unnest(g) as g, len(g) as n from sets),
+o as (select a.doc_id as x, b.doc_id as y, any_value(a.n) as nx, any_value(b.n) as ny, count(*) as both_ from t a join t b on a.g = b.g and a.doc_id < b.doc_id group by a.doc_id, b.doc_id),
+l as materialized (select x, y from o where 100 * both_ >= 85 * (nx + ny - both_) union all select y, x from o where 100 * both_ >= 85 * (nx + ny - both_)),
+r(doc_id, reach) as (select doc_id, doc_id from sets union select r.doc_id, l.y from r join l on l.x = r.reach)
+select sets.doc_id, cast(any_value(len(g)) as bigint) as n_shingles, min(reach) as component_id from sets join r on r.doc_id = sets.doc_id group by sets.doc_id"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_toxicity": op1_toxicity,
+        "op2_max_score": op2_max_score,
         "op3_secret_scan": op3_secret_scan,
+        "op4_language_id": op4_language_id,
         "op5_source_mix": op5_source_mix,
+        "op6_ngram_join": op6_ngram_join,
         "op7_length_packing": op7_length_packing,
+        "op8_html_text": op8_html_text,
         "op9_quality_classifier": op9_quality_classifier,
         "op10_quality_rules": op10_quality_rules,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_secret_scan": _op3_sql(), "op5_source_mix": _op5_sql()}
+    return {"op2_max_score": _OP2_SQL, "op3_secret_scan": _op3_sql(), "op5_source_mix": _op5_sql(), "op6_ngram_join": _OP6_SQL}

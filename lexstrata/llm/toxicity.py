@@ -2,13 +2,15 @@
 
 Units of a sentence are its words; runs of single letters ("i d i o t") are one unit. The kernel compares two units by
 the subsequences of three characters they share, each weighted by LAMBDA per character that it spans and with up to two
-characters skipped between its members, so inserted characters ("i-d.i_o.t") and gaps leave most of it. Units carry
+characters skipped between its members, so inserted letters and gaps leave most of it; signs and digits within a
+word are skipped. Units carry
 marks at both ends. Kernel values are normalised to 1 for equal units.
 
 The machine works on the Nystroem features of a unit: its kernel with each landmark, times the inverse root of the
-landmarks' kernel. A sentence is as toxic as its worst unit and a text as its worst sentence, so training is by
-witnesses: of a toxic text, the unit that the current machine finds worst; of clean texts, all units, the hardest ones
-found again in every round.
+landmarks' kernel. A sentence is as toxic as its worst units are, and a text as its sentences, so training is by
+witnesses: of a toxic text, the units that the current machine finds worst; of clean texts, all units, the hardest ones
+found again in every round. The probability comes from a text's WORST largest values by logistic regression (by chance
+some invented word of a clean text may look like an insult, two hardly do).
 
 The kernel is a dot product over subsequences. All landmarks' weights therefore fold into one table with an entry for
 each subsequence, exactly; scoring a text is a sum over table entries, whatever the number of landmarks.
@@ -16,6 +18,8 @@ each subsequence, exactly; scoring a text is a sum over table entries, whatever
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,16 +30,24 @@ from .quality_classifier import labelled_sample
 
 #: Characters are told apart by 6 bits; a subsequence is three of them.
 ALPHABET = 64
-LAMBDA = 0.6
+LAMBDA = 0.8
 GAPS = (1, 2, 3)
 #: Labelled rows that are learned from, at most; characters of each unit that training looks at; landmarks.
 SAMPLE = 12000
-LANDMARKS = 240
+LANDMARKS = 400
 ROUNDS = 4
+#: Units of a toxic text that are learned as toxic; worst units that a text's probability looks at, and what their values are cut to.
+WITNESSES, WORST = 4, 2
+LOW, HIGH = -2.0, 2.0
+#: Weight of a toxic unit with an inserted letter; clean ones have 1.
+GAPPED = 0.1
+#: Power of a unit's norm that its kernel values are divided by.
+NORM = 0.5
 #: Bytes that are scored together.
 TOGETHER = 1 << 17
 
 _MARK = 1
+_JUNK = re.compile(r"[!-@\[-`{-~]+")
 
 
 def _code(c: int) -> int:
@@ -69,6 +81,9 @@ class Units:
         codes = encode("\n".join(texts) + "\n")
         lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
         ends = np.cumsum(lengths)
+        # Other characters of a word than letters are left out, not taken for ends.
+        at = np.flatnonzero((codes < 28) | (codes > 31))
+        codes, ends = codes[at], np.searchsorted(at, ends)
         letter = codes != 0
         edge = np.diff(np.concatenate(([0], letter.view(np.int8), [0])))
         start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
@@ -98,47 +113,44 @@ class Units:
                 at = np.flatnonzero(u[g + h :] == u[:n])
                 yield (c[at] * ALPHABET + c[at + g]) * ALPHABET + c[at + g + h], np.float32(LAMBDA ** (g + h)), u[at]
 
-    def norms(self) -> np.ndarray:
-        """Roots of the units' kernels with themselves."""
-        size = ALPHABET**3
-        keys, weights = [], []
-        for s, w, u in self.triples():
-            keys.append(u.astype(np.int64) * size + s), weights.append(np.full(len(u), w))
-        if not keys:
-            return np.ones(self.n)
-        found, at = np.unique(np.concatenate(keys), return_inverse=True)
-        total = np.bincount(at, weights=np.concatenate(weights))
-        return np.sqrt(np.maximum(np.bincount(found // size, weights=total * total, minlength=self.n), 1e-12))
-
-    def vectors(self) -> list[dict[int, float]]:
-        out: list[dict[int, float]] = [{} for _ in range(self.n)]
-        for s, w, u in self.triples():
-            for a, b in zip(s.tolist(), u.tolist(), strict=True):
-                out[b][a] = out[b].get(a, 0.0) + float(w)
-        return out
-
     def apply(self, table: np.ndarray) -> np.ndarray:
         """Sum over each unit's subsequences of weight times table entry, over the unit's norm."""
         total = np.zeros(self.n)
         for s, w, u in self.triples():
             total += w * np.bincount(u, weights=table[s], minlength=self.n)
-        return total / self.quick_norms()
+        return total / self.norms()
 
-    def quick_norms(self) -> np.ndarray:
-        """The norms, without counting a subsequence that recurs within a unit as one; for units without recurring ones they are equal."""
+    def norms(self) -> np.ndarray:
+        """What kernel values are divided by: the unit's norm (of subsequences taken by place) to the power NORM."""
         total = np.zeros(self.n)
         for s, w, u in self.triples():
             total += float(w) ** 2 * np.bincount(u, minlength=self.n)
-        return np.sqrt(np.maximum(total, 1e-12))
+        return np.maximum(total, 1e-12) ** (NORM / 2)
+
+
+def _kernel(units: Units, marks: np.ndarray, column: np.ndarray, block: int = 1000) -> np.ndarray:
+    """Kernel of each unit with each landmark. marks: the landmarks' subsequences (rows) by column; column: of each subsequence, or -1."""
+    norm, out = units.norms(), np.zeros((units.n, len(marks)))
+    triples = [(column[s], w, u) for s, w, u in units.triples()]
+    for a in range(0, units.n, block):
+        dense = np.zeros((min(block, units.n - a), marks.shape[1]), np.float32)
+        for c, w, u in triples:
+            lo, hi = np.searchsorted(u, (a, a + block))
+            known = c[lo:hi] >= 0
+            np.add.at(dense, (u[lo:hi][known] - a, c[lo:hi][known]), w)
+        out[a : a + len(dense)] = (dense @ marks.T) / norm[a : a + len(dense), None]
+    return out
 
 
-def _dense(vectors, keys: dict[int, int]) -> np.ndarray:
-    out = np.zeros((len(vectors), len(keys)), np.float32)
-    for i, v in enumerate(vectors):
-        for s, w in v.items():
-            if s in keys:
-                out[i, keys[s]] = w
-    return out
+def _marks(units: Units) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Normalised subsequences of landmarks (rows), the subsequences that columns stand for, and each one's column."""
+    keys = np.unique(np.concatenate([s for s, _, _ in units.triples()]))
+    column = np.full(ALPHABET**3, -1, np.int64)
+    column[keys] = np.arange(len(keys))
+    dense = np.zeros((units.n, len(keys)), np.float32)
+    for s, w, u in units.triples():
+        np.add.at(dense, (u, column[s]), w)
+    return dense / units.norms()[:, None].astype(np.float32), keys, column
 
 
 def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 10.0) -> tuple[np.ndarray, float]:
@@ -157,29 +169,47 @@ def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 10.0) -> t
     return w[:-1], float(w[-1])
 
 
+def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Weights of a logistic regression, the last for a column of ones, by Newton's method."""
+    ridge, w = np.diag([1e-2] * (x.shape[1] - 1) + [1e-6]), np.zeros(x.shape[1])
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -35, 35)))
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge, x.T @ (y - p) - ridge @ w)
+        w = w + step * min(1.0, 5 / np.abs(step).max())
+        if np.abs(step).max() < 1e-6:
+            break
+    return w
+
+
 class Model:
-    """table: what each subsequence adds; bias; slope and offset: from the worst unit's value to a probability."""
+    """table: what each subsequence adds; bias; slope and offset: from the worst units' values to a probability."""
 
     def __init__(self):
         self.table, self.bias = np.zeros(ALPHABET**3, np.float32), -1.0
-        self.slope, self.offset = 0.0, -3.0
+        self.slope, self.offset = np.zeros(WORST), -3.0
 
     def worst(self, texts: list[str]) -> np.ndarray:
-        """The worst unit's value of each text; -inf without units."""
-        out = np.full(len(texts), -np.inf)
+        """The WORST largest values of each text's units, each within [LOW, HIGH]; LOW where there are fewer."""
+        out = np.full((len(texts), WORST), LOW)
         u = Units(texts)
         if u.n:
-            np.maximum.at(out, u.doc, u.apply(self.table) + self.bias)
+            v = np.clip(u.apply(self.table) + self.bias, LOW, HIGH)
+            order = np.lexsort((-v, u.doc))
+            doc, v = u.doc[order], v[order]
+            place = np.arange(len(doc)) - np.searchsorted(doc, doc)
+            for k in range(WORST):
+                at = place == k
+                out[doc[at], k] = v[at]
         return out
 
     def probability(self, worst: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * np.maximum(worst, -3.0) + self.offset, -35, 35)))
+        return 1 / (1 + np.exp(-np.clip(worst @ self.slope + self.offset, -35, 35)))
 
 
 def _words_of(text: str) -> list[str]:
     """Units of a text as strings, runs of single letters joined."""
     out, run = [], ""
-    for w in text.split():
+    for w in _JUNK.sub("", text).split():
         if len(w) == 1:
             run += w
             continue
@@ -205,66 +235,54 @@ def train(texts: list[str], labels: list[int], seed: int = 1) -> Model:
         counts = in_toxic if labels[i] == 1 else in_clean
         for w in bag:
             counts[w] = counts.get(w, 0) + 1
-    # First witnesses: by how much more often toxic texts hold the word, as a lower bound for rare ones.
+    # First witnesses: words that toxic texts hold much more often.
     rate = len(clean) / len(toxic)
     odds = lambda w: (in_toxic.get(w, 0) * rate) / (in_clean.get(w, 0) + 1 + 0.5 * rate)
     clean_units = sorted(in_clean)
-    hard = [clean_units[i] for i in rng.choice(len(clean_units), min(4000, len(clean_units)), replace=False)]
-    frequent = sorted(in_clean, key=lambda w: (-in_clean[w], w))[:1000]
-    witness = {i: max(bags[i], key=lambda w: (odds(w), w)) for i in toxic if bags[i]}
+    everything = Units(clean_units)
+    bag_units = {i: Units(bags[i]) for i in toxic if bags[i]}
+    hard = [clean_units[i] for i in rng.choice(len(clean_units), min(3000, len(clean_units)), replace=False)]
+    frequent = sorted(in_clean, key=lambda w: (-in_clean[w], w))[:500]
+    witness = {i: [w for w in sorted(bags[i], key=lambda w: (-odds(w), w))[:WITNESSES] if odds(w) >= 5] for i in bag_units}
+    worst_clean: list[str] = []
     for turn in range(ROUNDS):
-        if turn == 0:
-            positive = sorted({w for w in witness.values() if odds(w) >= 2})
-        else:
-            positive = sorted(set(witness.values()))
+        positive = sorted({w for ws in witness.values() for w in ws})
         if not positive:
             return model
         negative = sorted({*hard, *frequent} - set(positive))
-        pool = positive if len(positive) <= LANDMARKS * 2 // 3 else [positive[i] for i in rng.choice(len(positive), LANDMARKS * 2 // 3, replace=False)]
-        others = [negative[i] for i in rng.choice(len(negative), min(len(negative), LANDMARKS - len(pool)), replace=False)]
-        landmarks = sorted(pool) + sorted(others)
-        units = landmarks + positive + negative
-        # each unit is given as a text of its own
-        u = Units(units)
-        vectors = u.vectors()
-        norm = u.quick_norms()
-        keys = {s: j for j, s in enumerate(sorted({s for v in vectors[: len(landmarks)] for s in v}))}
-        dense = _dense(vectors, keys) / norm[:, None].astype(np.float32)
-        marks, rest = dense[: len(landmarks)].astype(np.float64), dense[len(landmarks) :].astype(np.float64)
-        gram = marks @ marks.T
-        value, vector = np.linalg.eigh(gram)
-        root = vector * (1 / np.sqrt(np.maximum(value, 1e-6)))[None, :] @ vector.T
-        x = (rest @ marks.T) @ root
-        y = np.array([1.0] * len(positive) + [-1.0] * len(negative))
-        share = np.where(y > 0, len(negative) / (4 * len(positive)), 1.0)
+        pick = lambda xs, n: [xs[i] for i in sorted(rng.choice(len(xs), min(len(xs), n), replace=False))]
+        landmarks = pick(positive, LANDMARKS // 2) + pick([w for w in (worst_clean or negative) if w not in positive], LANDMARKS // 4) + pick(negative, LANDMARKS // 4)
+        marks, keys, column = _marks(Units(landmarks))
+        value, vector = np.linalg.eigh((marks @ marks.T).astype(np.float64))
+        root = vector * (1 / np.sqrt(np.maximum(value, 1e-3 * value.max())))[None, :] @ vector.T
+        # Toxic units are learned as they are, and with a letter inserted.
+        gapped = [w[:j] + chr(97 + int(rng.integers(26))) + w[j:] for w in positive if len(w) > 3 for j in [int(rng.integers(2, len(w) - 1))]]
+        gapped = [w for w in gapped if w not in in_clean]
+        x = _kernel(Units(positive + gapped + negative), marks, column) @ root
+        y = np.array([1.0] * (len(positive) + len(gapped)) + [-1.0] * len(negative))
+        share = np.concatenate([np.full(len(positive), len(negative) / (4 * len(positive))), np.full(len(gapped), GAPPED), np.ones(len(negative))])
         beta, bias = _svm(x, y, share)
-        # Folded: the sum over landmarks of their weight times their subsequences.
-        folded = (root @ beta) @ marks
         model.table = np.zeros(ALPHABET**3, np.float32)
-        model.table[list(keys)] = folded
+        model.table[keys] = (root @ beta) @ marks  # each subsequence gets its sum over the landmarks
         model.bias = bias
-        values = Units(clean_units).apply(model.table) + bias
-        hard = sorted({*hard, *(clean_units[i] for i in np.argsort(-values, kind="stable")[:1500])})
-        for i in list(witness):
-            v = Units(bags[i]).apply(model.table)
-            witness[i] = bags[i][int(v.argmax())]
-        if turn >= 1:  # a witness that is no worse than clean units is a text without one
-            bar = max(-0.5, float(np.quantile(values, 0.9995)) + bias * 0)
-            witness = {i: w for i, w in witness.items() if Units([w]).apply(model.table)[0] + bias > bar}
-    # Probability: logistic regression of the label on the worst unit's value.
-    worst = np.maximum(np.concatenate([model.worst(texts[a : a + 200]) for a in range(0, len(texts), 200)]), -3.0)
-    y = np.array(labels, float)
-    a, b = 1.0, 0.0
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(a * worst + b, -35, 35)))
-        w = p * (1 - p) + 1e-6
-        g = np.array([((y - p) * worst).sum() - 1e-2 * a, (y - p).sum()])
-        h = np.array([[(w * worst * worst).sum() + 1e-2, (w * worst).sum()], [(w * worst).sum(), w.sum()]])
-        step = np.linalg.solve(h, g)
-        a, b = a + step[0], b + step[1]
-        if np.abs(step).max() < 1e-6:
+        values = everything.apply(model.table) + bias
+        worst_clean = [clean_units[i] for i in np.argsort(-values, kind="stable")[:1500]]
+        hard = sorted({*hard, *worst_clean})
+        bar = max(0.0, float(np.quantile(values, 0.999)))
+        for i, u in bag_units.items():
+            v = u.apply(model.table) + bias
+            witness[i] = [bags[i][j] for j in np.argsort(-v, kind="stable")[:WITNESSES] if v[j] > bar]
+    # Probability: logistic regression of the label on the worst units' values.
+    x = np.concatenate([model.worst(texts[a : a + 100]) for a in range(0, len(texts), 100)])
+    x, y = np.column_stack([x, np.ones(len(x))]), np.array(labels, float)
+    used = np.ones(WORST + 1, bool)
+    while True:  # a value that would count against toxicity is left out
+        w = np.zeros(WORST + 1)
+        w[used] = _logistic(x[:, used], y)
+        if (w[:-1] >= 0).all():
             break
-    model.slope, model.offset = float(a), float(b)
+        used[int(w[:-1].argmin())] = False
+    model.slope, model.offset = w[:-1], float(w[-1])
     return model
 
 
@@ -286,7 +304,7 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
         m = var.value
         for batch in batches:
             texts = [t.decode("utf-8", "replace") for t in as_bytes(batch.column(1))]
-            worst, lo, size = [np.zeros(0)], 0, 0
+            worst, lo, size = [np.zeros((0, WORST))], 0, 0
             for i, t in enumerate(texts):
                 size += len(t)
                 if size >= TOGETHER or i + 1 == len(texts):
