@@ -69,7 +69,15 @@ class Tables:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def fold(column: str | None, k: int):
+def unused_prefix(df: DataFrame) -> str:
+    """A prefix that no column of df begins with, for columns that come and go."""
+    p = "_t_"
+    while any(c.startswith(p) for c in df.columns):
+        p = f"_{p}"
+    return p
+
+
+def fold(column: str, k: int):
     """crc32 of the id as text, modulo k."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % k
 

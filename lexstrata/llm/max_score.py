@@ -22,6 +22,8 @@ SHARD, BLOCK, LEAST = 8192, 2048, 64
 #: Terms that are traversed or probed at once.
 STEP = 16
 SCALE = 64
+#: Scores beyond are given as this.
+MOST = (1 << 63) - 1
 
 
 def shard_top(ids: np.ndarray, values: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -59,15 +61,15 @@ def shard_top(ids: np.ndarray, values: np.ndarray, query_ids: np.ndarray, querie
                     here, partial = here[alive], partial[alive]
         best = np.lexsort((ids[here], -partial)) if exact else np.array(sorted(range(len(here)), key=lambda i: (-partial[i], ids[here[i]])), int)
         best = best[:k]
-        out_q.append(np.full(len(best), q)), out_i.append(ids[here[best]]), out_s.append(np.array([int(v) for v in partial[best]], object))
+        out_q.append(np.full(len(best), q)), out_i.append(ids[here[best]]), out_s.append(np.array([min(max(int(v), -MOST), MOST) for v in partial[best]], object))
     join = lambda x, t: np.concatenate(x).astype(t) if x else np.zeros(0, t)
     return join(out_q, np.int64), join(out_i, np.int64), join(out_s, np.int64)
 
 
 def quantised(embeddings: DataFrame, scale: int = SCALE) -> DataFrame:
-    """(vec_id, v): floor(scale * x) of each component; vectors that are null or hold null or non-finite components are left out."""
+    """(vec_id, v): floor(scale * x) of each component; vectors that are null or hold null or non-finite components are left out. Components beyond 4e18 are cut to it."""
     finite = "embedding is not null and vec_id is not null and forall(embedding, x -> x is not null and not isnan(x) and abs(cast(x as double)) < double('infinity'))"
-    return embeddings.where(finite).select(F.col("vec_id").cast("long").alias("vec_id"), F.expr(f"transform(embedding, x -> cast(floor(cast({scale} as double) * cast(x as double)) as bigint))").alias("v"))
+    return embeddings.where(finite).select(F.col("vec_id").cast("long").alias("vec_id"), F.expr(f"transform(embedding, x -> cast(floor(greatest(-4e18D, least(4e18D, cast({scale} as double) * cast(x as double)))) as bigint))").alias("v"))
 
 
 def top_k(vectors: DataFrame, queries, k: int = 20) -> DataFrame:

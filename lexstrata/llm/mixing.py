@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import WORD_RE, Tables
+from .common import WORD_RE, Tables, unused_prefix
 from .ranks import hex_digits, join_small, running
 
 WEIGHTS = (5, 2, 1)
@@ -138,12 +138,13 @@ def mixed_rows(documents: DataFrame, **options) -> DataFrame:
 def mixed_documents(documents: DataFrame, **options) -> DataFrame:
     """The mix itself: a row of documents for every epoch that takes it whole, and one with its first words where a
     source's last block cuts it (words joined by spaces, n_chars recounted). Documents without words are not taken."""
-    taken = mix(documents, **options).taken.where("taken > 0").select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), F.expr("taken div copies").alias("_taken"))
-    sized = documents.withColumn("_n", size_of())
-    rows = sized.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").cast("string").eqNullSafe(F.col("_source")) & (F.col("_n") == F.col("_size")))
-    rows = rows.where("_taken > 0").withColumn("_epoch", F.explode(F.expr("sequence(0L, (_taken - 1) div _size)"))).withColumn("_take", F.expr("least(_size, _taken - _epoch * _size)"))
-    head = F.array_join(F.expr(f"slice(regexp_extract_all(text, '({WORD_RE.replace(chr(92), chr(92) * 2)})', 1), 1, cast(_take as int))"), " ")
-    rows = rows.withColumn("text", F.when(F.col("_take") < F.col("_size"), head).otherwise(F.col("text")))
+    p = unused_prefix(documents)
+    taken = mix(documents, **options).taken.where("taken > 0").select(F.col("doc_id").alias(f"{p}id"), F.col("source").alias(f"{p}source"), F.col("size").alias(f"{p}size"), F.expr("taken div copies").alias(f"{p}taken"))
+    sized = documents.withColumn(f"{p}n", size_of())
+    rows = sized.join(taken, F.col("doc_id").eqNullSafe(F.col(f"{p}id")) & F.col("source").cast("string").eqNullSafe(F.col(f"{p}source")) & (F.col(f"{p}n") == F.col(f"{p}size")))
+    rows = rows.where(f"{p}taken > 0").withColumn(f"{p}epoch", F.explode(F.expr(f"sequence(0L, ({p}taken - 1) div {p}size)"))).withColumn(f"{p}take", F.expr(f"least({p}size, {p}taken - {p}epoch * {p}size)"))
+    head = F.array_join(F.expr(f"slice(regexp_extract_all(text, '({WORD_RE.replace(chr(92), chr(92) * 2)})', 1), 1, cast({p}take as int))"), " ")
+    rows = rows.withColumn("text", F.when(F.col(f"{p}take") < F.col(f"{p}size"), head).otherwise(F.col("text")))
     if "n_chars" in documents.columns:
-        rows = rows.withColumn("n_chars", F.when(F.col("_take") < F.col("_size"), F.length("text").cast(documents.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+        rows = rows.withColumn("n_chars", F.when(F.col(f"{p}take") < F.col(f"{p}size"), F.length("text").cast(documents.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return rows.select(*documents.columns)

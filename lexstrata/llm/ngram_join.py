@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BASE, LOWER, Slice, SpanHash, Tables, as_bytes, chained, mixed, signed, slices, words
+from .common import BASE, LOWER, Slice, SpanHash, Tables, as_bytes, chained, mixed, signed, slices, unused_prefix, words
 from .graph import components
 
 #: Shared prefix tokens that a pair must have, where both prefixes consist of infrequent tokens.
@@ -399,7 +399,8 @@ def ngram_components(documents: DataFrame, k: int = 5, num: int = 4, den: int =
 
 def keep_one_of_each(documents: DataFrame, **options) -> DataFrame:
     """documents without near copies: of every component, the row with the smallest doc_id stays; of rows that repeat an id, one."""
-    kept = ngram_components(documents, **options).where("doc_id <=> component_id").select(F.col("doc_id").alias("_id")).distinct()
-    out = documents.join(kept, F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
+    name = f"{unused_prefix(documents)}id"
+    kept = ngram_components(documents, **options).where("doc_id <=> component_id").select(F.col("doc_id").alias(name)).distinct()
+    out = documents.join(kept, F.col("doc_id").eqNullSafe(F.col(name))).drop(name)
     rows, ids = documents.agg(F.count(F.lit(1)), F.count_distinct(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).first()
     return out if rows == ids else out.dropDuplicates(["doc_id"])
