@@ -151,9 +151,9 @@ def terms(nodes: DataFrame) -> DataFrame:
     or the nearest one above it names, else for the whole tree. Usage joins scopes on label prefixes and keeps the
     nearest definition of each term; texts are then matched longest term first. Terms are not linked where they are defined.
     """
-    slim = nodes.select("tree", "path", "label", "label_id", "text", F.coalesce("tagged_text", F.lit("")).alias("tagged_text"), "node_type")
+    slim = nodes.select("tree", "path", "label", "label_id", "title", "text", F.coalesce("tagged_text", F.lit("")).alias("tagged_text"), "node_type")
     up = with_prefixes(slim.where("node_type in ('regtext', 'subpart', 'emptypart')")).drop("ancestor_depth")
-    texts = slim.select("tree", F.col("label_id").alias("ancestor_id"), F.col("text").alias("_t"), F.size("label").alias("_d"))
+    texts = slim.select("tree", F.col("label_id").alias("ancestor_id"), F.concat_ws("\n", "title", "text").alias("_t"), F.size("label").alias("_d"))
     above = up.join(texts, ["tree", "ancestor_id"]).groupBy("tree", "path", "label", "label_id", "text", "tagged_text").agg(F.array_sort(F.collect_list(F.struct("_d", "_t"))).alias("above"))
 
     def find(label, text, tagged, chain):

@@ -56,7 +56,7 @@ def versions(nodes: DataFrame, changes: DataFrame) -> DataFrame:
             out += [(key, "", *r) for r in to_rows(root)]
             ordered = right.sort_values(["effective_on", "publication_date", "document_number", "seq"]) if len(right) else right
             for date, group in ordered.groupby("effective_on", sort=True) if len(right) else ():
-                log = [Change(r.action, r.label_id, _node(r.node), r.field, tuple(r.destination or ()) if r.destination is not None else (), tuple(r.subpart) if r.subpart is not None else ()) for r in group.itertuples()]
+                log = [Change(r.action, r.label_id, _node(r.node), r.field, tuple(r.destination) if r.destination is not None else (), tuple(r.subpart) if r.subpart is not None else ()) for r in group.itertuples()]
                 root = replay(root, log)
                 out += [(key, str(date), *r) for r in to_rows(root)]
         return pd.DataFrame(out, columns=["tree", "version", *columns])

@@ -5,13 +5,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import regxml
 from ..functions.kernels import flat_map
 from ..functions.model import ROW_SCHEMA, to_rows
 
-NOTICE_SCHEMA = T.StructType.fromDDL(
+NOTICE_SCHEMA = (
     "document_number string, publication_date date, effective_on date, comments_close_on date, abstract string, action string, agency_names array<string>, "
     "cfr_references array<struct<title:int, part:int>>, citation string, dates string, start_page int, end_page int, volume int, type string, html_url string, full_text_xml_url string, regulation_id_numbers array<string>"
 )

@@ -130,3 +130,20 @@ def test_sql_functions(spark):
     got = spark.sql("select c.cited from (select 'See paragraph (b)(1).' as t) s, lateral internal_citations(s.t, '105-2') c").collect()
     assert [r["cited"] for r in got] == ["105-2-b-1"]
     assert spark.sql("select marker_depths(array('a', '1', 'b')) d").first()["d"] == [0, 1, 0]
+
+
+def test_command_line_and_stages(spark, tmp_path):
+    from lexstrata.plans import checkpoint, cli
+
+    (tmp_path / "reg.xml").write_text(XML)
+    (tmp_path / "n").mkdir()
+    (tmp_path / "n" / "2012-1.xml").write_text(NOTICE)
+    (tmp_path / "dates.csv").write_text("document_number,tree,effective_on,publication_date\n2012-1,105,2012-03-01,2012-01-01\n")
+    cli.main(["build", str(tmp_path / "reg.xml"), "--notices", str(tmp_path / "n"), "--dates", str(tmp_path / "dates.csv"), "--out", str(tmp_path / "out")])
+    sink = sinks.Sink(str(tmp_path / "out"))
+    assert sink.read(spark, "diff").count() == 4
+    assert sink.read(spark, "layer/paragraph-markers").count() == 4
+    for _, hits in ((1, 0), (2, 2)):
+        s = checkpoint.Stages(spark, "d", str(tmp_path / "stages"))
+        a = s.stage("a", lambda: spark.range(3).toDF("x"))
+        assert s.stage("b", lambda: a.where("x > 0")).count() == 2 and s.hits == hits
