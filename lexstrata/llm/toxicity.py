@@ -32,8 +32,8 @@ from .quality_classifier import labelled_sample
 ALPHABET = 64
 LAMBDA = 0.8
 GAPS = (1, 2, 3)
-#: Labelled rows that are learned from, at most; characters of each unit that training looks at; landmarks.
-SAMPLE = 12000
+#: Labelled rows that are learned from, at most (toxic, clean), by hash of their ids; landmarks.
+SAMPLE = (2000, 2500)
 LANDMARKS = 400
 ROUNDS = 4
 #: Units of a toxic text that are learned as toxic; worst units that a text's probability looks at, and what their values are cut to.
@@ -286,11 +286,11 @@ def train(texts: list[str], labels: list[int], seed: int = 1) -> Model:
     return model
 
 
-def learn(documents: DataFrame, labels: DataFrame, keep, sample: int = SAMPLE) -> Model:
-    """Trains on a bounded sample of labelled rows: toxic ones first, then clean ones, a half each at most."""
+def learn(documents: DataFrame, labels: DataFrame, keep, sample: tuple[int, int] = SAMPLE) -> Model:
+    """Trains on a bounded sample of labelled rows."""
     texts, ys = [], []
     for label in (1, 0):
-        rows = labelled_sample(documents, labels.where(F.col("toxic") == label), "toxic", keep, sample // 2 if label else sample // 4).toArrow().sort_by("doc_id")
+        rows = labelled_sample(documents, labels.where(F.col("toxic") == label), "toxic", keep, sample[0 if label else 1]).toArrow().sort_by("doc_id")
         texts += [b"" if t is None else t for t in rows["text"].to_pylist()]
         ys += rows["label"].to_pylist()
     return train([t.decode("utf-8", "replace") for t in texts], ys)
