@@ -169,12 +169,12 @@ def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 10.0) -> t
     return w[:-1], float(w[-1])
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Weights of a logistic regression, the last for a column of ones, by Newton's method."""
+def _logistic(x: np.ndarray, y: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """Weights of a logistic regression, the last for a column of ones, by Newton's method. share: what each row counts."""
     ridge, w = np.diag([1e-2] * (x.shape[1] - 1) + [1e-6]), np.zeros(x.shape[1])
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -35, 35)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge, x.T @ (y - p) - ridge @ w)
+        step = np.linalg.solve((x * (share * p * (1 - p))[:, None]).T @ x + ridge, x.T @ (share * (y - p)) - ridge @ w)
         w = w + step * min(1.0, 5 / np.abs(step).max())
         if np.abs(step).max() < 1e-6:
             break
@@ -220,8 +220,9 @@ def _words_of(text: str) -> list[str]:
     return [*out, run] if run else out
 
 
-def train(texts: list[str], labels: list[int], seed: int = 1) -> Model:
-    """Fits the machine on labelled texts; without both labels, one that scores everything alike."""
+def train(texts: list[str], labels: list[int], clean_share: float = 1.0, seed: int = 1) -> Model:
+    """Fits the machine on labelled texts; without both labels, one that scores everything alike. clean_share: how many
+    clean texts stand behind each one here, for every toxic text behind each toxic one; it sets the probability's level."""
     model = Model()
     toxic = [i for i, y in enumerate(labels) if y == 1]
     clean = [i for i, y in enumerate(labels) if y == 0]
@@ -278,7 +279,7 @@ def train(texts: list[str], labels: list[int], seed: int = 1) -> Model:
     used = np.ones(WORST + 1, bool)
     while True:  # a value that would count against toxicity is left out
         w = np.zeros(WORST + 1)
-        w[used] = _logistic(x[:, used], y)
+        w[used] = _logistic(x[:, used], y, np.where(y > 0, 1.0, clean_share))
         if (w[:-1] >= 0).all():
             break
         used[int(w[:-1].argmin())] = False
@@ -288,12 +289,15 @@ def train(texts: list[str], labels: list[int], seed: int = 1) -> Model:
 
 def learn(documents: DataFrame, labels: DataFrame, keep, sample: tuple[int, int] = SAMPLE) -> Model:
     """Trains on a bounded sample of labelled rows."""
+    there = {r["toxic"]: r["count"] for r in labels.where(keep & F.col("toxic").isin(0, 1)).groupBy("toxic").count().collect()}
     texts, ys = [], []
     for label in (1, 0):
         rows = labelled_sample(documents, labels.where(F.col("toxic") == label), "toxic", keep, sample[0 if label else 1]).toArrow().sort_by("doc_id")
         texts += [b"" if t is None else t for t in rows["text"].to_pylist()]
         ys += rows["label"].to_pylist()
-    return train([t.decode("utf-8", "replace") for t in texts], ys)
+    toxic, clean = sum(ys), len(ys) - sum(ys)
+    share = (there.get(0, 0) / clean) / (there.get(1, 0) / toxic) if toxic and clean else 1.0
+    return train([t.decode("utf-8", "replace") for t in texts], ys, share)
 
 
 def score(documents: DataFrame, model: Model) -> DataFrame:
