@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable
 
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,25 +12,7 @@ from . import citations as C
 from . import depth as D
 from . import terms as T
 from . import textdiff as X
-
-
-def flat_map(df: DataFrame, keys: list[str], inputs: list[str], function: Callable[..., Iterable[tuple]], schema: str) -> DataFrame:
-    """For every row, the rows that function(*inputs) yields, each with the row's keys before it. schema: of the new columns."""
-    at = len(keys)
-    key_schema = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
-    full = f"{key_schema}, {schema}" if keys else schema
-    out_schema = df.sparkSession.createDataFrame([], full).schema
-
-    def run(batches):
-        from pyspark.sql.pandas.types import to_arrow_schema
-
-        arrow = to_arrow_schema(out_schema)
-        for batch in batches:
-            columns = [c.to_pylist() for c in batch.columns]
-            rows = [(*r[:at], *new) for r in zip(*columns, strict=True) for new in function(*r[at:])]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(arrow)], schema=arrow)
-
-    return df.select(*keys, *inputs).mapInArrow(run, out_schema)
+from .arrow import flat_map
 
 
 def text_diffs(pairs: DataFrame, keys: list[str], old: str, new: str) -> DataFrame:

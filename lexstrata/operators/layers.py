@@ -15,8 +15,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import citations as C
-from ..functions import kernels as K
 from ..functions import terms as T
+from ..functions.arrow import flat_map
 from .joins import known_targets
 from .text import all_spans
 from .tree import table_of_contents, with_prefixes
@@ -56,7 +56,7 @@ def external_citations(nodes: DataFrame, title: str | None = None, part: str | N
         for c in C.external(text or "", title, part, act):
             yield from ((" ".join(c["citation"]), c["citation_type"], a, b) for a, b in c["offsets"])
 
-    return K.flat_map(nodes, ["tree", "label_id"], ["text"], find, "citation string, citation_type string, start int, stop int")
+    return flat_map(nodes, ["tree", "label_id"], ["text"], find, "citation string, citation_type string, start int, stop int")
 
 
 @layer("internal-citations")
@@ -69,7 +69,7 @@ def internal_citations(nodes: DataFrame, title: str | None = None) -> DataFrame:
             a, b = c.start + len(raw) - len(raw.lstrip()), c.end - len(raw) + len(raw.rstrip())
             yield a, b, "-".join(c.label.parts())
 
-    found = K.flat_map(nodes, ["tree", "label_id"], ["text", "label", "node_type"], find, "start int, stop int, cited string")
+    found = flat_map(nodes, ["tree", "label_id"], ["text", "label", "node_type"], find, "start int, stop int, cited string")
     return known_targets(found, nodes, "cited").select("tree", "label_id", "start", "stop", "cited")
 
 
@@ -169,7 +169,7 @@ def terms(nodes: DataFrame) -> DataFrame:
             for r in included:
                 yield from (("-".join(s), r.term, r.label, r.start, r.end) for s in scopes)
 
-    defined = K.flat_map(above, ["tree"], ["label", "text", "tagged_text", "above"], find, "scope_id string, term string, definition string, start int, stop int")
+    defined = flat_map(above, ["tree"], ["label", "text", "tagged_text", "above"], find, "scope_id string, term string, definition string, start int, stop int")
     prefixes = with_prefixes(slim.select("tree", "label", "label_id"), name="scope_id")
     best = prefixes.join(defined.select("tree", "scope_id", "term", "definition"), ["tree", "scope_id"]).groupBy("tree", "label_id", "term").agg(F.max_by("definition", "ancestor_depth").alias("definition"))
     here = best.groupBy("tree", "label_id").agg(F.collect_list(F.struct("term", "definition")).alias("ts"))
@@ -179,7 +179,7 @@ def terms(nodes: DataFrame) -> DataFrame:
         yield from T.uses(text or "", sorted((t["term"], t["definition"]) for t in ts if t["definition"] != label_id), own)
 
     rows = slim.select("tree", "label_id", "text").join(here, ["tree", "label_id"]).withColumn("_id", F.col("label_id"))
-    return K.flat_map(rows, ["tree", "label_id"], ["_id", "text", "ts"], match, "term string, definition string, start int, stop int")
+    return flat_map(rows, ["tree", "label_id"], ["_id", "text", "ts"], match, "term string, definition string, start int, stop int")
 
 
 @layer("model-form-text", own_text=True)

@@ -1,16 +1,15 @@
-"""Text operators on the JVM side: tokens, spans with offsets, segments, gates, splices, keys."""
+"""Text operators: tokens, spans with offsets, segments, gates, splices, keys. All but spans stay on the JVM side."""
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-
-def lit_re(pattern: str) -> Column:
-    return F.lit(pattern)
+from ..functions.arrow import flat_map
 
 
 def tokens(text: Column) -> Column:
@@ -25,20 +24,27 @@ def title_body(text: Column) -> tuple[Column, Column]:
 
 
 def line_spans(df: DataFrame, text: str = "text") -> DataFrame:
-    """Every line of the text with its place and offsets: line_no (from 0), line, start, end (exclusive)."""
-    parts = df.withColumn("_l", F.split(F.col(text), "\n"))
-    exploded = parts.select(*df.columns, F.posexplode("_l").alias("line_no", "line"), F.expr("transform(_l, x -> length(x) + 1)").alias("_n"))
-    start = F.expr("aggregate(slice(_n, 1, line_no), 0, (a, x) -> a + x)")
-    return exploded.withColumn("start", start).withColumn("end", F.col("start") + F.length("line")).drop("_n")
+    """Every line of the text with its place and offsets (code points): line_no (from 0), line, start, end (exclusive);
+    the other columns stay. One pass over each text."""
+
+    def lines(t):
+        at = 0
+        for i, line in enumerate((t or "").split("\n")):
+            yield i, line, at, at + len(line)
+            at += len(line) + 1
+
+    return flat_map(df, [c for c in df.columns if c != text], [text], lines, "line_no int, line string, start int, end int")
 
 
 def all_spans(df: DataFrame, text: str, pattern: str, group: int = 0, name: str = "found") -> DataFrame:
-    """Every match of a pattern with code-point offsets, without Python: the text is split by the pattern, and running
-    lengths of the pieces and matches give the offsets. Columns: match_no (from 0), found, start, end of the whole match."""
-    prepared = df.withColumn("_m", F.regexp_extract_all(F.col(text), F.lit(pattern), 0)).withColumn("_g", F.regexp_extract_all(F.col(text), F.lit(pattern), group)).withColumn("_p", F.split(F.col(text), pattern, -1)).where("size(_m) > 0")
-    out = prepared.select("*", F.posexplode("_g").alias("match_no", name))
-    before = F.expr("aggregate(slice(_p, 1, match_no + 1), 0, (a, x) -> a + length(x)) + aggregate(slice(_m, 1, match_no), 0, (a, x) -> a + length(x))")
-    return out.withColumn("start", before).withColumn("end", F.col("start") + F.length(F.expr("_m[match_no]"))).drop("_m", "_g", "_p")
+    """Every match of a pattern with the offsets of the whole match (code points): match_no (from 0), the group's text,
+    start, end; the other columns stay. Spark's own functions give matches without places, and adding up the lengths
+    before each match is quadratic in a text's matches; this is one pass over each text, in Arrow batches."""
+
+    def matches(t, find=re.compile(pattern)):
+        yield from ((i, m[group], m.start(), m.end()) for i, m in enumerate(find.finditer(t or "")))
+
+    return flat_map(df, [c for c in df.columns if c != text], [text], matches, f"match_no int, {name} string, start int, end int")
 
 
 def segments(lines: DataFrame, keys: list[str], is_start: Column, order: str = "line_no") -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import notices as N
-from ..functions.kernels import flat_map
+from ..functions.arrow import flat_map
 from ..functions.model import Node, from_rows, to_rows
 from ..functions.replay import Change, replay
 from ..operators import layers as L

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import regxml
-from ..functions.kernels import flat_map
+from ..functions.arrow import flat_map
 from ..functions.model import ROW_SCHEMA, to_rows
 
 NOTICE_SCHEMA = (
