@@ -58,8 +58,8 @@ def test_rules_against_brute_force(make, labels):
 
 def test_llr_tells_target_from_rest(make, labels):
     rnd = random.Random(8)
-    good = [" ".join(rnd.choice(["the", "of", "and", "river", "stone"]) + rnd.choice(["", "s"]) for _ in range(80)) for _ in range(40)]
-    bad = [" ".join(rnd.choice(["xx##", "yy%%", "zz&&", "qq$$", "vv**"]) for _ in range(80)) for _ in range(20)]
+    good = [" ".join(rnd.choice(["the", "of", "and", "river", "stone"]) + rnd.choice(["", "s"]) for _ in range(1500)) for _ in range(40)]
+    bad = [" ".join(rnd.choice(["xx##", "yy%%", "zz&&", "qq$$", "vv**"]) for _ in range(1500)) for _ in range(20)]
     df = make(good + bad)
     rows = {r["doc_id"]: r for r in R.quality_rules(df, labels([(i, 1, 0) for i in range(20)])).collect()}
     assert all(rows[i]["llr"] > R.THRESHOLD for i in range(40)) and all(rows[i]["llr"] < R.THRESHOLD for i in range(40, 60))
