@@ -6,6 +6,7 @@ is bounded by the slice (or by one document, where that is longer) and not by th
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -63,10 +64,16 @@ class Tables:
         return out
 
     def drop(self, *dfs: DataFrame) -> None:
-        """Deletes tables that nothing reads any more."""
+        """Deletes tables that nothing reads any more; the shuffles behind them go with the driver's garbage, which is collected."""
         for df in dfs:
             path = self.spark._jvm.org.apache.hadoop.fs.Path(df._lexstrata_path)
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        self.collect()
+
+    def collect(self) -> None:
+        """Lets Spark remove shuffle files that no plan needs any more; else they stay until the driver runs short of memory."""
+        gc.collect()
+        self.spark._jvm.System.gc()
 
 
 def unused_prefix(df: DataFrame) -> str:

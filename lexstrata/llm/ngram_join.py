@@ -31,7 +31,7 @@ ELL = 3
 HOT_BITS = 21
 LEAST_HOT = 16
 #: Tokens that one range of hashes should have, and entries a mapper gathers before it sends them.
-RANGE_TOKENS, FLUSH = 1 << 21, 1 << 20
+RANGE_TOKENS, FLUSH = 1 << 21, 1 << 19
 #: Members of a group at most.
 GROUP = 16
 #: Entities whose sets are needed are named to the executors up to this number (8 bytes each); beyond, a join selects them.
@@ -155,12 +155,13 @@ def required(n, num: int, den: int):
 
 
 def prefixes(documents: DataFrame, k: int, num: int, den: int, hot: tuple[np.ndarray, np.ndarray], total: int) -> DataFrame:
-    """(token, entity, n, ell, weight): prefix tokens that two entities or more may hold. ell: how many of them a pair must
-    share, as far as this entity goes. weight: how frequent the entity's tokens are in sum, for choosing central ones."""
+    """(token, entity, n, pos, ell, weight): prefix tokens that two entities or more may hold. pos: the token's place in the
+    entity's order. ell: how many prefix tokens a pair must share, as far as this entity goes. weight: how frequent the
+    entity's tokens are in sum, for choosing central ones."""
     hot_var = documents.sparkSession.sparkContext.broadcast(hot)
     bits = max(6, (max(total // 4, 1) // RANGE_TOKENS).bit_length())
     loose = 64  # ranges more, to which rows of frequent tokens go without regard to the token
-    names = ["token", "entity", "n", "ell", "weight"]
+    names = ["token", "entity", "n", "pos", "ell", "weight"]
 
     def gather(batches):
         cells, counts = hot_var.value
@@ -169,16 +170,16 @@ def prefixes(documents: DataFrame, k: int, num: int, den: int, hot: tuple[np.nda
         held, size, turn = [], 0, [0]
 
         def send():
-            token, entity, n, ell, weight, is_hot = (np.concatenate(x) for x in zip(*held, strict=True))
+            token, entity, n, pos, ell, weight, is_hot = (np.concatenate(x) for x in zip(*held, strict=True))
             order = np.lexsort((entity, token))
-            token, entity, n, ell, weight, is_hot = (x[order] for x in (token, entity, n, ell, weight, is_hot))
+            token, entity, n, pos, ell, weight, is_hot = (x[order] for x in (token, entity, n, pos, ell, weight, is_hot))
             new = np.ones(len(token), bool)
             new[1:] = (token[1:] != token[:-1]) | (entity[1:] != entity[:-1])
             turn[0] += 1
             part = np.where(is_hot, (1 << bits) + (entity.view(np.uint64) % np.uint64(loose)).astype(np.int64), (token >> np.uint64(64 - bits)).astype(np.int64))
             rows = []
             by_part = np.argsort(part[new], kind="stable")
-            columns = [x[new][by_part] for x in (part, token, entity, n, ell, weight)]
+            columns = [x[new][by_part] for x in (part, token, entity, n, pos, ell, weight)]
             edges = np.flatnonzero(np.diff(columns[0])) + 1
             for a, b in zip([0, *edges], [*edges, len(columns[0])], strict=True):
                 rows.append((int(columns[0][a]), *[c[a:b].tobytes() for c in columns[1:]]))
@@ -207,9 +208,9 @@ def prefixes(documents: DataFrame, k: int, num: int, den: int, hot: tuple[np.nda
                 chosen = np.zeros(s.n, bool)
                 chosen[firsts] = True
                 keep = (place < (least + ell - 1)[doc]) & chosen[doc]
-                weight = np.bincount(doc, weights=often, minlength=s.n).astype(np.int64)
+                weight = np.minimum(np.bincount(doc, weights=often, minlength=s.n), (1 << 31) - 1).astype(np.int32)
                 d = doc[keep]
-                held.append((tokens[keep], entity[d], size_[d].astype(np.int32), ell[d].astype(np.int8), weight[d], often[keep] > 0))
+                held.append((tokens[keep], entity[d], size_[d].astype(np.int32), place[keep].astype(np.int32), ell[d].astype(np.int8), weight[d], often[keep] > 0))
                 size += len(d)
                 if size >= FLUSH:
                     yield send()
@@ -217,47 +218,57 @@ def prefixes(documents: DataFrame, k: int, num: int, den: int, hot: tuple[np.nda
         if size:
             yield send()
 
-    kinds = {"token": np.uint64, "entity": np.int64, "n": np.int32, "ell": np.int8, "weight": np.int64}
+    kinds = {"token": np.uint64, "entity": np.int64, "n": np.int32, "pos": np.int32, "ell": np.int8, "weight": np.int32}
 
     def shared(table: pa.Table) -> pa.Table:
-        token, entity, n, ell, weight = (np.concatenate([np.frombuffer(x, kinds[c]) for x in table[c].to_pylist()]) for c in names)
+        token, entity, n, pos, ell, weight = (np.concatenate([np.frombuffer(x, kinds[c]) for x in table[c].to_pylist()]) for c in names)
         order = np.lexsort((entity, token))
-        token, entity, n, ell, weight = (x[order] for x in (token, entity, n, ell, weight))
+        token, entity, n, pos, ell, weight = (x[order] for x in (token, entity, n, pos, ell, weight))
         new = np.ones(len(token), bool)
         new[1:] = (token[1:] != token[:-1]) | (entity[1:] != entity[:-1])
-        token, entity, n, ell, weight = (x[new] for x in (token, entity, n, ell, weight))
+        token, entity, n, pos, ell, weight = (x[new] for x in (token, entity, n, pos, ell, weight))
         keep = np.ones(len(token), bool)
         if table["part"][0].as_py() < 1 << bits:  # all rows of these tokens are here
             same = token[1:] == token[:-1]
             keep[:] = False
             keep[1:] |= same
             keep[:-1] |= same
-        return pa.table({"token": signed(token[keep]), "entity": entity[keep], "n": n[keep], "ell": ell[keep].astype(np.int32), "weight": weight[keep]})
+        return pa.table({"token": signed(token[keep]), "entity": entity[keep], "n": n[keep], "pos": pos[keep], "ell": ell[keep].astype(np.int32), "weight": weight[keep]})
 
-    packed = _map(documents, gather, "part int, token binary, entity binary, n binary, ell binary, weight binary")
-    return packed.groupBy("part").applyInArrow(shared, "token bigint, entity bigint, n int, ell int, weight bigint")
+    packed = _map(documents, gather, "part int, token binary, entity binary, n binary, pos binary, ell binary, weight binary")
+    return packed.groupBy("part").applyInArrow(shared, "token bigint, entity bigint, n int, pos int, ell int, weight int")
 
 
 # -- comparisons ------------------------------------------------------------------------------------------------
 
 
-def needed_sets(documents: DataFrame, k: int, entities: DataFrame) -> DataFrame:
-    """(entity, tokens): the packed sets of the entities (a table with a distinct column `entity`)."""
+def needed_sets(documents: DataFrame, k: int, entities: DataFrame, docs: DataFrame) -> DataFrame:
+    """(entity, tokens): the packed sets of the entities (a table with a distinct column `entity`), each from the document
+    with the smallest id that has it (docs: doc_id, entity of every document)."""
+    first = docs.join(entities, "entity", "left_semi").groupBy("entity").agg(F.min("doc_id").alias("first"))
+    integral = documents.schema["doc_id"].dataType.typeName() in ("byte", "short", "integer", "long")
     few = entities.limit(NAMED + 1).count() <= NAMED
-    named = np.sort(entities.toArrow()["entity"].to_numpy()) if few else None
+    named = None
+    if few:
+        rows = first.select("entity", F.coalesce(F.col("first"), F.lit(-1)).cast("long") if integral else F.lit(-1).cast("long")).toArrow()
+        ids, firsts = rows[0].to_numpy(), rows[1].to_numpy()
+        order = np.argsort(ids)
+        named = (ids[order], firsts[order])
     named_var = documents.sparkSession.sparkContext.broadcast(named)
 
     def run(batches):
         seen = set()
         for batch in batches:
+            doc_ids = batch.column(1).to_numpy(zero_copy_only=False)
             for s in slices(as_bytes(batch.column(0))):
                 tokens, cuts, size, entity = sets_of(s, k)
                 wanted = size > 0
                 if named_var.value is not None:
-                    if not len(named_var.value):
+                    ids, firsts = named_var.value
+                    if not len(ids):
                         continue
-                    at = np.minimum(np.searchsorted(named_var.value, entity), len(named_var.value) - 1)
-                    wanted &= named_var.value[at] == entity
+                    at = np.minimum(np.searchsorted(ids, entity), len(ids) - 1)
+                    wanted &= (ids[at] == entity) & ((firsts[at] < 0) | (firsts[at] == doc_ids[s.lo : s.hi]))
                 out = []
                 for i in np.flatnonzero(wanted):
                     if (e := int(entity[i])) not in seen:
@@ -266,10 +277,11 @@ def needed_sets(documents: DataFrame, k: int, entities: DataFrame) -> DataFrame:
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array([e for e, _ in out], pa.int64()), pa.array([t for _, t in out], pa.binary())], names=["entity", "tokens"])
 
-    sets = _map(documents, run, "entity bigint, tokens binary")
-    if not few:
-        sets = sets.join(entities, "entity", "left_semi")
-    return sets.dropDuplicates(["entity"])
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)) if integral else F.lit(-1)
+    sets = documents.select(F.col("text").cast("binary").alias("text"), key.alias("id")).mapInArrow(run, "entity bigint, tokens binary")
+    if few and integral:
+        return sets  # a repeated id may give a set twice, which only repeats links
+    return (sets if few else sets.join(entities, "entity", "left_semi")).dropDuplicates(["entity"])
 
 
 def _overlap(a: np.ndarray, b: np.ndarray) -> int:
@@ -340,15 +352,27 @@ def _sizes_fit(n: str, low: str, high: str, num: int, den: int):
     return F.expr(f"{den} * cast({high} as bigint) >= {num} * cast({n} as bigint) and {den} * cast({n} as bigint) >= {num} * cast({low} as bigint)")
 
 
-def links(documents: DataFrame, tables: Tables, k: int, num: int, den: int, total: int) -> DataFrame:
+def _places_fit(n: str, pos: str, other: str, ell: str, num: int, den: int):
+    """Is a token early enough in a set of n tokens to count for a pair with a set of `other` tokens? Of linked sets, the
+    first n - overlap + ell tokens of both share ell, and the overlap is at least num / (num + den) of both sizes."""
+    overlap = f"(({num} * (cast({n} as bigint) + {other}) + {num + den - 1}) div {num + den})"
+    return F.expr(f"{pos} < {n} - {overlap} + {ell}")
+
+
+def links(documents: DataFrame, docs: DataFrame, tables: Tables, k: int, num: int, den: int, total: int) -> DataFrame:
     """Links (a, b) between entities that connect all linked ones: those of step 1, and those across its components."""
     hot = frequent_cells(documents, k, total)
-    live = tables.put(prefixes(documents, k, num, den, hot, total), "live")
-    central = live.groupBy("token").agg(F.max(F.struct("weight", "entity", "n")).alias("c"), F.min("entity").alias("low"), F.max("entity").alias("high")).where("low < high").select("token", F.col("c.entity").alias("b"), F.col("c.n").alias("n_b"))
-    met = live.select("token", F.col("entity").alias("a"), "n").join(central, "token").where("a <> b").where(_sizes_fit("n", "n_b", "n_b", num, den))
+    found = tables.put(prefixes(documents, k, num, den, hot, total), "prefixes")
+    # Of a family of copies, the one that shares most of its prefix is likely what the others were made from.
+    shared = found.groupBy("entity").agg(F.count(F.lit(1)).cast("int").alias("shared"))
+    live = tables.put(found.join(shared, "entity"), "live")
+    tables.drop(found)
+    central = live.groupBy("token").agg(F.max(F.struct("weight", "shared", "entity", "n", "pos", "ell")).alias("c"), F.min("entity").alias("low"), F.max("entity").alias("high")).where("low < high").select("token", F.col("c.entity").alias("b"), F.col("c.n").alias("n_b"), F.col("c.pos").alias("pos_b"), F.col("c.ell").alias("ell_b"))
+    met = live.select("token", F.col("entity").alias("a"), "n", "pos", "ell").join(central, "token").where("a <> b").where(_sizes_fit("n", "n_b", "n_b", num, den))
+    met = met.where(_places_fit("n", "pos", "n_b", "least(ell, ell_b)", num, den)).where(_places_fit("n_b", "pos_b", "n", "least(ell, ell_b)", num, den))
     one = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("c")).groupBy("a").agg(F.max_by("b", F.struct("c", "b")).alias("b"))
     pairs = tables.put(one, "pairs")
-    sets = tables.put(needed_sets(documents, k, pairs.select(F.col("a").alias("entity")).union(pairs.select("b")).distinct()), "sets")
+    sets = tables.put(needed_sets(documents, k, pairs.select(F.col("a").alias("entity")).union(pairs.select("b")).distinct(), docs), "sets")
     near = tables.put(compare(pairs, sets, num, den), "near")
     tables.drop(sets, pairs)
 
@@ -358,14 +382,15 @@ def links(documents: DataFrame, tables: Tables, k: int, num: int, den: int, tota
     rooted = live.join(grouped, "entity", "left").withColumn("root", F.coalesce("root", "entity")).withColumn("chunk", F.coalesce("chunk", F.lit(0)))
     crossed = rooted.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("token")
     rows = tables.put(rooted.join(crossed, "token"), "rows")
-    columns = rows.groupBy("token", "root", "chunk").agg(F.min("n").alias("n_low"), F.max("n").alias("n_high"), F.min("ell").alias("ell_g"))
-    meets = rows.select("token", F.col("entity").alias("a"), F.col("root").alias("root_a"), "n", "ell").join(columns, "token").where("root_a < root").where(_sizes_fit("n", "n_low", "n_high", num, den))
+    columns = rows.groupBy("token", "root", "chunk").agg(F.min("n").alias("n_low"), F.max("n").alias("n_high"), F.min("pos").alias("pos_g"), F.min("ell").alias("ell_g"), F.max("ell").alias("ell_high"))
+    meets = rows.select("token", F.col("entity").alias("a"), F.col("root").alias("root_a"), "n", "pos", "ell").join(columns, "token").where("root_a < root").where(_sizes_fit("n", "n_low", "n_high", num, den))
+    meets = meets.where(_places_fit("n", "pos", "n_low", "least(ell, ell_high)", num, den)).where(_places_fit("n_high", "pos_g", "n", "least(ell, ell_high)", num, den))
     met = meets.groupBy("a", "root", "chunk").agg(F.count(F.lit(1)).alias("c"), F.min(F.least("ell", "ell_g")).alias("ell")).where("c >= ell").select("a", "root", "chunk")
     candidates = tables.put(met, "candidates")
     members = grouped.join(candidates.select("root", "chunk").distinct(), ["root", "chunk"], "left_semi").select("entity", "root", "chunk")
     single = candidates.select("root", "chunk").distinct().join(grouped.select("root").distinct(), "root", "left_anti").select(F.col("root").alias("entity"), "root", "chunk")
     opened = tables.put(members.unionByName(single), "opened")
-    sets = tables.put(needed_sets(documents, k, candidates.select(F.col("a").alias("entity")).union(opened.select("entity")).distinct()), "sets")
+    sets = tables.put(needed_sets(documents, k, candidates.select(F.col("a").alias("entity")).union(opened.select("entity")).distinct(), docs), "sets")
     across = tables.put(open_groups(candidates, sets, opened, num, den), "across")
     tables.drop(sets, rows, live)
     # Step 1's components stand for its links: each member is linked with its root.
@@ -388,7 +413,7 @@ def ngram_components(documents: DataFrame, k: int = 5, num: int = 4, den: int =
     if not total:
         return blank
     full = docs.where("n_shingles > 0")
-    roots = components(links(documents, tables, k, num, den, total), tables)
+    roots = components(links(documents, docs, tables, k, num, den, total), tables)
     entities = full.groupBy("entity").agg(F.min("doc_id").alias("first"))
     rooted = entities.join(roots.withColumnRenamed("node", "entity"), "entity", "left").withColumn("root", F.coalesce("root", "entity"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
