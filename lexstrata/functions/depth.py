@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from typing import NamedTuple
 
 from .markers import STARS, TYPES
 
@@ -120,13 +121,67 @@ def weight(places: Sequence[Place]) -> float:
     return 1 - 0.5 * lone / len(places) if places else 1.0
 
 
+class Level(NamedTuple):
+    """A depth that is open: its last place, the type and index its siblings have reached, and the last place's children (2: two or more)."""
+
+    type: str
+    place: int
+    kind: str | None
+    index: int
+    children: int
+
+
+def _extended(levels: tuple[Level, ...], name: str, place: int, at: int) -> tuple[tuple[Level, ...], int] | None:
+    """The open levels after one more place, and how many places with a single child it closes; None where a rule fails.
+    The rules are those of _follows and _siblings, which look at open levels only."""
+    deepest = len(levels) - 1
+    if levels:
+        last = levels[-1]
+        if name == last.type == "stars":
+            fits = at < deepest or (last.place == 1 and at == deepest + 1)
+        elif name == "stars" or (name != last.type and ((place == 0 and at == deepest + 1) or (last.type == "stars" and at == deepest))):
+            fits = True
+        else:
+            fits = at <= deepest and levels[at].type == name and levels[at].place + 1 == place
+        if not fits:
+            return None
+    kind, index = (levels[at].kind, levels[at].index) if at <= deepest else (None, -1)
+    if name == "stars":
+        index += place == 0
+    else:
+        if (kind is not None and kind != name) or (at and levels[at - 1].kind == name) or place <= index:
+            return None
+        kind, index = name, place
+    above = levels[:at]
+    if at:
+        t, p, k, i, n = above[-1]
+        above = (*above[:-1], Level(t, 0 if t == "stars" else p, k, i, min(2, n + 1)))  # which stars they are no longer matters
+    return (*above, Level(name, place, kind, index, 0)), sum(x.children == 1 for x in levels[at:])
+
+
 def depths(markers: Sequence[str], order=None) -> list[int] | None:
-    """Depths of the best solution (of equals, the smallest vector); None without a solution. Trailing stars are level with what they follow."""
-    solutions = solve(markers, order)
-    if not solutions:
+    """Depths of the best solution (of equals, the smallest vector); None without a solution. Trailing stars are level with what they follow.
+
+    Exact for sequences of any length: what may follow depends on the open levels only, so of all assignments of the first
+    markers that leave the same levels open, one is carried on: that with the fewest places with a single child and, of
+    equals, the smallest vector.
+    """
+    if not markers:
         return None
-    best = max(solutions, key=weight)  # the first of equals, and solutions are sorted
-    return [p.depth for p in best]
+    best: dict[tuple[Level, ...], tuple[int, tuple[int, ...]]] = {(): (0, ())}
+    for marker in markers:
+        read = [(name, i) for name, alphabet in TYPES.items() for i, m in enumerate(alphabet) if m == marker]
+        longer: dict[tuple[Level, ...], tuple[int, tuple[int, ...]]] = {}
+        for levels, (lone, vector) in best.items():
+            for depth in range(min(MAX_DEPTH, len(levels)) + 1):
+                for name, index in read:
+                    if _ordered(Place(name, index, depth), order) and (step := _extended(levels, name, index, depth)):
+                        found = (lone + step[1], (*vector, depth))
+                        if step[0] not in longer or found < longer[step[0]]:
+                            longer[step[0]] = found
+        best = longer
+    ends = [(lone + sum(x.children == 1 for x in levels), vector) for levels, (lone, vector) in best.items()]
+    return list(min(ends)[1]) if ends else None
 
 
 def depth_sets(markers: Sequence[str], order=None) -> set[tuple[int, ...]]:
