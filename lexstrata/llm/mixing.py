@@ -3,7 +3,8 @@
 Slot i of the schedule takes the point frac(i / golden ratio), which cumulative target weights map to a source; a
 source's slots are ranked. Each source's documents are shuffled by hash, laid end to end for up to three epochs and cut
 into blocks of equal token counts. The slot of rank r takes block r, so every stretch of the schedule is near the
-weights and what is taken of a source is a prefix of its shuffled epochs.
+weights and what is taken of a source is a prefix of its shuffled epochs. The last block of a source ends where its
+target does; a source that gets no slot is given one behind the schedule.
 """
 
 from __future__ import annotations
@@ -36,7 +37,8 @@ def size_of(text: str = "text") -> Column:
 
 
 def targets(sources: DataFrame, weights=WEIGHTS, most: int = EPOCHS) -> DataFrame:
-    """sources: (source, source_size), one row each. Adds target, and lo/hi, its part of [0, 2^32).
+    """sources: (source, source_size), one row each. Adds target, quota (the target in whole words; quotas sum to all
+    words), and lo/hi, its part of [0, 2^32).
 
     Sources by code point, null last, get the weights in turn and share all words. Where a share is above `most` times
     the source, it stops there and the rest is shared anew: with sources ordered by size over weight, those that stop
@@ -65,7 +67,8 @@ def targets(sources: DataFrame, weights=WEIGHTS, most: int = EPOCHS) -> DataFram
     upto = by_name.rowsBetween(W.unboundedPreceding, 0)
     point = lambda c: F.expr(f"case when total = 0 then 0 else ({c} * cast(4294967296 as {DEC})) div (cast(total as {DEC}) * rest_w) end")
     s = s.withColumn("cum", F.sum("num").over(upto).cast(DEC)).withColumn("cum_before", (F.col("cum") - F.col("num")).cast(DEC))
-    return s.select("source", "ix", "source_size", "target", point("cum_before").alias("lo"), point("cum").alias("hi"))
+    whole = lambda c: F.expr(f"{c} div cast(rest_w as {DEC})")
+    return s.select("source", "ix", "source_size", "target", (whole("cum") - whole("cum_before")).alias("quota"), point("cum_before").alias("lo"), point("cum").alias("hi"))
 
 
 def schedule(spark, sources: DataFrame, slots: int, n_sources: int) -> DataFrame:
@@ -96,10 +99,11 @@ class Mix:
     taken: DataFrame
 
 
-def mix(documents: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS, seed: str = SEED) -> Mix:
+def mix(documents: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS, seed: str = SEED, settled: bool = True) -> Mix:
     """Plans the mix of all documents. Null texts are empty and are never taken; the null source is a source, ordered last.
 
-    Rows that agree in doc_id, source and size are one unit and share what is taken of it evenly.
+    Rows that agree in doc_id, source and size are one unit and share what is taken of it evenly. Every source gives its
+    target, to the word; not settled, it gives a full block for each of its slots, which may be none.
     """
     spark = documents.sparkSession
     tables = Tables(spark, "mix")
@@ -109,8 +113,15 @@ def mix(documents: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS, seed: str =
     n_sources, total = totals.agg(F.count(F.lit(1)), F.coalesce(F.sum("source_size"), F.lit(0))).first()
     block = max(1, min(BLOCK, total // SLOTS))
     shares = tables.put(targets(totals, weights, epochs), "targets")
-    slots = tables.put(schedule(spark, shares, -(-total // block), n_sources), "slots")
-    counts = shares.join(slots.groupBy("ix").agg(F.count(F.lit(1)).alias("slots")), "ix", "left").select(F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("key"), "ix", "source_size", "target", F.coalesce("slots", F.lit(0)).cast("long").alias("slots"))
+    n_slots = -(-total // block)
+    slots = schedule(spark, shares, n_slots, n_sources)
+    if settled:
+        slots = tables.put(slots, "schedule")
+        without = shares.where("quota > 0").join(slots.select("ix").distinct(), "ix", "left_anti")
+        slots = slots.unionByName(without.select("ix", (F.col("ix") + (n_slots - 1)).cast("long").alias("slot"), F.lit(0).cast("long").alias("rank")))
+    slots = tables.put(slots, "slots")
+    counts = shares.join(slots.groupBy("ix").agg(F.count(F.lit(1)).alias("slots")), "ix", "left").select(F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("key"), "ix", "source_size", "target", F.coalesce("slots", F.lit(0)).cast("long").alias("slots"), "quota")
+    counts = counts.withColumn("upto", F.col("quota") if settled else F.col("slots") * block)
     n_units = units.count()
     keyed = units.withColumn("key", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")))
     keyed = join_small(keyed, counts, ["key"], n_sources)
@@ -118,9 +129,9 @@ def mix(documents: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS, seed: str =
     keyed = keyed.withColumn("shuffle", shuffled).withColumn("cell", F.substring("shuffle", 1, hex_digits(n_units)))
     placed = tables.put(running(keyed, ["ix"], "cell", ["shuffle", "doc_id", "size"], {"place": F.col("words")}).drop("cell", "shuffle", "key"), "placed")
     laid = placed.where("words > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
-    laid = laid.withColumn("from", F.expr("place + epoch * source_size")).withColumn("to", F.expr(f"least(place + epoch * source_size + words, slots * {block})")).where("from < to")
-    cut = laid.withColumn("rank", F.explode(F.expr(f"sequence(from div {block}, (to - 1) div {block})")))
-    cut = cut.withColumn("part", F.expr(f"least(to, (rank + 1) * {block}) - greatest(from, rank * {block})"))
+    laid = laid.withColumn("from", F.expr("place + epoch * source_size")).withColumn("to", F.expr(f"least(place + epoch * source_size + words, upto)")).where("from < to")
+    cut = laid.withColumn("rank", F.explode(F.expr(f"sequence(least(from div {block}, slots - 1), least((to - 1) div {block}, slots - 1))")))
+    cut = cut.withColumn("part", F.expr(f"least(to, if(rank = slots - 1, upto, (rank + 1) * {block})) - greatest(from, rank * {block})"))
     pieces = cut.join(slots, ["ix", "rank"]).select("ix", "slot", "rank", "place", "doc_id", "source", "size", "copies", "source_size", "target", F.col("part").alias("taken"))
     same = ["doc_id", "source", "size", "copies", "source_size", "target", "place"]
     every = pieces.select(*same, "taken").unionByName(placed.select(*same, F.lit(0).cast("long").alias("taken")))

@@ -35,8 +35,8 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the mix takes of every document: doc_id, size, source_size, target, taken."""
-    return mixing.mixed_rows(_table(spark, sf_dir, "documents"))
+    """What the mix takes of every document: doc_id, size, source_size, target, taken. In full blocks, as its SQL says."""
+    return mixing.mixed_rows(_table(spark, sf_dir, "documents"), settled=False)
 
 
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,7 +137,8 @@ qualify row_number() over (partition by query_id order by score desc, vec_id) <=
 
 # Brute force over the pairs that share a shingle; components by walking links.
 _OP6_SQL = r"""
-with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') as ws from documents),
+with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+]+') as ws from documents),
 sets as materialized (select doc_id, list_distinct(case when len(ws) = 0 then [] when len(ws) < 4 then [array_to_string(ws, ' ')]
     else list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' ')) end) as g from w),
 t as materialized (select doc_id, unnest(g) as g, len(g) as n from sets),
