@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import BASE, LOWER, Slice, SpanHash, Tables, as_bytes, chained, mixed, signed, slices, unused_prefix, words
 from .graph import components
@@ -397,6 +398,28 @@ def links(documents: DataFrame, docs: DataFrame, tables: Tables, k: int, num: in
     return grouped.select(F.col("entity").alias("a"), F.col("root").alias("b")).union(across)
 
 
+def _rooted(documents: DataFrame, tables: Tables, k: int, num: int, den: int) -> tuple[DataFrame, DataFrame | None]:
+    """docs (doc_id, n_shingles, entity of every document), and (entity, first, root) of every entity: its smallest id, and
+    what stands for its component. None where no text has words."""
+    docs = tables.put(summaries(documents, k), "docs")
+    total = docs.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
+    if not total:
+        return docs, None
+    roots = components(links(documents, docs, tables, k, num, den, total), tables)
+    entities = docs.where("n_shingles > 0").groupBy("entity").agg(F.min("doc_id").alias("first"))
+    return docs, entities.join(roots.withColumnRenamed("node", "entity"), "entity", "left").withColumn("root", F.coalesce("root", "entity"))
+
+
+def _labelled(docs: DataFrame, rooted: DataFrame | None, tables: Tables) -> DataFrame:
+    blank = docs.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    if rooted is None:
+        return blank
+    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    named = tables.put(rooted.join(least, "root").select("entity", "component_id"), "named")
+    out = docs.where("n_shingles > 0").join(named, "entity").select("doc_id", "n_shingles", "component_id")
+    return out.unionByName(blank)
+
+
 def ngram_components(documents: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id that links reach, itself included) of every document.
 
@@ -405,27 +428,40 @@ def ngram_components(documents: DataFrame, k: int = 5, num: int = 4, den: int =
     words (null, empty, blank) are linked with nothing. Rows that repeat an id are compared like others; null ids are
     never the smallest. Extra columns are not read.
     """
-    spark = documents.sparkSession
-    tables = Tables(spark, "ngrams")
-    docs = tables.put(summaries(documents, k), "docs")
-    total = docs.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
-    blank = docs.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    if not total:
-        return blank
-    full = docs.where("n_shingles > 0")
-    roots = components(links(documents, docs, tables, k, num, den, total), tables)
-    entities = full.groupBy("entity").agg(F.min("doc_id").alias("first"))
-    rooted = entities.join(roots.withColumnRenamed("node", "entity"), "entity", "left").withColumn("root", F.coalesce("root", "entity"))
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = tables.put(rooted.join(least, "root").select("entity", "component_id"), "named")
-    out = full.join(named, "entity").select("doc_id", "n_shingles", "component_id")
-    return out.unionByName(blank)
+    tables = Tables(documents.sparkSession, "ngrams")
+    return _labelled(*_rooted(documents, tables, k, num, den), tables)
+
 
+def _with_entities(documents: DataFrame, k: int, size: str, entity: str) -> DataFrame:
+    """documents with the size and the entity of each row's set."""
+    at = documents.columns.index("text")
 
-def keep_one_of_each(documents: DataFrame, **options) -> DataFrame:
-    """documents without near copies: of every component, the row with the smallest doc_id stays; of rows that repeat an id, one."""
-    name = f"{unused_prefix(documents)}id"
-    kept = ngram_components(documents, **options).where("doc_id <=> component_id").select(F.col("doc_id").alias(name)).distinct()
-    out = documents.join(kept, F.col("doc_id").eqNullSafe(F.col(name))).drop(name)
-    rows, ids = documents.agg(F.count(F.lit(1)), F.count_distinct(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).first()
-    return out if rows == ids else out.dropDuplicates(["doc_id"])
+    def run(batches):
+        for batch in batches:
+            n, e = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for s in slices(as_bytes(batch.column(at))):
+                _, _, sizes, entities = sets_of(s, k)
+                n.append(sizes), e.append(entities)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(n)), pa.array(np.concatenate(e))], names=[*batch.schema.names, size, entity])
+
+    return documents.mapInArrow(run, T.StructType([*documents.schema.fields, T.StructField(size, T.LongType()), T.StructField(entity, T.LongType())]))
+
+
+def keep_one_of_each(documents: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
+    """documents without near copies: of every component, one row with the smallest doc_id stays. Rows are told apart by
+    their texts where ids are null or repeat. Texts without words are copies of nothing and stay."""
+    p = unused_prefix(documents)
+    tables = Tables(documents.sparkSession, "ngrams")
+    docs, rooted = _rooted(documents, tables, k, num, den)
+    if rooted is None:
+        return documents
+    rows, ids = docs.agg(F.count(F.lit(1)), F.count_distinct("doc_id")).first()
+    if rows == ids:
+        kept = _labelled(docs, rooted, tables).where("doc_id = component_id").select(F.col("doc_id").alias(f"{p}id"))
+        return documents.join(kept, F.col("doc_id") == F.col(f"{p}id")).drop(f"{p}id")
+    least = rooted.groupBy("root").agg(F.min(F.struct(F.col("first").isNull().alias("none"), "first", "entity")).alias("c"))
+    kept = tables.put(least.select(F.col("c.first").alias(f"{p}id"), F.col("c.entity").alias(f"{p}of")), "kept")
+    sized = _with_entities(documents, k, f"{p}n", f"{p}entity")
+    full = sized.where(f"{p}n > 0").join(kept, (F.col(f"{p}entity") == F.col(f"{p}of")) & F.col("doc_id").eqNullSafe(F.col(f"{p}id")))
+    blank = sized.where(f"{p}n = 0").select(*documents.columns)
+    return full.dropDuplicates([f"{p}of"]).select(*documents.columns).unionByName(blank)

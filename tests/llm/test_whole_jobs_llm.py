@@ -1,6 +1,7 @@
 from collections import Counter
 
 from lexstrata.llm import mixing as M
+from lexstrata.llm import ngram_join as J
 
 
 def test_tiny_sources_get_their_target(make, monkeypatch):
@@ -21,3 +22,12 @@ def test_tiny_sources_get_their_target(make, monkeypatch):
     for r in M.mixed_documents(df).collect():
         words[r["source"]] += len(r["text"].split())
     assert words == +taken
+
+
+def test_keep_one_of_rows_that_share_an_id(make):
+    """Rows with a null or repeated id are kept by text: one of each group of near copies."""
+    one, two, three, four = (" ".join(f"{c}{i}" for i in range(30)) for c in "abcd")
+    near = one.replace("a29", "z")
+    df = make([(None, two, "en", "s"), (None, three, "en", "s"), (None, two, "en", "s"), (None, None, "en", "s"), (None, "", "en", "s"), (1, one, "en", "s"), (7, near, "en", "s"), (7, four, "en", "s"), (7, four, "en", "s"), (8, three, "en", "s"), (9, "", "en", "s")])
+    kept = Counter((r["doc_id"], r["text"]) for r in J.keep_one_of_each(df).collect())
+    assert kept == Counter([(None, two), (None, None), (None, ""), (1, one), (7, four), (8, three), (9, "")])
