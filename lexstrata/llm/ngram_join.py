@@ -2,20 +2,25 @@
 
 Documents with the same set are one entity. Tokens (n-gram hashes) are ordered by frequency class and hash, and each
 entity's first tokens, its prefix, are those of which two linked entities must share some (ELL, where the prefix has no
-frequent token). The join runs in two steps:
-
-1. Grouping. For every prefix token that several entities hold, each of them is compared with the most central one.
-   Links found here gather similar entities; connected ones are put in groups of bounded size.
-2. Token-group matrix. A prefix token's column lists the groups that hold it, not the entities. An entity that meets
-   a group of another component in enough columns is bounded: its overlap with the union of the group's tokens has to
-   reach what the threshold asks for. Only groups that qualify are opened, and their members compared exactly.
-
-Pairs within a component need no comparison: the result is components. Every pair across components that could link
-is met in step 2, so no link between components is lost. Comparisons are of whole sets of 64-bit hashes.
+frequent token). The join runs in three steps:
+
+1. Families. Every entity picks, of the most central holders of its prefix tokens, the one it shares most with; what
+   picks connect is a family of similar documents, and the member that most others pick is its centre.
+2. Token-group matrix, across families. A prefix token's column lists the groups (bounded parts of families) that hold
+   it, not the entities. An entity that meets a group of another family in enough columns is bounded: its overlap with
+   the union of the group's tokens has to reach what the threshold asks for. Only groups that qualify are opened.
+3. Within families. Every member is compared with the centre. Members that it is linked with need no other comparison;
+   the rest get a second order of tokens in which those that the centre lacks come first. Copies with different edits
+   share nothing early in that order, so few of their pairs are met, and those are opened as in step 2.
+
+Every pair that could link is met in step 2 or 3, or is linked through a centre, so no link between components is lost.
+Sets are compared whole, as 64-bit hashes of their n-grams: exact but for collisions of these.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,8 +38,12 @@ HOT_BITS = 21
 LEAST_HOT = 16
 #: Tokens that one range of hashes should have, and entries a mapper gathers before it sends them.
 RANGE_TOKENS, FLUSH = 1 << 21, 1 << 19
-#: Members of a group at most.
+#: Members of a group, about. What names a group: its kind (part of a family, the linked ones of a part, a member alone), family or member, and part.
 GROUP = 16
+GROUP_KEYS = ["kind", "root", "chunk"]
+PART_OF_FAMILY, LINKED, ALONE = 0, 1, 2
+#: Members of a family that meet a copy of the centre's set in one task, about.
+PART = 2048
 #: Entities whose sets are needed are named to the executors up to this number (8 bytes each); beyond, a join selects them.
 NAMED = 2_000_000
 
@@ -155,53 +164,111 @@ def required(n, num: int, den: int):
     return -(-num * n // den)
 
 
-def prefixes(documents: DataFrame, k: int, num: int, den: int, hot: tuple[np.ndarray, np.ndarray], total: int) -> DataFrame:
+KINDS = {"token": np.uint64, "entity": np.int64, "n": np.int32, "pos": np.int32, "ell": np.int8, "weight": np.int32, "root": np.int64, "chunk": np.int32, "linked": np.int8}
+SQL_KINDS = {"u8": "bigint", "i8": "bigint", "i4": "int", "i1": "int"}
+
+
+def _new(token: np.ndarray, entity: np.ndarray) -> np.ndarray:
+    """Of rows in order: is a (token, entity) the first of its kind?"""
+    new = np.ones(len(token), bool)
+    new[1:] = (token[1:] != token[:-1]) | (entity[1:] != entity[:-1])
+    return new
+
+
+class Sender:
+    """Gathers rows of a mapper and packs them, distinct in (token, entity), into arrays by range of tokens. Rows of
+    frequent tokens go to ranges of their own, dealt by entity, so that no range has to hold all rows of such a token."""
+
+    def __init__(self, names: list[str], bits: int):
+        self.names, self.bits, self.loose = names, bits, max(64, 1 << (bits - 2))
+        self.held, self.size = [], 0
+
+    def add(self, frequent: np.ndarray, **columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.held.append([frequent, *[columns[n].astype(KINDS[n]) for n in self.names]])
+        self.size += len(frequent)
+        if self.size >= FLUSH:
+            yield from self.end()
+
+    def end(self) -> Iterator[pa.RecordBatch]:
+        if not self.size:
+            return
+        frequent, *columns = (np.concatenate(x) for x in zip(*self.held, strict=True))
+        self.held, self.size = [], 0
+        token, entity = columns[0], columns[1]
+        order = np.lexsort((entity, token))
+        order = order[_new(token[order], entity[order])]
+        part = np.where(frequent, (1 << self.bits) + (entity.view(np.uint64) % np.uint64(self.loose)).astype(np.int64), (token >> np.uint64(64 - self.bits)).astype(np.int64))
+        order = order[np.argsort(part[order], kind="stable")]
+        part = part[order]
+        edges = [0, *(np.flatnonzero(np.diff(part)) + 1), len(part)]
+        packed = [pa.array([c[order[a:b]].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)], pa.binary()) for c in columns]
+        yield pa.RecordBatch.from_arrays([pa.array(part[edges[:-1]], pa.int32()), *packed], names=["part", *self.names])
+
+    def schema(self) -> str:
+        return ", ".join(["part int", *[f"{n} binary" for n in self.names]])
+
+    def shared(self, packed: DataFrame) -> DataFrame:
+        """The rows of tokens that two entities or more hold; of frequent tokens, all rows."""
+        names, exact = self.names, 1 << self.bits
+
+        def unpack(table: pa.Table) -> pa.Table:
+            columns = [np.concatenate([np.frombuffer(x, KINDS[n]) for x in table[n].to_pylist()]) for n in names]
+            order = np.lexsort((columns[1], columns[0]))
+            order = order[_new(columns[0][order], columns[1][order])]
+            if table["part"][0].as_py() < exact:  # all rows of these tokens are here
+                token = columns[0][order]
+                same = token[1:] == token[:-1]
+                keep = np.zeros(len(token), bool)
+                keep[1:] |= same
+                keep[:-1] |= same
+                order = order[keep]
+            out = {n: c[order] for n, c in zip(names, columns, strict=True)}
+            return pa.table({n: signed(c) if c.dtype == np.uint64 else c.astype(np.int32) if c.dtype == np.int8 else c for n, c in out.items()})
+
+        kinds = ", ".join(f"{n} {SQL_KINDS[np.dtype(KINDS[n]).str[1:]]}" for n in names)
+        return packed.groupBy("part").applyInArrow(unpack, kinds)
+
+
+def _range_bits(total: int) -> int:
+    return max(6, (max(total // 4, 1) // RANGE_TOKENS).bit_length())
+
+
+class Frequencies:
+    """How often frequent cells occur, for looking up tokens."""
+
+    def __init__(self, cells: np.ndarray, counts: np.ndarray):
+        self.cells, self.counts = cells, counts
+        self.maybe = np.zeros(1 << 20, bool)
+        self.maybe[cells >> np.uint32(12)] = True
+
+    def __call__(self, tokens: np.ndarray) -> np.ndarray:
+        cell = (tokens >> np.uint64(32)).astype(np.uint32)
+        often = np.zeros(len(tokens), np.int64)
+        if len(self.cells):
+            look = np.flatnonzero(self.maybe[cell >> np.uint32(12)])
+            at = np.minimum(np.searchsorted(self.cells, cell[look]), len(self.cells) - 1)
+            often[look] = np.where(self.cells[at] == cell[look], self.counts[at], 0)
+        return often
+
+
+def prefixes(documents: DataFrame, k: int, num: int, den: int, hot, total: int) -> DataFrame:
     """(token, entity, n, pos, ell, weight): prefix tokens that two entities or more may hold. pos: the token's place in the
     entity's order. ell: how many prefix tokens a pair must share, as far as this entity goes. weight: how frequent the
-    entity's tokens are in sum, for choosing central ones."""
-    hot_var = documents.sparkSession.sparkContext.broadcast(hot)
-    bits = max(6, (max(total // 4, 1) // RANGE_TOKENS).bit_length())
-    loose = 64  # ranges more, to which rows of frequent tokens go without regard to the token
-    names = ["token", "entity", "n", "pos", "ell", "weight"]
+    entity's tokens are in sum, for choosing central ones. hot: a broadcast of cells and counts."""
+    sender = Sender(["token", "entity", "n", "pos", "ell", "weight"], _range_bits(total))
 
     def gather(batches):
-        cells, counts = hot_var.value
-        maybe = np.zeros(1 << 20, bool)
-        maybe[cells >> np.uint32(12)] = True
-        held, size, turn = [], 0, [0]
-
-        def send():
-            token, entity, n, pos, ell, weight, is_hot = (np.concatenate(x) for x in zip(*held, strict=True))
-            order = np.lexsort((entity, token))
-            token, entity, n, pos, ell, weight, is_hot = (x[order] for x in (token, entity, n, pos, ell, weight, is_hot))
-            new = np.ones(len(token), bool)
-            new[1:] = (token[1:] != token[:-1]) | (entity[1:] != entity[:-1])
-            turn[0] += 1
-            part = np.where(is_hot, (1 << bits) + (entity.view(np.uint64) % np.uint64(loose)).astype(np.int64), (token >> np.uint64(64 - bits)).astype(np.int64))
-            rows = []
-            by_part = np.argsort(part[new], kind="stable")
-            columns = [x[new][by_part] for x in (part, token, entity, n, pos, ell, weight)]
-            edges = np.flatnonzero(np.diff(columns[0])) + 1
-            for a, b in zip([0, *edges], [*edges, len(columns[0])], strict=True):
-                rows.append((int(columns[0][a]), *[c[a:b].tobytes() for c in columns[1:]]))
-            out = list(zip(*rows, strict=True))
-            return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), *[pa.array(c, pa.binary()) for c in out[1:]]], names=["part", *names])
-
+        frequency = Frequencies(*hot.value)
         for batch in batches:
             for s in slices(as_bytes(batch.column(0))):
-                tokens, cuts, size_, entity = sets_of(s, k)
-                doc = np.repeat(np.arange(s.n), size_)
-                cell = (tokens >> np.uint64(32)).astype(np.uint32)
-                often = np.zeros(len(tokens), np.int64)
-                look = np.flatnonzero(maybe[cell >> np.uint32(12)])
-                if len(cells):
-                    at = np.minimum(np.searchsorted(cells, cell[look]), len(cells) - 1)
-                    often[look] = np.where(cells[at] == cell[look], counts[at], 0)
+                tokens, cuts, size, entity = sets_of(s, k)
+                doc = np.repeat(np.arange(s.n), size)
+                often = frequency(tokens)
                 order = np.lexsort((tokens, often, doc))
                 tokens, often = tokens[order], often[order]  # documents stay where they are
                 place = np.arange(len(tokens)) - cuts[doc]
-                need = required(size_, num, den)
-                least = size_ - need + 1
+                need = required(size, num, den)
+                least = size - need + 1
                 rare = np.bincount(doc, weights=often == 0, minlength=s.n).astype(np.int64)
                 # The prefix grows by ell - 1 for ell shared tokens, but not into frequent tokens.
                 ell = np.clip(np.minimum(np.minimum(need, ELL), rare - least + 1), 1, ELL)
@@ -209,49 +276,25 @@ def prefixes(documents: DataFrame, k: int, num: int, den: int, hot: tuple[np.nda
                 chosen = np.zeros(s.n, bool)
                 chosen[firsts] = True
                 keep = (place < (least + ell - 1)[doc]) & chosen[doc]
-                weight = np.minimum(np.bincount(doc, weights=often, minlength=s.n), (1 << 31) - 1).astype(np.int32)
+                weight = np.minimum(np.bincount(doc, weights=often, minlength=s.n), (1 << 31) - 1)
                 d = doc[keep]
-                held.append((tokens[keep], entity[d], size_[d].astype(np.int32), place[keep].astype(np.int32), ell[d].astype(np.int8), weight[d], often[keep] > 0))
-                size += len(d)
-                if size >= FLUSH:
-                    yield send()
-                    held, size = [], 0
-        if size:
-            yield send()
-
-    kinds = {"token": np.uint64, "entity": np.int64, "n": np.int32, "pos": np.int32, "ell": np.int8, "weight": np.int32}
+                yield from sender.add(often[keep] > 0, token=tokens[keep], entity=entity[d], n=size[d], pos=place[keep], ell=ell[d], weight=weight[d])
+        yield from sender.end()
 
-    def shared(table: pa.Table) -> pa.Table:
-        token, entity, n, pos, ell, weight = (np.concatenate([np.frombuffer(x, kinds[c]) for x in table[c].to_pylist()]) for c in names)
-        order = np.lexsort((entity, token))
-        token, entity, n, pos, ell, weight = (x[order] for x in (token, entity, n, pos, ell, weight))
-        new = np.ones(len(token), bool)
-        new[1:] = (token[1:] != token[:-1]) | (entity[1:] != entity[:-1])
-        token, entity, n, pos, ell, weight = (x[new] for x in (token, entity, n, pos, ell, weight))
-        keep = np.ones(len(token), bool)
-        if table["part"][0].as_py() < 1 << bits:  # all rows of these tokens are here
-            same = token[1:] == token[:-1]
-            keep[:] = False
-            keep[1:] |= same
-            keep[:-1] |= same
-        return pa.table({"token": signed(token[keep]), "entity": entity[keep], "n": n[keep], "pos": pos[keep], "ell": ell[keep].astype(np.int32), "weight": weight[keep]})
-
-    packed = _map(documents, gather, "part int, token binary, entity binary, n binary, pos binary, ell binary, weight binary")
-    return packed.groupBy("part").applyInArrow(shared, "token bigint, entity bigint, n int, pos int, ell int, weight int")
+    return sender.shared(_map(documents, gather, sender.schema()))
 
 
 # -- comparisons ------------------------------------------------------------------------------------------------
 
 
-def needed_sets(documents: DataFrame, k: int, entities: DataFrame, docs: DataFrame) -> DataFrame:
-    """(entity, tokens): the packed sets of the entities (a table with a distinct column `entity`), each from the document
-    with the smallest id that has it (docs: doc_id, entity of every document)."""
-    first = docs.join(entities, "entity", "left_semi").groupBy("entity").agg(F.min("doc_id").alias("first"))
+def needed_sets(documents: DataFrame, k: int, wanted: DataFrame, entities: DataFrame) -> DataFrame:
+    """(entity, tokens): the packed sets of the wanted entities (a table with a distinct column `entity`), each from the
+    document with the smallest id that has it (entities: entity, first of every entity)."""
     integral = documents.schema["doc_id"].dataType.typeName() in ("byte", "short", "integer", "long")
-    few = entities.limit(NAMED + 1).count() <= NAMED
+    few = wanted.limit(NAMED + 1).count() <= NAMED
     named = None
     if few:
-        rows = first.select("entity", F.coalesce(F.col("first"), F.lit(-1)).cast("long") if integral else F.lit(-1).cast("long")).toArrow()
+        rows = entities.join(wanted, "entity", "left_semi").select("entity", F.coalesce(F.col("first"), F.lit(-1)).cast("long") if integral else F.lit(-1).cast("long")).toArrow()
         ids, firsts = rows[0].to_numpy(), rows[1].to_numpy()
         order = np.argsort(ids)
         named = (ids[order], firsts[order])
@@ -282,7 +325,7 @@ def needed_sets(documents: DataFrame, k: int, entities: DataFrame, docs: DataFra
     sets = documents.select(F.col("text").cast("binary").alias("text"), key.alias("id")).mapInArrow(run, "entity bigint, tokens binary")
     if few and integral:
         return sets  # a repeated id may give a set twice, which only repeats links
-    return (sets if few else sets.join(entities, "entity", "left_semi")).dropDuplicates(["entity"])
+    return (sets if few else sets.join(wanted, "entity", "left_semi")).dropDuplicates(["entity"])
 
 
 def _overlap(a: np.ndarray, b: np.ndarray) -> int:
@@ -300,29 +343,73 @@ def _similar(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
     return den * both >= num * (len(a) + len(b) - both)
 
 
-def compare(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Those of the pairs (a, b) whose sets are similar."""
+def _only(sets: DataFrame, ids: DataFrame) -> DataFrame:
+    """Those of the sets that are named, so that a join after it moves no others."""
+    ids = ids.distinct()
+    return sets.join(F.broadcast(ids) if ids.limit(NAMED + 1).count() <= NAMED else ids, "entity", "left_semi")
+
+
+def stars(members: DataFrame, sets: DataFrame, hot, num: int, den: int) -> DataFrame:
+    """(entity, root, centre, chunk, linked, n, base, prefix): is a member linked with its family's centre, and its prefix in
+    the family's order, packed: rare tokens that the centre lacks (as many as `base`, or fewer), then the others by frequency.
+
+    members: (entity, root, centre, chunk, part). A family's members are dealt over its parts, each of which has a copy of
+    the centre's set, so no task has to hold a family.
+    """
+    centres = members.select("root", "centre", "part").distinct().join(sets.select(F.col("entity").alias("centre"), F.col("tokens").alias("core")), "centre").drop("centre")
 
     def run(batches):
+        frequency = Frequencies(*hot.value)
+        for batch in batches:
+            entity, root, centre, chunk = (batch.column(i) for i in range(4))
+            linked, n, base, prefix = [], [], [], []
+            for x, y in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True):
+                a, c = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                at = np.minimum(np.searchsorted(c, a), len(c) - 1)
+                inside = c[at] == a
+                both = int(inside.sum())
+                linked.append(den * both >= num * (len(a) + len(c) - both))
+                often = frequency(a)
+                late = inside | (often > 0)
+                most = len(a) - int(required(len(a), num, den)) + 1
+                order = np.lexsort((a, often, late))[:most]
+                n.append(len(a)), base.append(min(most, int((~late).sum()))), prefix.append(a[order].tobytes())
+            yield pa.RecordBatch.from_arrays([entity, root, centre, chunk, pa.array(linked, pa.bool_()), pa.array(n, pa.int32()), pa.array(base, pa.int32()), pa.array(prefix, pa.binary())], names=["entity", "root", "centre", "chunk", "linked", "n", "base", "prefix"])
+
+    met = sets.join(members, "entity").join(centres, ["root", "part"]).select("entity", "root", "centre", "chunk", "tokens", "core")
+    return met.mapInArrow(run, "entity bigint, root bigint, centre bigint, chunk int, linked boolean, n int, base int, prefix binary")
+
+
+def family_rows(stars_: DataFrame, total: int) -> DataFrame:
+    """(token, entity, n, pos, root, chunk, linked): prefix tokens in their family's order that two members or more may hold. A
+    token's hash is mixed with its family's, so one column is one family's."""
+    sender = Sender(["token", "entity", "n", "pos", "root", "chunk", "linked"], _range_bits(total))
+
+    def gather(batches):
         for batch in batches:
-            a, b, x, y = (batch.column(i).to_pylist() for i in range(4))
-            keep = [_similar(np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64), num, den) for p, q in zip(x, y, strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array([v for v, k in zip(c, keep, strict=True) if k], pa.int64()) for c in (a, b)], names=["a", "b"])
+            entity, root, chunk, linked, n, base = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(6))
+            tokens = [np.frombuffer(x, np.uint64) for x in batch.column(6).to_pylist()]
+            size = np.fromiter(map(len, tokens), np.int64, len(tokens))
+            if not size.sum():
+                continue
+            row = np.repeat(np.arange(len(tokens)), size)
+            pos = np.arange(len(row)) - (np.cumsum(size) - size)[row]
+            token = mixed(np.concatenate(tokens) ^ mixed(root.view(np.uint64))[row])
+            yield from sender.add(pos >= base[row], token=token, entity=entity[row], n=n[row], pos=pos, root=root[row], chunk=chunk[row], linked=linked[row])
+        yield from sender.end()
 
-    first = sets.select(F.col("entity").alias("a"), F.col("tokens").alias("x"))
-    second = sets.select(F.col("entity").alias("b"), F.col("tokens").alias("y"))
-    return pairs.join(first, "a").join(second, "b").select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
+    return sender.shared(stars_.select("entity", "root", "chunk", "linked", "n", "base", "prefix").mapInArrow(gather, sender.schema()))
 
 
 def open_groups(candidates: DataFrame, sets: DataFrame, groups: DataFrame, num: int, den: int) -> DataFrame:
-    """Links (a, b) of entities (a) with members of groups that qualify. candidates: (a, root, chunk); groups: (entity, root, chunk)."""
+    """Links (a, b) of entities (a) with members of groups that qualify. candidates: (a, *GROUP_KEYS); groups: (entity, *GROUP_KEYS)."""
 
     def build(table: pa.Table) -> pa.Table:
         members = [np.frombuffer(x, np.uint64) for x in table["tokens"].to_pylist()]
         union = np.unique(np.concatenate(members))
-        return pa.table({"root": table["root"][:1], "chunk": table["chunk"][:1], "members": pa.array([table["entity"].to_pylist()], pa.list_(pa.int64())), "sizes": pa.array([[len(m) for m in members]], pa.list_(pa.int64())), "packed": pa.array([np.concatenate(members).tobytes()], pa.binary()), "union": pa.array([union.tobytes() if len(members) > 1 else b""], pa.binary())})
+        return pa.table({**{c: table[c][:1] for c in GROUP_KEYS}, "members": pa.array([table["entity"].to_pylist()], pa.list_(pa.int64())), "sizes": pa.array([[len(m) for m in members]], pa.list_(pa.int64())), "packed": pa.array([np.concatenate(members).tobytes()], pa.binary()), "union": pa.array([union.tobytes() if len(members) > 1 else b""], pa.binary())})
 
-    matrix = groups.join(sets, "entity").groupBy("root", "chunk").applyInArrow(build, "root bigint, chunk int, members array<bigint>, sizes array<bigint>, packed binary, union binary")
+    matrix = _only(sets, groups.select("entity")).join(groups, "entity").groupBy(*GROUP_KEYS).applyInArrow(build, "kind int, root bigint, chunk int, members array<bigint>, sizes array<bigint>, packed binary, union binary")
 
     def run(batches):
         for batch in batches:
@@ -335,13 +422,13 @@ def open_groups(candidates: DataFrame, sets: DataFrame, groups: DataFrame, num:
                     continue
                 at = 0
                 for e, n in zip(members, sizes, strict=True):
-                    if _similar(q, all_[at : at + n], num, den):
+                    if e != a and _similar(q, all_[at : at + n], num, den):
                         out.append((a, e))
                     at += n
             yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
-    queries = sets.select(F.col("entity").alias("a"), F.col("tokens").alias("x"))
-    met = candidates.join(queries, "a").join(matrix, ["root", "chunk"])
+    queries = _only(sets, candidates.select(F.col("a").alias("entity"))).select(F.col("entity").alias("a"), F.col("tokens").alias("x"))
+    met = candidates.join(queries, "a").join(matrix, GROUP_KEYS)
     return met.select("a", "x", "members", "sizes", "packed", "union").mapInArrow(run, "a bigint, b bigint")
 
 
@@ -360,42 +447,62 @@ def _places_fit(n: str, pos: str, other: str, ell: str, num: int, den: int):
     return F.expr(f"{pos} < {n} - {overlap} + {ell}")
 
 
-def links(documents: DataFrame, docs: DataFrame, tables: Tables, k: int, num: int, den: int, total: int) -> DataFrame:
-    """Links (a, b) between entities that connect all linked ones: those of step 1, and those across its components."""
-    hot = frequent_cells(documents, k, total)
-    found = tables.put(prefixes(documents, k, num, den, hot, total), "prefixes")
+def families(found: DataFrame, tables: Tables, num: int, den: int) -> DataFrame:
+    """(entity, root, centre, chunk, part) of every member of a family. found: rows of prefixes()."""
     # Of a family of copies, the one that shares most of its prefix is likely what the others were made from.
     shared = found.groupBy("entity").agg(F.count(F.lit(1)).cast("int").alias("shared"))
-    live = tables.put(found.join(shared, "entity"), "live")
-    tables.drop(found)
-    central = live.groupBy("token").agg(F.max(F.struct("weight", "shared", "entity", "n", "pos", "ell")).alias("c"), F.min("entity").alias("low"), F.max("entity").alias("high")).where("low < high").select("token", F.col("c.entity").alias("b"), F.col("c.n").alias("n_b"), F.col("c.pos").alias("pos_b"), F.col("c.ell").alias("ell_b"))
-    met = live.select("token", F.col("entity").alias("a"), "n", "pos", "ell").join(central, "token").where("a <> b").where(_sizes_fit("n", "n_b", "n_b", num, den))
+    central = found.join(shared, "entity").groupBy("token").agg(F.max(F.struct("weight", "shared", "entity", "n", "pos", "ell")).alias("c"), F.min("entity").alias("low"), F.max("entity").alias("high")).where("low < high").select("token", F.col("c.entity").alias("b"), F.col("c.n").alias("n_b"), F.col("c.pos").alias("pos_b"), F.col("c.ell").alias("ell_b"))
+    met = found.select("token", F.col("entity").alias("a"), "n", "pos", "ell").join(central, "token").where("a <> b").where(_sizes_fit("n", "n_b", "n_b", num, den))
     met = met.where(_places_fit("n", "pos", "n_b", "least(ell, ell_b)", num, den)).where(_places_fit("n_b", "pos_b", "n", "least(ell, ell_b)", num, den))
-    one = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("c")).groupBy("a").agg(F.max_by("b", F.struct("c", "b")).alias("b"))
-    pairs = tables.put(one, "pairs")
-    sets = tables.put(needed_sets(documents, k, pairs.select(F.col("a").alias("entity")).union(pairs.select("b")).distinct(), docs), "sets")
-    near = tables.put(compare(pairs, sets, num, den), "near")
-    tables.drop(sets, pairs)
-
-    roots = components(near, tables)
-    sizes = roots.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
-    grouped = tables.put(roots.join(sizes, "root").select(F.col("node").alias("entity"), "root", F.expr(f"cast(pmod(xxhash64(node), (members + {GROUP - 1}) div {GROUP}) as int)").alias("chunk")), "groups")
-    rooted = live.join(grouped, "entity", "left").withColumn("root", F.coalesce("root", "entity")).withColumn("chunk", F.coalesce("chunk", F.lit(0)))
+    counted = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"), F.min(F.least("ell", "ell_b")).alias("ell")).where("c >= ell")
+    picks = tables.put(counted.groupBy("a").agg(F.max_by("b", F.struct("c", "b")).alias("b")), "picks")
+    roots = components(picks, tables)
+    picked = picks.groupBy("b").agg(F.count(F.lit(1)).alias("votes")).select(F.col("b").alias("node"), "votes")
+    centres = roots.join(picked, "node", "left").groupBy("root").agg(F.count(F.lit(1)).alias("members"), F.max_by("node", F.struct(F.coalesce("votes", F.lit(0)), "node")).alias("centre"))
+    dealt = lambda most: F.expr(f"cast(pmod(xxhash64(node, {most}), (members + {most - 1}) div {most}) as int)")
+    return roots.join(centres, "root").select(F.col("node").alias("entity"), "root", "centre", dealt(GROUP).alias("chunk"), dealt(PART).alias("part"))
+
+
+def links(documents: DataFrame, entities: DataFrame, tables: Tables, k: int, num: int, den: int, total: int) -> DataFrame:
+    """Links (a, b) between entities that connect all linked ones."""
+    hot = documents.sparkSession.sparkContext.broadcast(frequent_cells(documents, k, total))
+    found = tables.put(prefixes(documents, k, num, den, hot, total), "prefixes")
+    members = tables.put(families(found, tables, num, den), "families")
+
+    # Across families. An entity without one is a group of its own.
+    rooted = found.drop("weight").join(members.select("entity", "root", "chunk"), "entity", "left").withColumn("root", F.coalesce("root", "entity")).withColumn("chunk", F.coalesce("chunk", F.lit(0)))
     crossed = rooted.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("token")
     rows = tables.put(rooted.join(crossed, "token"), "rows")
     columns = rows.groupBy("token", "root", "chunk").agg(F.min("n").alias("n_low"), F.max("n").alias("n_high"), F.min("pos").alias("pos_g"), F.min("ell").alias("ell_g"), F.max("ell").alias("ell_high"))
     meets = rows.select("token", F.col("entity").alias("a"), F.col("root").alias("root_a"), "n", "pos", "ell").join(columns, "token").where("root_a < root").where(_sizes_fit("n", "n_low", "n_high", num, den))
     meets = meets.where(_places_fit("n", "pos", "n_low", "least(ell, ell_high)", num, den)).where(_places_fit("n_high", "pos_g", "n", "least(ell, ell_high)", num, den))
-    met = meets.groupBy("a", "root", "chunk").agg(F.count(F.lit(1)).alias("c"), F.min(F.least("ell", "ell_g")).alias("ell")).where("c >= ell").select("a", "root", "chunk")
-    candidates = tables.put(met, "candidates")
-    members = grouped.join(candidates.select("root", "chunk").distinct(), ["root", "chunk"], "left_semi").select("entity", "root", "chunk")
-    single = candidates.select("root", "chunk").distinct().join(grouped.select("root").distinct(), "root", "left_anti").select(F.col("root").alias("entity"), "root", "chunk")
-    opened = tables.put(members.unionByName(single), "opened")
-    sets = tables.put(needed_sets(documents, k, candidates.select(F.col("a").alias("entity")).union(opened.select("entity")).distinct(), docs), "sets")
-    across = tables.put(open_groups(candidates, sets, opened, num, den), "across")
-    tables.drop(sets, rows, live)
-    # Step 1's components stand for its links: each member is linked with its root.
-    return grouped.select(F.col("entity").alias("a"), F.col("root").alias("b")).union(across)
+    across = meets.groupBy("a", "root", "chunk").agg(F.count(F.lit(1)).alias("c"), F.min(F.least("ell", "ell_g")).alias("ell")).where("c >= ell").select("a", F.lit(PART_OF_FAMILY).alias("kind"), "root", "chunk")
+    across = tables.put(across, "across")
+    tables.drop(found, rows)
+    met_groups = across.select("kind", "root", "chunk").distinct()
+    of_families = met_groups.join(members, ["root", "chunk"]).select("entity", *GROUP_KEYS)
+    of_one = met_groups.join(members.select("root").distinct(), "root", "left_anti").select(F.col("root").alias("entity"), *GROUP_KEYS)
+    opened = tables.put(of_families.unionByName(of_one), "opened")
+
+    wanted = members.select("entity").union(across.select("a")).union(opened.select("entity")).distinct()
+    sets = tables.put(needed_sets(documents, k, wanted, entities), "sets")
+
+    # Within families: what is linked with the centre, and the pairs of others that the family's order lets meet.
+    starred = tables.put(stars(members, sets, hot, num, den), "stars")
+    inner = tables.put(family_rows(starred, total), "inner")
+    linked = F.col("linked") == 1
+    kind = F.when(linked, LINKED).otherwise(ALONE).alias("kind")
+    columns = inner.select("token", "n", "pos", kind, F.when(linked, F.col("root")).otherwise(F.col("entity")).alias("root"), F.when(linked, F.col("chunk")).otherwise(F.lit(0)).alias("chunk")).groupBy("token", *GROUP_KEYS).agg(F.min("n").alias("n_low"), F.max("n").alias("n_high"), F.min("pos").alias("pos_g"))
+    meets = inner.where(~linked).select("token", F.col("entity").alias("a"), "n", "pos").join(columns, "token").where(f"kind = {LINKED} or a < root").where(_sizes_fit("n", "n_low", "n_high", num, den))
+    within = meets.where(_places_fit("n", "pos", "n_low", "1", num, den)).where(_places_fit("n_high", "pos_g", "n", "1", num, den)).select("a", *GROUP_KEYS).distinct()
+    within = tables.put(within, "within")
+    tables.drop(inner)
+    of_linked = starred.where("linked").select("entity", F.lit(LINKED).alias("kind"), "root", "chunk").join(within.select(*GROUP_KEYS).distinct(), GROUP_KEYS, "left_semi")
+    alone = within.where(F.col("kind") == ALONE).select(F.col("root").alias("entity"), *GROUP_KEYS).distinct()
+    opened = tables.put(opened.unionByName(of_linked).unionByName(alone), "groups")
+    out = tables.put(open_groups(across.unionByName(within), sets, opened, num, den).union(starred.where("linked and entity <> centre").select("entity", "centre")), "linked")
+    tables.drop(sets, starred)
+    return out
 
 
 def _rooted(documents: DataFrame, tables: Tables, k: int, num: int, den: int) -> tuple[DataFrame, DataFrame | None]:
@@ -405,9 +512,9 @@ def _rooted(documents: DataFrame, tables: Tables, k: int, num: int, den: int) ->
     total = docs.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
     if not total:
         return docs, None
-    roots = components(links(documents, docs, tables, k, num, den, total), tables)
-    entities = docs.where("n_shingles > 0").groupBy("entity").agg(F.min("doc_id").alias("first"))
-    return docs, entities.join(roots.withColumnRenamed("node", "entity"), "entity", "left").withColumn("root", F.coalesce("root", "entity"))
+    entities = tables.put(docs.where("n_shingles > 0").groupBy("entity").agg(F.min("doc_id").alias("first")), "entities")
+    roots = components(links(documents, entities, tables, k, num, den, total), tables)
+    return docs, tables.put(entities.join(roots.withColumnRenamed("node", "entity"), "entity", "left").withColumn("root", F.coalesce("root", "entity")), "rooted")
 
 
 def _labelled(docs: DataFrame, rooted: DataFrame | None, tables: Tables) -> DataFrame:
@@ -457,8 +564,8 @@ def keep_one_of_each(documents: DataFrame, k: int = 5, num: int = 4, den: int =
         return documents
     rows, ids = docs.agg(F.count(F.lit(1)), F.count_distinct("doc_id")).first()
     if rows == ids:
-        kept = _labelled(docs, rooted, tables).where("doc_id = component_id").select(F.col("doc_id").alias(f"{p}id"))
-        return documents.join(kept, F.col("doc_id") == F.col(f"{p}id")).drop(f"{p}id")
+        kept = rooted.groupBy("root").agg(F.min("first").alias(f"{p}id")).select(f"{p}id").union(docs.where("n_shingles = 0").select("doc_id"))
+        return documents.join(kept, F.col("doc_id") == F.col(f"{p}id"), "left_semi")
     least = rooted.groupBy("root").agg(F.min(F.struct(F.col("first").isNull().alias("none"), "first", "entity")).alias("c"))
     kept = tables.put(least.select(F.col("c.first").alias(f"{p}id"), F.col("c.entity").alias(f"{p}of")), "kept")
     sized = _with_entities(documents, k, f"{p}n", f"{p}entity")
