@@ -37,10 +37,3 @@ def duck(sf_dir):
     for t in "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split():
         c.sql(f"create view {t} as select * from '{sf_dir}/{t}.parquet'")
     return c
-
-
-def rows_of(frame):
-    """Rows of a pandas frame with columns by name, order-insensitive."""
-    columns = sorted(frame.columns)
-    values = frame[columns].astype(object).where(frame[columns].notna(), None).values.tolist()
-    return columns, sorted([tuple(f"{x:.6f}" if isinstance(x, float) else str(x) for x in r) for r in values])

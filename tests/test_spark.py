@@ -1,6 +1,6 @@
 import pytest
-from conftest import rows_of
 from pyspark.sql import functions as F
+from sql_rows import rows_of
 
 from lexstrata.functions import kernels as K
 from lexstrata.operators import joins as J
