@@ -570,6 +570,8 @@ def amdpar_tokens(spark, sf_dir):
     """Amendments parsed from sentences made of orders."""
     verb = F.element_at(F.array(*[F.lit(v) for v in ("revise", "add", "remove", "revising the introductory text of")]), (F.col("o_orderkey") % 4 + 1).cast("int"))
     o = table(spark, sf_dir, "orders").select("o_orderkey", F.concat(F.lit("In § "), F.col("o_custkey").cast("string"), F.lit("."), (F.col("o_orderkey") % 90 + 1).cast("string"), F.lit(", "), verb, F.lit(" paragraphs (a)("), (F.col("o_orderkey") % 9 + 1).cast("string"), F.lit(") and (b) to read as follows:")).alias("sentence"))
+    # The table may be one file with one row group, which would be one task; parsing costs more than moving a sentence.
+    o = o.repartition(4 * spark.sparkContext.defaultParallelism)
     return kernels.amendments(o, "o_orderkey", "sentence")
 
 
