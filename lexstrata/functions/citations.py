@@ -149,7 +149,7 @@ marked_appendix = all_of(APPENDIX_WORD, first_of(appendix_with_section, appendix
 section_paragraph = all_of(number, paragraph_fields)
 inner = first_of(any_paragraph, all_of(part_section, (paragraph_fields,)), section_paragraph, appendix_with_section, marked_appendix)
 comment_target = first_of(all_of(number, comment_fields), section_paragraph, all_of(part_section, (paragraph_fields,)), all_of(SECTION_SIGN, part_section, (paragraph_fields,)))
-_CONJUNCTION = _p(r"(?:,\s*(?:and\b|or\b)?|and\b|or\b|except\s+for\b|-|through\b)", re.I)
+_CONJUNCTION = _p(r"(?:,\s*(?:and\b|or\b)?|and\b|or\b|except\s+for\b|-|through\b)", flags=re.I)
 _OPEN, _CLOSE = _p(r"\("), _p(r"\)")
 COMMENT_MARK = sequence(COMMENT, (word("of", "to"),))
 ANY_MARK = first_of(lambda c: c.take(PARAGRAPHS), lambda c: c.take(PARAGRAPH), lambda c: c.take(SECTIONS_SIGN), lambda c: c.take(SECTION_SIGN))
@@ -239,7 +239,7 @@ def _pattern(p: re.Pattern):
     return lambda c: c.take(p)
 
 
-_APPENDIX_PART = _p(r"\bappendix\b\s*([A-Z]+[0-9]*)\b\s*,\s*part\b\s*([IVXLCDM]+)((?:\.(?:[A-Z]+(?![a-z])|\d+)){0,3})", re.I)
+_APPENDIX_PART = _p(r"\bappendix\b\s*([A-Z]+[0-9]*)\b\s*,\s*part\b\s*([IVXLCDM]+)((?:\.(?:[A-Z]+(?![a-z])|\d+)){0,3})", flags=re.I)
 _PARAGRAPH_OF_PART = _p(r"\bparagraph\b\s*([A-Z]+|\d+)((?:\.(?:[A-Z]+|\d+)){0,2})\s*\.\s*of\s+part\s+([IVXLCDM]+)")
 
 

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import copy
 import re
 import xml.etree.ElementTree as ET
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from datetime import date, datetime
 
 from . import amendments as A
 from .model import INTERP, Node
-from .regxml import build_appendix, build_section, build_supplement, node_text
+from .regxml import OPEN, build_appendix, build_section, build_subpart, build_supplement, node_text
 from .replay import Change
 
 MONTHS = "January February March April May June July August September October November December".split()
@@ -166,16 +167,96 @@ def delayed(notices: list[dict], texts: dict[str, list[str]]) -> list[dict]:
 # -- changes ----------------------------------------------------------------------------------------------------
 
 
-def parsed_nodes(el: ET.Element, part: str) -> list[Node]:
-    """The nodes of what an amendment shows: sections, appendices, interpretations."""
+_APPENDIX_HEAD = re.compile(r"Appendix\s+([A-Z]+[0-9]*)\s+to\s+Part\s+(\d+)", re.I)
+
+
+def repaired(root: ET.Element) -> ET.Element:
+    """A notice with frequent slips of its markup mended: an instruction that ends a REGTEXT goes to the next one of its
+    part; paragraphs that announce Supplement I are instructions; parentheses of emphasised markers stand outside the emphasis."""
+    root = copy.deepcopy(root)
+    for above in root.iter():
+        for here, after in zip(list(above), list(above)[1:], strict=False):
+            if len(here) and here[-1].tag == "AMDPAR" and here.get("PART") == after.get("PART"):
+                moved = here[-1]
+                here.remove(moved)
+                after.insert(0, moved)
+    for regtext in root.iter("REGTEXT"):
+        blocks = list(regtext)
+        heads = [i for i, c in enumerate(blocks) if c.tag == "HD" and c.get("SOURCE") == "HD1" and "Supplement I" in node_text(c)]
+        announced = [i for i, c in enumerate(blocks) if c.tag in ("P", "AMDPAR") and "supplement i" in node_text(c).lower()]
+        for head in heads if announced else []:
+            first = max([i for i in announced if i < head], default=0)
+            for c in blocks[first:head]:
+                c.tag = "AMDPAR" if c.tag == "P" else c.tag
+    for p in root.iter("P"):
+        if not len(p) or p[0].tag != "E":
+            continue
+        em, before = p[0], p.text or ""
+        inside, after = em.text or "", em.tail or ""
+        opened, closed = inside[:1] == "(", inside[-1:] == ")"
+        if (before[-1:] == "(" or opened) and (closed or after[:1] == ")"):
+            if opened and before[-1:] != "(":
+                p.text, inside = before + "(", inside[1:]
+            if closed and after[:1] != ")":
+                inside, em.tail = inside[:-1], ")" + after
+            em.text = inside
+    return root
+
+
+def _printed_supplement(el: ET.Element) -> ET.Element | None:
+    """Interpretations printed in a REGTEXT without an element of their own: from the header of Supplement I on."""
+    flat = [x for c in el for x in (c if c.tag in ("EXTRACT", "APPENDIX", "SUBPART") else [c])]
+    at = next((i for i, c in enumerate(flat) if c.tag == "HD" and "Supplement I" in node_text(c)), None)
+    if at is None:
+        return None
+    out = ET.Element("APPENDIX")
+    out.extend(c for c in flat[at:] if c.tag in ("HD", "P", "FP", "STARS"))
+    return out
+
+
+def _printed_appendices(el: ET.Element) -> list[ET.Element]:
+    """Whole appendices printed as a header and an extract."""
     out = []
-    for c in el.iter():
-        if c.tag == "SECTION":
-            out += build_section(part, c)
-        elif c.tag == "APPENDIX":
-            heading = next((node_text(h, True) for h in c if h.tag == "HD"), "")
-            n = build_supplement(c, part) if "Supplement I" in heading else build_appendix(c, part)
-            out += [n] if n is not None else []
+    for above in el.iter():
+        for head, body in zip(list(above), list(above)[1:], strict=False):
+            if head.tag == "HD" and body.tag == "EXTRACT" and _APPENDIX_HEAD.search(node_text(head)):
+                whole = ET.Element("APPENDIX")
+                title = copy.copy(head)
+                title.set("SOURCE", "HED")
+                whole.append(title)
+                for c in body:
+                    if c.tag == "AMDPAR":
+                        break
+                    whole.append(c)
+                out.append(whole)
+    return out
+
+
+def parsed_nodes(el: ET.Element, part: str, interpretations: bool = True) -> list[Node]:
+    """The nodes of what an amendment shows: sections, appendices, interpretations. A single section takes the loose
+    paragraphs that follow the instructions after it."""
+    out, sections, appendices = [], [c for c in el.iter("SECTION")], [c for c in el.iter("APPENDIX")]
+    blocks = list(el)
+    if len(sections) == 1 and sections[0] in blocks:
+        after = blocks[blocks.index(sections[0]) + 1 :]
+        loose = [c for i, c in enumerate(after) if c.tag in ("P", "STARS") and any(x.tag == "AMDPAR" for x in after[:i])]
+        if loose:
+            whole = copy.copy(sections[0])
+            whole.extend(loose)
+            sections = [whole]
+    for c in sections:
+        out += build_section(part, c)
+    supplement = None
+    for c in [*appendices, *_printed_appendices(el)]:
+        heading = next((node_text(h, True) for h in c if h.tag == "HD"), "")
+        if "Supplement I" in heading:
+            supplement = c
+        elif (n := build_appendix(c, part)) is not None:
+            out.append(n)
+    if interpretations:
+        supplement = _printed_supplement(el) if supplement is None or _printed_supplement(el) is not None else supplement
+        n = build_supplement(supplement, part) if supplement is not None else None
+        out += [n] if n is not None else []
     return out
 
 
@@ -200,32 +281,105 @@ def candidates(label_id: str, nodes: list[Node], used: set[str]) -> Node | None:
     return last[0] if len(last) == 1 else None
 
 
-def changes(el: ET.Element) -> list[Change]:
-    """Changes of one REGTEXT: amendments matched with the nodes that it shows. Nodes of only stars are kept."""
-    part = el.get("PART") or ""
-    shown = [n for top in parsed_nodes(el, part) for n in top.walk()]
+def _reserved(label: tuple, part: str) -> Node:
+    """The node that `remove and reserve` leaves where nothing is printed for it."""
+    if len(label) == 2 and label[1].isdigit():
+        return Node("", list(label), "regtext", f"§ {label[0]}.{label[1]} [Reserved]")
+    kind = "interp" if INTERP in label else "appendix" if len(label) > 1 and not label[1].isdigit() else "regtext"
+    text = "[Reserved]" if len(label) < 2 else f"{label[-1]}. [Reserved]" if kind == "interp" else f"({label[-1]}) [Reserved]"
+    return Node("", list(label), kind, f"Appendix {label[1]} to Part {part} [Reserved]") if kind == "appendix" and len(label) == 2 else Node(text, list(label), kind)
+
+
+def _only_stars(n: Node) -> bool:
+    return re.sub(r"^\s*(?:\([^)]*\)|\w+\.)?", "", n.text).strip() == "* * *"
+
+
+def _printed(n: Node) -> tuple[Node, list[Change]]:
+    """A node without descendants that are printed as stars, and that these are to stay as they are."""
+    n, kept = copy.deepcopy(n), []
+    for x in n.walk():
+        kept += [Change("KEEP", c.label_id) for c in x.children if _only_stars(c)]
+        x.children = [c for c in x.children if not _only_stars(c)]
+    return n, kept
+
+
+def changes(el: ET.Element, part: str = "", printed: ET.Element | None = None) -> list[Change]:
+    """Changes of one REGTEXT: amendments matched with the nodes that it (or `printed`, where it shows none itself) shows.
+
+    Nodes of only stars are kept; a node that ends with a colon before stars changes its own text; a new subpart is added
+    with its sections, and sections that are added in a printed subpart belong to it. What is reserved without being
+    printed is left as a node that says so. Amendments whose node is not found, and those of other parts, make no change.
+    """
+    part = part or el.get("PART") or ""
+    found = [a for a in amended(el, (part,)) if a.action == "DESIGNATE" or a.label[:1] in ((part,), ())]
+    holder = el if printed is None else printed
+    shown = [n for top in parsed_nodes(holder, part, any(INTERP in a.label for a in found)) for n in top.walk()]
     by_label = {n.label_id: n for n in shown}
-    found = amended(el)
+    subparts = {n.label[-1]: n for n in (build_subpart(part, s) for s in holder.iter("SUBPART")) if n.label[-1:] != ["Subpart"]}
+    inside = {c.label_id: n.label for n in subparts.values() for c in n.children}
     used = {a.label_id for a in found if a.label_id in by_label}
-    out = []
+    out: list[Change] = []
     for a in found:
-        if a.action in ("DELETE",):
+        if a.action == "DELETE":
             out.append(Change("DELETE", a.label_id))
         elif a.action == "MOVE":
-            out.append(Change("MOVE", a.label_id, destination=tuple(a.destination or ())))
+            out.append(Change("MOVE", a.label_id, destination=tuple(x for x in a.destination or () if x != "?")))
         elif a.action == "DESIGNATE":
             out += [Change("DESIGNATE", x, destination=tuple(re.split(r"-|:", "-".join(a.destination or ())))) for x in a.labels]
+        elif a.action == "POST" and a.subpart and not any(x.isdigit() for x in a.label[1:]):
+            if (new := subparts.get(a.subpart)) is not None:
+                out.append(Change("POST", new.label_id, new))
         else:
             n = by_label.get(a.label_id) or candidates(a.label_id, shown, used)
+            if n is None and a.action == "RESERVE":
+                n = _reserved(a.label, part)
             if n is None:
                 continue
-            if n.text.strip().endswith("* * *") and not a.field and a.action == "PUT" and re.fullmatch(r"\s*(?:\([^)]*\))?\s*\* \* \*", n.text):
+            field = f"[{a.field}]" if a.field else None
+            if a.action == "PUT" and field is None and _only_stars(n):
                 out.append(Change("KEEP", a.label_id))
-            else:
-                out.append(Change(a.action, a.label_id, n, f"[{a.field}]" if a.field else None))
+                continue
+            if a.action == "PUT" and field is None and n.marker == OPEN:
+                field = "[text]"
+            if field is None:
+                n, kept = _printed(n)
+                out += kept
+            out.append(Change(a.action, a.label_id, n, field, subpart=tuple(inside.get(n.label_id, ())) if a.action == "POST" else ()))
     return [c for i, c in enumerate(out) if c not in out[:i]]
 
 
+def notice_changes(root: ET.Element, part: str = "") -> Iterator[Change]:
+    """Changes of a whole notice, its markup mended first. Instructions that show nothing are matched with the next REGTEXT's
+    section, where that has no instructions of its own."""
+    blocks = list(repaired(root).iter("REGTEXT"))
+    for i, el in enumerate(blocks):
+        after = blocks[i + 1] if i + 1 < len(blocks) else None
+        bare = all(c.tag == "AMDPAR" for c in el) and after is not None and after.find("AMDPAR") is None
+        if el.find(".//AMDPAR") is not None:
+            yield from changes(el, part or el.get("PART") or "", after if bare else None)
+
+
+def merged(rows: Iterable[tuple[str, Change]], patches: dict[str, Iterable[Change]]) -> list[tuple[str, Change]]:
+    """(document, change) rows with the patches of each document after its own changes; a patch of a label replaces what the
+    document does to that label."""
+    rows = list(rows)
+    fixed = {(d, c.label_id) for d, cs in patches.items() for c in cs}
+    return [(d, c) for d, c in rows if (d, c.label_id) not in fixed] + [(d, c) for d in sorted(patches) for c in patches[d]]
+
+
+def described(c: Change) -> str:
+    """A change in words."""
+    n = c.node
+    if c.action in ("PUT", "POST") and n is not None:
+        if c.action == "PUT" and c.field:
+            return f"{c.field.strip('[]').title()} changed to: {n.title or n.text}"
+        verb = "Modified" if c.action == "PUT" else "Added"
+        return f"{verb} (title: {n.title}): {n.text}" if n.title else f"{verb}: {n.text}"
+    if c.action == "DESIGNATE":
+        return "Moved to " + "-".join(c.destination)
+    return {"DELETE": "Deleted", "RESERVE": "Reserved", "KEEP": "Mentioned but not modified"}.get(c.action, c.action)
+
+
 def fields(j: dict) -> list[dict]:
     """Notice rows of an API record: one for each CFR title's parts."""
     parts = sorted({str(r["part"]) for r in j.get("cfr_references", [])})

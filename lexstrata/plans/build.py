@@ -26,9 +26,8 @@ def notice_changes(files: DataFrame) -> DataFrame:
 
     def find(text):
         seq = itertools.count()
-        for el in ET.fromstring(text).iter("REGTEXT"):
-            for c in N.changes(el):
-                yield next(seq), c.action, c.label_id, c.field, list(c.destination), list(c.subpart), to_rows(c.node) if c.node else None
+        for c in N.notice_changes(ET.fromstring(text)):
+            yield next(seq), c.action, c.label_id, c.field, list(c.destination), list(c.subpart), to_rows(c.node) if c.node else None
 
     return flat_map(files, ["document_number"], ["text"], find, CHANGE_SCHEMA)
 
