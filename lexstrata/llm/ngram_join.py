@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 
 from .common import BASE, LOWER, Slice, SpanHash, Tables, as_bytes, chained, mixed, signed, slices, unused_prefix, words
 from .graph import components
+from .ranks import BROADCAST_ROWS
 
 #: Shared prefix tokens that a pair must have, where both prefixes consist of infrequent tokens.
 ELL = 3
@@ -175,6 +176,31 @@ def _new(token: np.ndarray, entity: np.ndarray) -> np.ndarray:
     return new
 
 
+#: Rows of a token whose partners are looked for pair by pair; of more, all are kept.
+TRIED = 64
+
+
+def _partnered(token: np.ndarray, n: np.ndarray, pos: np.ndarray, ell: np.ndarray | None, num: int, den: int) -> np.ndarray:
+    """Of rows in the order of their tokens: is there another row of the token with which a link is possible? (See
+    _sizes_fit and _places_fit.)"""
+    n, pos = n.astype(np.int64), pos.astype(np.int64)
+    ell = np.ones(len(n), np.int64) if ell is None else ell.astype(np.int64)
+    first, count = np.unique(token, return_index=True, return_counts=True)[1:]
+    keep = np.repeat(count > TRIED, count)
+    at = np.flatnonzero(~keep)
+    left = np.repeat(first + count, count) - np.arange(len(token))  # rows of the token from here on
+    for step in range(1, TRIED):
+        at = at[left[at] > step]
+        if not len(at):
+            break
+        a, b = at, at + step
+        low, high = np.minimum(n[a], n[b]), np.maximum(n[a], n[b])
+        both, shared = -(-num * (low + high) // (num + den)), np.minimum(ell[a], ell[b])
+        fits = (den * low >= num * high) & (pos[a] < n[a] - both + shared) & (pos[b] < n[b] - both + shared)
+        keep[a[fits]] = keep[b[fits]] = True
+    return keep
+
+
 class Sender:
     """Gathers rows of a mapper and packs them, distinct in (token, entity), into arrays by range of tokens. Rows of
     frequent tokens go to ranges of their own, dealt by entity, so that no range has to hold all rows of such a token."""
@@ -207,8 +233,9 @@ class Sender:
     def schema(self) -> str:
         return ", ".join(["part int", *[f"{n} binary" for n in self.names]])
 
-    def shared(self, packed: DataFrame) -> DataFrame:
-        """The rows of tokens that two entities or more hold; of frequent tokens, all rows."""
+    def shared(self, packed: DataFrame, num: int, den: int) -> DataFrame:
+        """The rows of tokens that have a partner: another entity with this token that fits in size and place. Of frequent
+        tokens, whose rows are in several ranges, all rows."""
         names, exact = self.names, 1 << self.bits
 
         def unpack(table: pa.Table) -> pa.Table:
@@ -216,12 +243,8 @@ class Sender:
             order = np.lexsort((columns[1], columns[0]))
             order = order[_new(columns[0][order], columns[1][order])]
             if table["part"][0].as_py() < exact:  # all rows of these tokens are here
-                token = columns[0][order]
-                same = token[1:] == token[:-1]
-                keep = np.zeros(len(token), bool)
-                keep[1:] |= same
-                keep[:-1] |= same
-                order = order[keep]
+                c = {n: x[order] for n, x in zip(names, columns, strict=True)}
+                order = order[_partnered(c["token"], c["n"], c["pos"], c.get("ell"), num, den)]
             out = {n: c[order] for n, c in zip(names, columns, strict=True)}
             return pa.table({n: signed(c) if c.dtype == np.uint64 else c.astype(np.int32) if c.dtype == np.int8 else c for n, c in out.items()})
 
@@ -252,7 +275,7 @@ class Frequencies:
 
 
 def prefixes(documents: DataFrame, k: int, num: int, den: int, hot, total: int) -> DataFrame:
-    """(token, entity, n, pos, ell, weight): prefix tokens that two entities or more may hold. pos: the token's place in the
+    """(token, entity, n, pos, ell, weight): prefix tokens by which two entities may be linked. pos: the token's place in the
     entity's order. ell: how many prefix tokens a pair must share, as far as this entity goes. weight: how frequent the
     entity's tokens are in sum, for choosing central ones. hot: a broadcast of cells and counts."""
     sender = Sender(["token", "entity", "n", "pos", "ell", "weight"], _range_bits(total))
@@ -281,7 +304,7 @@ def prefixes(documents: DataFrame, k: int, num: int, den: int, hot, total: int)
                 yield from sender.add(often[keep] > 0, token=tokens[keep], entity=entity[d], n=size[d], pos=place[keep], ell=ell[d], weight=weight[d])
         yield from sender.end()
 
-    return sender.shared(_map(documents, gather, sender.schema()))
+    return sender.shared(_map(documents, gather, sender.schema()), num, den)
 
 
 # -- comparisons ------------------------------------------------------------------------------------------------
@@ -353,7 +376,8 @@ def stars(members: DataFrame, sets: DataFrame, hot, num: int, den: int) -> DataF
     """(entity, root, centre, chunk, linked, n, base, prefix): is a member linked with its family's centre, and its prefix in
     the family's order, packed: rare tokens that the centre lacks (as many as `base`, or fewer), then the others by frequency.
 
-    members: (entity, root, centre, chunk, part). A family's members are dealt over its parts, each of which has a copy of
+    members: (entity, root, centre, chunk, part, least). The prefix is as long as a link with the family's smallest set (of
+    `least` tokens) can need. A family's members are dealt over its parts, each of which has a copy of
     the centre's set, so no task has to hold a family.
     """
     centres = members.select("root", "centre", "part").distinct().join(sets.select(F.col("entity").alias("centre"), F.col("tokens").alias("core")), "centre").drop("centre")
@@ -363,7 +387,7 @@ def stars(members: DataFrame, sets: DataFrame, hot, num: int, den: int) -> DataF
         for batch in batches:
             entity, root, centre, chunk = (batch.column(i) for i in range(4))
             linked, n, base, prefix = [], [], [], []
-            for x, y in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True):
+            for x, y, smallest in zip(*(batch.column(i).to_pylist() for i in (4, 5, 6)), strict=True):
                 a, c = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 at = np.minimum(np.searchsorted(c, a), len(c) - 1)
                 inside = c[at] == a
@@ -371,24 +395,29 @@ def stars(members: DataFrame, sets: DataFrame, hot, num: int, den: int) -> DataF
                 linked.append(den * both >= num * (len(a) + len(c) - both))
                 often = frequency(a)
                 late = inside | (often > 0)
-                most = len(a) - int(required(len(a), num, den)) + 1
+                other = max(smallest, int(required(len(a), num, den)))
+                most = max(0, len(a) - -(-num * (len(a) + other) // (num + den)) + 1)
                 order = np.lexsort((a, often, late))[:most]
                 n.append(len(a)), base.append(min(most, int((~late).sum()))), prefix.append(a[order].tobytes())
             yield pa.RecordBatch.from_arrays([entity, root, centre, chunk, pa.array(linked, pa.bool_()), pa.array(n, pa.int32()), pa.array(base, pa.int32()), pa.array(prefix, pa.binary())], names=["entity", "root", "centre", "chunk", "linked", "n", "base", "prefix"])
 
-    met = sets.join(members, "entity").join(centres, ["root", "part"]).select("entity", "root", "centre", "chunk", "tokens", "core")
+    met = sets.join(members, "entity").join(centres, ["root", "part"]).select("entity", "root", "centre", "chunk", "tokens", "core", "least")
     return met.mapInArrow(run, "entity bigint, root bigint, centre bigint, chunk int, linked boolean, n int, base int, prefix binary")
 
 
-def family_rows(stars_: DataFrame, total: int) -> DataFrame:
-    """(token, entity, n, pos, root, chunk, linked): prefix tokens in their family's order that two members or more may hold. A
-    token's hash is mixed with its family's, so one column is one family's."""
+def family_rows(stars_: DataFrame, total: int, num: int, den: int) -> DataFrame:
+    """(token, entity, n, pos, root, chunk, linked): prefix tokens in their family's order by which two members may be linked. A
+    token's hash is mixed with its family's, so one column is one family's. What linked members share with the centre is
+    left out where no other member of the family has such a token in its prefix."""
     sender = Sender(["token", "entity", "n", "pos", "root", "chunk", "linked"], _range_bits(total))
+    near = stars_.where("not linked and octet_length(prefix) > 8 * base").select("root").distinct().withColumn("near", F.lit(True))
+    near = F.broadcast(near) if near.limit(NAMED + 1).count() <= NAMED else near
 
     def gather(batches):
         for batch in batches:
-            entity, root, chunk, linked, n, base = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(6))
-            tokens = [np.frombuffer(x, np.uint64) for x in batch.column(6).to_pylist()]
+            entity, root, chunk, linked, n, base, near = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(7))
+            tokens = [np.frombuffer(x, np.uint64) for x in batch.column(7).to_pylist()]
+            tokens = [t if y or not x else t[:b] for t, x, y, b in zip(tokens, linked, near, base, strict=True)]
             size = np.fromiter(map(len, tokens), np.int64, len(tokens))
             if not size.sum():
                 continue
@@ -398,7 +427,8 @@ def family_rows(stars_: DataFrame, total: int) -> DataFrame:
             yield from sender.add(pos >= base[row], token=token, entity=entity[row], n=n[row], pos=pos, root=root[row], chunk=chunk[row], linked=linked[row])
         yield from sender.end()
 
-    return sender.shared(stars_.select("entity", "root", "chunk", "linked", "n", "base", "prefix").mapInArrow(gather, sender.schema()))
+    flagged = stars_.join(near, "root", "left").select("entity", "root", "chunk", "linked", "n", "base", F.coalesce("near", F.lit(False)).alias("near"), "prefix")
+    return sender.shared(flagged.mapInArrow(gather, sender.schema()), num, den)
 
 
 def open_groups(candidates: DataFrame, sets: DataFrame, groups: DataFrame, num: int, den: int) -> DataFrame:
@@ -447,8 +477,9 @@ def _places_fit(n: str, pos: str, other: str, ell: str, num: int, den: int):
     return F.expr(f"{pos} < {n} - {overlap} + {ell}")
 
 
-def families(found: DataFrame, tables: Tables, num: int, den: int) -> DataFrame:
-    """(entity, root, centre, chunk, part) of every member of a family. found: rows of prefixes()."""
+def families(found: DataFrame, entities: DataFrame, tables: Tables, num: int, den: int) -> DataFrame:
+    """(entity, root, centre, chunk, part, least) of every member of a family. found: rows of prefixes(); least: the size of
+    the family's smallest set."""
     # Of a family of copies, the one that shares most of its prefix is likely what the others were made from.
     shared = found.groupBy("entity").agg(F.count(F.lit(1)).cast("int").alias("shared"))
     central = found.join(shared, "entity").groupBy("token").agg(F.max(F.struct("weight", "shared", "entity", "n", "pos", "ell")).alias("c"), F.min("entity").alias("low"), F.max("entity").alias("high")).where("low < high").select("token", F.col("c.entity").alias("b"), F.col("c.n").alias("n_b"), F.col("c.pos").alias("pos_b"), F.col("c.ell").alias("ell_b"))
@@ -458,16 +489,19 @@ def families(found: DataFrame, tables: Tables, num: int, den: int) -> DataFrame:
     picks = tables.put(counted.groupBy("a").agg(F.max_by("b", F.struct("c", "b")).alias("b")), "picks")
     roots = components(picks, tables)
     picked = picks.groupBy("b").agg(F.count(F.lit(1)).alias("votes")).select(F.col("b").alias("node"), "votes")
-    centres = roots.join(picked, "node", "left").groupBy("root").agg(F.count(F.lit(1)).alias("members"), F.max_by("node", F.struct(F.coalesce("votes", F.lit(0)), "node")).alias("centre"))
+    sized = roots.join(entities.select(F.col("entity").alias("node"), "n"), "node").join(picked, "node", "left")
+    centres = sized.groupBy("root").agg(F.count(F.lit(1)).alias("members"), F.min("n").alias("least"), F.max_by("node", F.struct(F.coalesce("votes", F.lit(0)), "node")).alias("centre"))
+    centres = tables.put(centres, "centres")
+    centres = F.broadcast(centres) if centres.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else centres
     dealt = lambda most: F.expr(f"cast(pmod(xxhash64(node, {most}), (members + {most - 1}) div {most}) as int)")
-    return roots.join(centres, "root").select(F.col("node").alias("entity"), "root", "centre", dealt(GROUP).alias("chunk"), dealt(PART).alias("part"))
+    return roots.join(centres, "root").select(F.col("node").alias("entity"), "root", "centre", dealt(GROUP).alias("chunk"), dealt(PART).alias("part"), "least")
 
 
 def links(documents: DataFrame, entities: DataFrame, tables: Tables, k: int, num: int, den: int, total: int) -> DataFrame:
     """Links (a, b) between entities that connect all linked ones."""
     hot = documents.sparkSession.sparkContext.broadcast(frequent_cells(documents, k, total))
     found = tables.put(prefixes(documents, k, num, den, hot, total), "prefixes")
-    members = tables.put(families(found, tables, num, den), "families")
+    members = tables.put(families(found, entities, tables, num, den), "families")
 
     # Across families. An entity without one is a group of its own.
     rooted = found.drop("weight").join(members.select("entity", "root", "chunk"), "entity", "left").withColumn("root", F.coalesce("root", "entity")).withColumn("chunk", F.coalesce("chunk", F.lit(0)))
@@ -489,7 +523,7 @@ def links(documents: DataFrame, entities: DataFrame, tables: Tables, k: int, num
 
     # Within families: what is linked with the centre, and the pairs of others that the family's order lets meet.
     starred = tables.put(stars(members, sets, hot, num, den), "stars")
-    inner = tables.put(family_rows(starred, total), "inner")
+    inner = tables.put(family_rows(starred, total, num, den), "inner")
     linked = F.col("linked") == 1
     kind = F.when(linked, LINKED).otherwise(ALONE).alias("kind")
     columns = inner.select("token", "n", "pos", kind, F.when(linked, F.col("root")).otherwise(F.col("entity")).alias("root"), F.when(linked, F.col("chunk")).otherwise(F.lit(0)).alias("chunk")).groupBy("token", *GROUP_KEYS).agg(F.min("n").alias("n_low"), F.max("n").alias("n_high"), F.min("pos").alias("pos_g"))
@@ -512,9 +546,9 @@ def _rooted(documents: DataFrame, tables: Tables, k: int, num: int, den: int) ->
     total = docs.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
     if not total:
         return docs, None
-    entities = tables.put(docs.where("n_shingles > 0").groupBy("entity").agg(F.min("doc_id").alias("first")), "entities")
+    entities = tables.put(docs.where("n_shingles > 0").groupBy("entity").agg(F.min("doc_id").alias("first"), F.max("n_shingles").alias("n")), "entities")
     roots = components(links(documents, entities, tables, k, num, den, total), tables)
-    return docs, tables.put(entities.join(roots.withColumnRenamed("node", "entity"), "entity", "left").withColumn("root", F.coalesce("root", "entity")), "rooted")
+    return docs, tables.put(entities.join(roots.withColumnRenamed("node", "entity"), "entity", "left").select("entity", "first", F.coalesce("root", "entity").alias("root")), "rooted")
 
 
 def _labelled(docs: DataFrame, rooted: DataFrame | None, tables: Tables) -> DataFrame:
