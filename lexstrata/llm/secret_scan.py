@@ -332,31 +332,32 @@ def compile(rules: tuple[Rule, ...] = RULES) -> Automaton:
 
 
 def accepted(automaton: Automaton, data: bytes) -> list[tuple[int, int]]:
-    """The one pass: (place behind the byte, state) wherever a rule accepts."""
-    step, loud = automaton.next, 256 * next((i for i, a in enumerate(automaton.accepts) if a), automaton.states)
-    state, found, at = 0, [], 0
+    """The one pass: (place behind the byte, bits of the rules whose match ends there). A rule accepts from the byte that
+    makes its match long enough on; its end is where it no longer does, so one long match is one entry."""
+    step, accepts = automaton.next, automaton.accepts
+    loud = 256 * next((i for i, a in enumerate(accepts) if a), automaton.states)
+    state, was, found, at = 0, 0, [], 0
     for byte in data:
-        at += 1
         state = step[state + byte]
-        if state >= loud:
-            found.append((at, state >> 8))
+        if was or state >= loud:
+            now = accepts[state >> 8]
+            if was & ~now:
+                found.append((at, was & ~now))
+            was = now
+        at += 1
+    if was:
+        found.append((at, was))
     return found
 
 
 def spans_of(automaton: Automaton, backward: list[_Backward], heads: list, data: bytes) -> list[tuple[int, int, int]]:
     """(start, end, rule) in bytes, of every match that its rule does not drop; by start, then rule."""
-    hits = accepted(automaton, data)
-    if not hits:
-        return []
-    out = []
-    for r, rule in enumerate(automaton.rules):
-        ends = [at for at, s in hits if automaton.accepts[s] >> r & 1]
-        floor = 0
-        for i, end in enumerate(ends):
-            if i + 1 < len(ends) and ends[i + 1] == end + 1:
+    out, floors = [], [0] * len(automaton.rules)
+    for end, bits in accepted(automaton, data):
+        for r, rule in enumerate(automaton.rules):
+            if not bits >> r & 1:
                 continue
-            start = backward[r](data, end, floor)
-            floor = end
+            start, floors[r] = backward[r](data, end, floors[r]), end
             size = end - start
             if heads[r] is not None:
                 size -= heads[r].match(data, start, end).end() - start
