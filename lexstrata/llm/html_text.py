@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from html import unescape
+from unicodedata import combining, east_asian_width
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -21,7 +22,7 @@ from .common import as_bytes
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style xmp iframe noembed noframes textarea title".split())
 HEAD_ONLY = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
-UNSEEN = frozenset("head script style template noscript iframe noembed noframes title datalist object audio video canvas svg math".split())
+UNSEEN = frozenset("head script style template noscript iframe noembed noframes title datalist object audio video canvas annotation annotation-xml metadata defs desc".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre dl figure ul ol menu dir table fieldset hr".split())
 LINES = frozenset("html body div section article header footer nav main aside address center form details summary dialog figcaption hgroup legend li dt dd caption optgroup option tr".split())
 ENDS_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre section summary table ul dd dt".split())
@@ -33,7 +34,10 @@ WALLS = frozenset("html table td th caption button object template".split())
 
 _TAG = re.compile(r"""<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?/][^a-zA-Z>][^>]*(?:>|\Z)|<![^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?>=\s*(?:"[^"]*"|'[^']*')|[^>])*)(>|\Z)""", re.S)
 _SPACES = re.compile(r"[ \t\n\r\f]+")
-_HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+_HIDDEN = re.compile(r"display\s*:\s*none", re.I)
+_VISIBILITY = re.compile(r"visibility\s*:\s*(hidden|collapse|visible)", re.I)
+#: Columns that lines are indented by at most; deeper lists stand at this indent.
+MOST_INDENT = 80
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _ENDS = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for t in RAW}
 
@@ -50,6 +54,13 @@ def _number(value: str | None, default: int, low: int, high: int) -> int:
     return min(high, max(low, int(m[1]))) if m else default
 
 
+def width_of(line: str) -> int:
+    """Columns that a line takes: two for wide characters, none for combining ones."""
+    if line.isascii():
+        return len(line)
+    return sum(0 if combining(c) else 2 if east_asian_width(c) in "WF" else 1 for c in line)
+
+
 class Flow:
     """Lines of text under construction."""
 
@@ -86,7 +97,8 @@ class Flow:
         if self.gap and self.lines:
             self.lines.append("")
         self.gap = False
-        lead = " " * max(0, self.indent - len(self.marker)) + self.marker if self.marker else " " * self.indent
+        indent = min(self.indent, MOST_INDENT)
+        lead = " " * max(0, indent - len(self.marker)) + self.marker if self.marker else " " * indent
         self.marker = ""
         self.lines.append((lead + line).rstrip())
 
@@ -132,19 +144,22 @@ class Table:
         width: dict[int, int] = {}
         for row in self.rows:
             for i, cell in enumerate(row):
-                width[i] = max([width.get(i, 0), *map(len, cell)])
+                width[i] = max([width.get(i, 0), *map(width_of, cell)])
         used = [i for i in sorted(width) if width[i]]
         out = []
         for row in self.rows:
             for n in range(max([0, *map(len, row)])):
-                out.append("  ".join((row[i][n] if i < len(row) and n < len(row[i]) else "").ljust(width[i]) for i in used).rstrip())
+                shown = [row[i][n] if i < len(row) and n < len(row[i]) else "" for i in used]
+                out.append("  ".join(x + " " * (width[i] - width_of(x)) for i, x in zip(used, shown, strict=True)).rstrip())
         return out
 
 
 class Renderer:
     def __init__(self):
-        self.open: list[tuple] = []  # (tag, hidden, what closing it needs)
+        self.open: list[tuple] = []  # (tag, hidden, what closing it needs, what muted text before it)
+        self.places: dict[str, list[int]] = {}  # of each tag, its open elements' places
         self.hidden = 0
+        self.invisible = self.drawing = False  # by style; inside a drawing, but not in a text of it
         self.flows = [Flow()]
         self.tables: list[Table] = []
         self.pre = 0
@@ -156,18 +171,24 @@ class Renderer:
 
     # -- tree builder
 
+    def last(self, tags) -> int:
+        """Place of the innermost open element among tags, else -1; its cost does not grow with the depth."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=-1)
+
     def find(self, tags, walls=WALLS) -> int | None:
         """Place of the innermost open element among tags that is not behind a wall."""
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] in tags:
-                return i
-            if self.open[i][0] in walls:
-                return None
-        return None
+        at = self.last(tags)
+        return at if at >= 0 and at >= self.last(walls) else None
+
+    def pop(self) -> None:
+        tag, hidden, need, muted = self.open.pop()
+        self.places[tag].pop()
+        self.shut(tag, hidden, need)
+        self.invisible, self.drawing = muted
 
     def close_from(self, i: int | None) -> None:
         while i is not None and len(self.open) > i:
-            self.shut(*self.open.pop())
+            self.pop()
 
     def imply(self, tag: str) -> bool:
         """Closes what a start tag ends. False: the tag has no place here."""
@@ -191,7 +212,7 @@ class Renderer:
                 return False
             keep = {"td": {"tr"}, "th": {"tr"}, "tr": SECTIONS}.get(tag, set())
             while len(self.open) > table + 1 and self.open[-1][0] not in keep:
-                self.shut(*self.open.pop())
+                self.pop()
             if tag in CELLS and self.open[-1][0] == "table":
                 self.enter("tr", {})
         return True
@@ -229,8 +250,15 @@ class Renderer:
         return bool(closed and tag != "summary")
 
     def enter(self, tag: str, attributes: dict[str, str]) -> None:
-        hidden = self.unseen(tag, attributes)
+        hidden, muted = self.unseen(tag, attributes), (self.invisible, self.drawing)
         self.hidden += hidden
+        if styled := _VISIBILITY.search(attributes.get("style", "")):
+            self.invisible = styled[1].lower() != "visible"
+        if tag == "svg":
+            self.drawing = True
+        elif muted[1] and tag in ("text", "foreignobject"):
+            self.drawing = False
+            self.flow.space = True
         need = None
         if not self.hidden:
             f = self.flow
@@ -277,7 +305,8 @@ class Renderer:
                 f.apart()
             elif tag in LINES:
                 f.end()
-        self.open.append((tag, hidden, need))
+        self.places.setdefault(tag, []).append(len(self.open))
+        self.open.append((tag, hidden, need, muted))
 
     def shut(self, tag: str, hidden: bool, need) -> None:
         if not self.hidden:
@@ -321,7 +350,7 @@ class Renderer:
 
     def text(self, data: str) -> None:
         closed = self.open and self.open[-1][2] == "closed"
-        if self.hidden or closed or not data:
+        if self.hidden or closed or self.invisible or self.drawing or not data:
             return
         if "&" in data:
             data = unescape(data)
