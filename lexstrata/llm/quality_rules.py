@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import SPACE, Slice, SpanHash, as_bytes, chained, per_doc, slices, words
 from .word_grams import grams
@@ -19,7 +20,9 @@ from .word_grams import grams
 BITS = 16
 #: Documents whose mean log-ratio is below this are dropped.
 THRESHOLD = -0.5
-#: Labelled ids up to this number are sent to every executor; more are joined by a shuffle.
+#: N-grams that the raw corpus lends the target: with few trusted documents, ratios stay near 0.
+PRIOR = 1 << BITS
+#: Labelled ids up to this number (8 bytes each) are sent to every executor; more are joined by a shuffle.
 BROADCAST_IDS = 4_000_000
 
 _SYMBOL = np.zeros(256, bool)
@@ -67,15 +70,33 @@ def base_counts(s: Slice) -> dict[str, np.ndarray]:
 
 
 def mark_labelled(documents: DataFrame, ids: DataFrame, flag: str) -> DataFrame:
-    """documents with a boolean column: is doc_id among ids (one column, distinct)? Small id sets are broadcast."""
-    ids = ids.withColumn(flag, F.lit(True))
-    if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    return documents.join(ids, "doc_id", "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
+    """documents (doc_id, text) with a boolean column: is doc_id among ids (one column, distinct, not null)?
+
+    Integral ids are sent as one sorted array and looked up in it, if they are not too many; others are joined by shuffle."""
+    integral = all(d.schema["doc_id"].dataType.typeName() in ("byte", "short", "integer", "long") for d in (documents, ids))
+    if not integral or ids.limit(BROADCAST_IDS + 1).count() > BROADCAST_IDS:
+        return documents.join(ids.withColumn(flag, F.lit(True)), "doc_id", "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
+    known = np.sort(ids.select(F.col("doc_id").cast("long")).toArrow()[0].to_numpy())
+    held = documents.sparkSession.sparkContext.broadcast(known)
+
+    def mark(batches):
+        for batch in batches:
+            column = batch.column(0)
+            x = column.cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False)
+            found = np.zeros(len(x), bool)
+            if len(held.value):
+                found = held.value[np.minimum(np.searchsorted(held.value, x), len(held.value) - 1)] == x
+            found &= column.is_valid().to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], names=[*batch.schema.names, flag])
+
+    return documents.mapInArrow(mark, T.StructType([*documents.schema.fields, T.StructField(flag, T.BooleanType())]))
 
 
 def multinomials(documents: DataFrame, labels: DataFrame, bits: int = BITS) -> np.ndarray:
-    """log(p_target / p_raw) of every bucket, each count plus one, from all documents; all 0 if no document is trusted."""
+    """log(p_target / p_raw) of every bucket, from all documents; all 0 if no document is trusted.
+
+    Raw counts are smoothed by one. The target's are smoothed by PRIOR n-grams shared out as the raw corpus has them, so a
+    bucket of which the target says nothing has the same ratio however rare it is, and ratios tend to 0 as evidence does."""
     good = labels.where("quality = 1").select("doc_id").where("doc_id is not null").distinct()
     marked = mark_labelled(documents.select("doc_id", "text"), good, "trusted").select("trusted", F.col("text").cast("binary").alias("text"))
 
@@ -91,13 +112,11 @@ def multinomials(documents: DataFrame, labels: DataFrame, bits: int = BITS) -> n
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[0][at]), pa.array(total[1][at])], names=["bucket", "raw", "target"])
 
     rows = marked.mapInArrow(count, "bucket bigint, raw bigint, target bigint").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas()
-    counts = np.ones((2, 1 << bits))
+    counts = np.zeros((2, 1 << bits))
     for i, name in enumerate(("raw", "target")):
         counts[i, rows["bucket"].to_numpy(np.int64)] += rows[name].to_numpy(np.float64)
-    if counts[1].sum() == 1 << bits:
-        return np.zeros(1 << bits, np.float32)
-    p = counts / counts.sum(axis=1, keepdims=True)
-    return np.log(p[1] / p[0]).astype(np.float32)
+    raw = (counts[0] + 1) / (counts[0].sum() + (1 << bits))
+    return np.log((counts[1] / raw + PRIOR) / (counts[1].sum() + PRIOR)).astype(np.float32)
 
 
 def quality_rules(documents: DataFrame, labels: DataFrame, bits: int = BITS, threshold: float = THRESHOLD) -> DataFrame:
