@@ -35,13 +35,16 @@ BASE_INV = pow(BASE, -1, 1 << 64)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see: spark.checkpoint.dir where it is set, else (tests, one machine) a new one."""
+    """The folder all executors see: spark.checkpoint.dir where it is set; else, where driver and executors are one process
+    (tests), a new one. On a cluster an unset folder is an error: executors would each write to a disk of their own."""
     set_to = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if set_to:
         return set_to.rstrip("/")
     jsc = spark.sparkContext._jsc.sc().getCheckpointDir()
     if jsc.isDefined():
         return jsc.get().rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
     own = "file://" + tempfile.mkdtemp(prefix="lexstrata-")
     spark.sparkContext.setCheckpointDir(own)
     return own

@@ -27,6 +27,8 @@ GOLDEN = 2654435769
 SLOTS, BLOCK = 65536, 1024
 #: Parts of the interval that the schedule is joined on.
 CELL_BITS = 12
+#: Copies of a unit that one task writes out; units of more are dealt over tasks.
+COPIES = 4096
 
 DEC = "decimal(38,0)"
 
@@ -139,22 +141,44 @@ def mix(documents: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS, seed: str =
     return Mix(units, pieces, taken)
 
 
+def _copies(taken: DataFrame) -> DataFrame:
+    """A row for every copy of a unit, with a number (from 0) and the words that the copy gives: as many as the others, or one more."""
+    chunked = taken.where(F.col("copies") > COPIES).withColumn("chunk", F.explode(F.expr(f"sequence(0L, (copies - 1) div {COPIES})"))).repartition("doc_id", "source", "size", "chunk")
+    rows = taken.where(F.col("copies") <= COPIES).withColumn("chunk", F.lit(0).cast("long")).unionByName(chunked)
+    rows = rows.withColumn("copy", F.explode(F.expr(f"sequence(chunk * {COPIES}, least(copies, (chunk + 1) * {COPIES}) - 1)")))
+    return rows.withColumn("taken", F.expr("taken div copies + if(copy < taken % copies, 1, 0)")).drop("chunk")
+
+
 def mixed_rows(documents: DataFrame, **options) -> DataFrame:
-    """One row per input row: doc_id, size, source_size, target (its source's), taken (words the mix takes, repeats counted)."""
-    t = mix(documents, **options).taken
-    t = t.withColumn("copy", F.explode(F.expr("sequence(1L, copies)"))).withColumn("taken", F.expr("taken div copies"))
-    return t.select("doc_id", "size", "source_size", "target", "taken")
+    """One row per input row: doc_id, size, source_size, target (its source's), taken (words the mix takes, repeats counted).
+
+    Rows that repeat id, source and size share what is taken of them: each gives the same number of words, or one more,
+    so the rows of a source sum to what the source gives. Null texts have size 0 and are never taken; no rows give none."""
+    return _copies(mix(documents, **options).taken).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def mixed_documents(documents: DataFrame, **options) -> DataFrame:
-    """The mix itself: a row of documents for every epoch that takes it whole, and one with its first words where a
-    source's last block cuts it (words joined by spaces, n_chars recounted). Documents without words are not taken."""
+    """The mix itself: a row of documents for every epoch that takes it whole, and one with its first words where a source's
+    last block cuts it (with the spaces and line ends before each; n_chars recounted). Documents without words are not
+    taken. Rows that repeat id, source and size are one unit; they are numbered as they come, which of them gives a word
+    more does not matter to any source's sum."""
     p = unused_prefix(documents)
-    taken = mix(documents, **options).taken.where("taken > 0").select(F.col("doc_id").alias(f"{p}id"), F.col("source").alias(f"{p}source"), F.col("size").alias(f"{p}size"), F.expr("taken div copies").alias(f"{p}taken"))
+    units = mix(documents, **options).taken.where("taken > 0")
+    taken = units.select(F.col("doc_id").alias(f"{p}id"), F.col("source").alias(f"{p}source"), F.col("size").alias(f"{p}size"), F.col("taken").alias(f"{p}taken"), F.col("copies").alias(f"{p}copies"))
     sized = documents.withColumn(f"{p}n", size_of())
     rows = sized.join(taken, F.col("doc_id").eqNullSafe(F.col(f"{p}id")) & F.col("source").cast("string").eqNullSafe(F.col(f"{p}source")) & (F.col(f"{p}n") == F.col(f"{p}size")))
-    rows = rows.where(f"{p}taken > 0").withColumn(f"{p}epoch", F.explode(F.expr(f"sequence(0L, ({p}taken - 1) div {p}size)"))).withColumn(f"{p}take", F.expr(f"least({p}size, {p}taken - {p}epoch * {p}size)"))
-    head = F.array_join(F.expr(f"slice(regexp_extract_all(text, '({WORD_RE.replace(chr(92), chr(92) * 2)})', 1), 1, cast({p}take as int))"), " ")
+    # Only rows of repeated units are numbered, cell by cell, so none of the others is moved.
+    single = rows.where(f"{p}copies = 1").withColumn(f"{p}share", F.col(f"{p}taken"))
+    many = rows.where(f"{p}copies > 1").withColumn(f"{p}row", F.monotonically_increasing_id())
+    many = Tables(documents.sparkSession, "mixed").put(many, "repeated").withColumn(f"{p}cell", F.shiftright(f"{p}row", 10))  # numbers have to stay as they are
+    many = many.withColumn(f"{p}key", F.to_json(F.struct(f"{p}id", f"{p}source", f"{p}size")))
+    many = running(many, [f"{p}key"], f"{p}cell", [f"{p}row"], {f"{p}copy": F.lit(1).cast("long")})
+    many = many.withColumn(f"{p}share", F.expr(f"{p}taken div {p}copies + if({p}copy < {p}taken % {p}copies, 1, 0)"))
+    columns = [*documents.columns, f"{p}size", f"{p}share"]
+    rows = single.select(*columns).unionByName(many.select(*columns)).where(f"{p}share > 0")
+    rows = rows.withColumn(f"{p}epoch", F.explode(F.expr(f"sequence(0L, ({p}share - 1) div {p}size)"))).withColumn(f"{p}take", F.expr(f"least({p}size, {p}share - {p}epoch * {p}size)"))
+    space, word = r"[\\x20\\x09-\\x0D]", r"[^\\x20\\x09-\\x0D]"
+    head = F.array_join(F.expr(f"slice(regexp_extract_all(text, '({space}*{word}+)', 1), 1, cast({p}take as int))"), "")
     rows = rows.withColumn("text", F.when(F.col(f"{p}take") < F.col(f"{p}size"), head).otherwise(F.col("text")))
     if "n_chars" in documents.columns:
         rows = rows.withColumn("n_chars", F.when(F.col(f"{p}take") < F.col(f"{p}size"), F.length("text").cast(documents.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))

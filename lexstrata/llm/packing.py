@@ -65,22 +65,46 @@ def pieces_of(documents: DataFrame, max_len: int = MAX_LEN, length: Column | Non
     return sized.withColumn("piece", F.explode(F.expr(f"sequence(0L, {last})"))).select("doc_id", "piece", F.expr(f"least({max_len}, size - piece * {max_len})").alias("length"))
 
 
-def pack(documents: DataFrame, max_len: int = MAX_LEN, buckets: int = BUCKETS, budget: int = BUDGET) -> DataFrame:
-    """doc_id, piece, length (words), bucket_len (what its batch is padded to), batch (within the bucket), slot (within the batch).
+def texts_of(documents: DataFrame, max_len: int = MAX_LEN) -> DataFrame:
+    """(row, doc_id, piece, length, text): the pieces with their words and the spaces before each. row tells rows that repeat an id apart."""
+    space, word = r"[\\x20\\x09-\\x0D]", r"[^\\x20\\x09-\\x0D]"
+    sized = documents.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.coalesce("text", F.lit("")).alias("text"), size_of().alias("size"))
+    short = sized.where(f"size <= {max_len}").select("row", "doc_id", F.lit(0).cast("long").alias("piece"), F.col("size").alias("length"), "text")
+    cut = sized.where(f"size > {max_len}").withColumn("words", F.expr(f"regexp_extract_all(text, '({space}*{word}+)', 1)"))
+    chunks = F.expr(f"transform(sequence(0L, (size - 1) div {max_len}), i -> array_join(slice(words, cast(i * {max_len} + 1 as int), {max_len}), ''))")
+    long = cut.select("row", "doc_id", "size", F.posexplode(chunks).alias("piece", "text"))
+    return short.unionByName(long.select("row", "doc_id", F.col("piece").cast("long").alias("piece"), F.expr(f"least({max_len}, size - piece * {max_len})").alias("length"), "text"))
 
-    Every word of every document is in one piece. A batch has at most budget // bucket_len rows (one at least); only a
-    bucket's last batch has fewer. Null texts are empty; repeated rows are pieces of their own; empty tables give none.
-    """
-    tables = Tables(documents.sparkSession, "pack")
-    pieces = tables.put(pieces_of(documents, max_len), "pieces")
+
+def _placed(pieces: DataFrame, keys: list[str], buckets: int, budget: int) -> DataFrame:
+    """keys, doc_id, piece, length of every piece, and where it goes."""
     rows = pieces.groupBy("length").count().collect()  # at most max_len + 1 rows
     ends = boundaries({r["length"]: r["count"] for r in rows}, buckets)
+    columns = [*keys, "doc_id", "piece", "length"]
     if not ends:
-        return pieces.select("doc_id", "piece", "length", *[F.lit(0).cast("long").alias(c) for c in ("bucket_len", "batch", "slot")])
+        return pieces.select(*columns, *[F.lit(0).cast("long").alias(c) for c in ("bucket_len", "batch", "slot")])
     n = sum(r["count"] for r in rows)
     bucket = F.expr(f"element_at(filter(array({', '.join(f'{e}L' for e in ends)}), e -> e >= length), 1)")
-    keyed = pieces.withColumn("bucket_len", bucket).withColumn("_h", F.hex(F.xxhash64("doc_id", "piece")))
+    keyed = pieces.select(*columns).withColumn("bucket_len", bucket).withColumn("_h", F.hex(F.xxhash64(*keys, "doc_id", "piece")))
     keyed = keyed.withColumn("_h", F.lpad("_h", 16, "0")).withColumn("_cell", F.substring("_h", 1, hex_digits(n)))
-    placed = running(keyed, ["bucket_len"], "_cell", ["_h", "doc_id", "piece", "length"], {"_at": F.lit(1).cast("long")})
+    placed = running(keyed, ["bucket_len"], "_cell", ["_h", *columns], {"_at": F.lit(1).cast("long")})
     room = f"greatest(1L, {budget} div greatest(bucket_len, 1))"
-    return placed.select("doc_id", "piece", "length", "bucket_len", F.expr(f"_at div {room}").alias("batch"), F.expr(f"_at % {room}").alias("slot"))
+    return placed.select(*columns, "bucket_len", F.expr(f"_at div {room}").alias("batch"), F.expr(f"_at % {room}").alias("slot"))
+
+
+def pack(documents: DataFrame, max_len: int = MAX_LEN, buckets: int = BUCKETS, budget: int = BUDGET) -> DataFrame:
+    """doc_id, piece, length (words), bucket_len (what its batch is padded to), batch (within the bucket), slot (within the batch).
+
+    Every word of every document is in one piece. A batch has at most budget // bucket_len rows (one at least); only a
+    bucket's last batch has fewer. Null texts are empty; repeated rows are pieces of their own; empty tables give none.
+    """
+    pieces = Tables(documents.sparkSession, "pack").put(pieces_of(documents, max_len), "pieces")
+    return _placed(pieces, [], buckets, budget)
+
+
+def pack_texts(documents: DataFrame, max_len: int = MAX_LEN, buckets: int = BUCKETS, budget: int = BUDGET) -> DataFrame:
+    """As pack(), with the text of every piece; (bucket_len, batch, slot) is a key. The pieces of a row that is there more than once
+    are apart. Texts are placed by their rows' numbers and joined last, so they are moved once."""
+    pieces = Tables(documents.sparkSession, "pack").put(texts_of(documents, max_len), "pieces")
+    placed = _placed(pieces.drop("text"), ["row"], buckets, budget)
+    return placed.join(pieces.select("row", "piece", "text"), ["row", "piece"]).drop("row")
