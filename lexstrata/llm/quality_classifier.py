@@ -18,6 +18,8 @@ from .word_grams import grams
 BITS = 18
 #: Labelled rows the model is fitted on, at most: those with the smallest hash of their id. It bounds what the driver holds.
 SAMPLE = 6000
+#: Bytes of a text that is learned from, at most; with SAMPLE it bounds what the driver holds, whatever the texts. Every text is scored whole.
+LONGEST = 1 << 18
 EPOCHS = 4
 #: FTRL-proximal: learning rate, smoothing, L1 and L2.
 ALPHA, BETA, L1, L2 = 0.3, 1.0, 1e-3, 1e-6
@@ -56,10 +58,12 @@ def _vectors(s, bits: int):
 
 
 def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, keep, most: int) -> DataFrame:
-    """(doc_id, text, label): up to `most` labelled documents that keep (a condition on doc_id) allows, by hash of id."""
+    """(doc_id, text, label): up to `most` labelled documents that keep (a condition on doc_id) allows, by hash of id. An id
+    has one row: of repeated ones, the smallest text, and the smallest label. Texts beyond LONGEST bytes are left out."""
     rows = labels.where(keep & F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.min(label).alias("label"))
     rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    return documents.select("doc_id", F.col("text").cast("binary").alias("text")).join(F.broadcast(rows), "doc_id")
+    short = documents.select("doc_id", F.col("text").cast("binary").alias("text")).where(f"text is null or octet_length(text) <= {LONGEST}")
+    return short.join(F.broadcast(rows), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("label").alias("label"))
 
 
 def train(documents: DataFrame, labels: DataFrame, keep=None, bits: int = BITS, sample: int = SAMPLE) -> np.ndarray:

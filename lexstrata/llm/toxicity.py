@@ -4,7 +4,7 @@ Units of a sentence are its words; runs of single letters ("i d i o t") are one
 the subsequences of three characters they share, each weighted by LAMBDA per character that it spans and with up to two
 characters skipped between its members, so inserted letters and gaps leave most of it; signs and digits within a
 word are skipped. Units carry
-marks at both ends. Kernel values are normalised to 1 for equal units.
+marks at both ends. Kernel values are divided by both units' norms to the power NORM, so longer units count a little more.
 
 The machine works on the Nystroem features of a unit: its kernel with each landmark, times the inverse root of the
 landmarks' kernel. A sentence is as toxic as its worst units are, and a text as its sentences, so training is by
