@@ -84,13 +84,11 @@ def _ordered(place: Place, order) -> bool:
     return place.type == allowed if isinstance(allowed, str) else place.type in allowed
 
 
-def solve(markers: Sequence[str], order=None, most: int = 10_000) -> list[list[Place]]:
-    """All assignments (at most `most`), in the order of their depths, then types and indices."""
+def solve(markers: Sequence[str], order=None) -> list[list[Place]]:
+    """All assignments (there may be very many; depths() finds the best without listing them), in the order of their depths, then types and indices."""
     found: list[list[Place]] = []
 
     def extend(places: list[Place]) -> None:
-        if len(found) >= most:
-            return
         if len(places) == len(markers):
             found.append(places)
             return

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -79,52 +80,90 @@ def external_citations(rows: DataFrame, key: str, text: str, **options) -> DataF
     return flat_map(rows, [key], [text], run, "citation string, citation_type string, start int, stop int")
 
 
-#: Terms (rows) that are broadcast to executors; more are refused, as every text is matched with all of them.
+#: Terms that are broadcast to executors at once; of more, each text gets its own by a join, or they are sent in several rounds.
 MOST_TERMS = 200_000
 
 
-def _collected(terms: DataFrame, columns: list[str]) -> list[tuple]:
-    rows = [tuple(r) for r in terms.select(*columns).limit(MOST_TERMS + 1).collect()]
-    if len(rows) > MOST_TERMS:
-        raise ValueError(f"more than {MOST_TERMS} terms; split them and unite the results")
-    return sorted(rows)
+def _heads(term: str) -> set[str]:
+    """First words of a term and of its plural: a text that uses the term has one of them."""
+    return {(re.findall(r"\w+", form.lower()) or [""])[0] for form in (term, T.plural(term))}
 
 
 def term_uses(rows: DataFrame, terms: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """term, start, stop of every use of the terms, longer ones first, apart. A word index keeps the terms that a text can hold."""
-    listed = [t for (t,) in _collected(terms, ["term"])]
-    by_word: dict[str, list[str]] = {}
-    for t in listed:
-        head = re.findall(r"\w+", t.lower())
-        for form in {head[0] if head else "", *(re.findall(r"\w+", T.plural(t).lower())[:1])}:
-            by_word.setdefault(form, []).append(t)
-    index = rows.sparkSession.sparkContext.broadcast(by_word)
-
-    def run(t):
-        here = {x for w in set(re.findall(r"\w+", (t or "").lower())) for x in index.value.get(w, ())}
+    """term, start, stop of every use of the terms, longer ones first, apart. Each text is matched only with the terms whose
+    first word it has: by a broadcast index of words, or for many terms by a join on words."""
+    listed = terms.select("term").limit(MOST_TERMS + 1).toArrow()[0].to_pylist()
+    schema = "term string, start int, stop int"
+    if len(listed) <= MOST_TERMS:
+        by_word: dict[str, list[str]] = {}
+        for t in sorted(listed):
+            for head in _heads(t):
+                by_word.setdefault(head, []).append(t)
+        index = rows.sparkSession.sparkContext.broadcast(by_word)
+
+        def run(t):
+            here = {x for w in set(re.findall(r"\w+", (t or "").lower())) for x in index.value.get(w, ())}
+            yield from ((term, a, b) for term, _, a, b in T.uses(t or "", [(x, x) for x in sorted(here)]))
+
+        return flat_map(rows, [key], [text], run, schema)
+    heads = flat_map(terms.select("term").distinct(), ["term"], ["term"], lambda t: [(h,) for h in sorted(_heads(t))], "word string")
+    texts = rows.select(key, text, F.xxhash64(text).alias("_h"))
+    words = flat_map(texts, [key, "_h"], [text], lambda t: [(w,) for w in sorted(set(re.findall(r"\w+", (t or "").lower())))], "word string")
+    own = words.distinct().join(heads, "word").groupBy(key, "_h").agg(F.collect_set("term").alias("_terms"))
+
+    def match(t, here):
         yield from ((term, a, b) for term, _, a, b in T.uses(t or "", [(x, x) for x in sorted(here)]))
 
-    return flat_map(rows, [key], [text], run, "term string, start int, stop int")
+    return flat_map(texts.join(own, [key, "_h"]), [key], [text, "_terms"], match, schema)
+
+
+def _window_hashes(codes: np.ndarray, n: int) -> np.ndarray:
+    out = np.zeros(len(codes) - n + 1, np.uint64)
+    for i in range(n):
+        out = out * np.uint64(0x9E3779B97F4A7C15) + codes[i : len(out) + i]
+    return out
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
 
 
 def first_occurrences(rows: DataFrame, terms: DataFrame, key: str = "doc_id", text: str = "text", anchor: int = 12) -> DataFrame:
-    """term_id, start of the first occurrence of each term in each text, found by the terms' first characters."""
-    kind = terms.schema["term_id"].dataType.simpleString()
-    anchors: dict[str, list[tuple]] = {}
-    for i, t in _collected(terms.where("term <> ''"), ["term_id", "term"]):
-        anchors.setdefault(t[:anchor], []).append((i, t))
-    index = rows.sparkSession.sparkContext.broadcast(anchors)
+    """term_id, start of the first occurrence of each term in each text.
 
-    def run(t):
-        t = t or ""
-        for head, items in index.value.items():
-            at = t.find(head)
-            if at >= 0:
-                for i, term in items:
-                    if (start := t.find(term, at)) >= 0:
-                        yield i, start
-
-    return flat_map(rows, [key], [text], run, f"term_id {kind}, start int")
+    The hash of every window of `anchor` characters of a text is looked up among the terms' first ones (shorter terms have
+    windows of their own lengths), so the cost of a text does not grow with the number of terms. More than MOST_TERMS are
+    sent in rounds, by hash."""
+    kind = terms.schema["term_id"].dataType.simpleString()
+    terms = terms.where("term <> ''").select("term_id", "term")
+    rounds = max(1, -(-terms.count() // MOST_TERMS))
+    out = None
+    for i in range(rounds):
+        part = terms.where(F.pmod(F.xxhash64("term_id", "term"), F.lit(rounds)) == i) if rounds > 1 else terms
+        found: dict[int, dict[int, list[tuple]]] = {}
+        for row in part.toArrow().to_pylist():
+            n = min(anchor, len(row["term"]))
+            h = int(_window_hashes(_codes(row["term"][:n]), n)[0])
+            found.setdefault(n, {}).setdefault(h, []).append((row["term_id"], row["term"]))
+        index = rows.sparkSession.sparkContext.broadcast([(n, np.array(sorted(hs), np.uint64), hs) for n, hs in found.items()])
+
+        def run(t, index=index):
+            t = t or ""
+            codes = _codes(t)
+            for n, hashes, items in index.value:
+                if len(codes) < n:
+                    continue
+                seen, at = set(), _window_hashes(codes, n)
+                place = np.minimum(np.searchsorted(hashes, at), len(hashes) - 1)
+                for start in np.flatnonzero(hashes[place] == at).tolist():
+                    for number, (term_id, term) in enumerate(items[int(at[start])]):
+                        if (int(at[start]), number) not in seen and t.startswith(term, start):
+                            seen.add((int(at[start]), number))
+                            yield term_id, start
+
+        one = flat_map(rows, [key], [text], run, f"term_id {kind}, start int")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def register(spark) -> None:

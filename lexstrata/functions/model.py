@@ -124,3 +124,23 @@ def merge_duplicates(nodes: list[Node]) -> list[Node]:
         else:
             first[n.label_id] = n
     return list(first.values())
+
+
+def flatten(root: Node) -> list[Node]:
+    """Every node without its children, those below before those above."""
+    out: list[Node] = []
+    for n in reversed(list(root.walk())):
+        out.append(Node(n.text, list(n.label), n.node_type, n.title, n.tagged_text, n.marker, [], [c.label_id for c in n.children]))
+    return out
+
+
+def prepend_label(root: Node, prefix: list[str]) -> Node:
+    """The whole tree with its labels under a prefix."""
+    for n in root.walk():
+        n.label = [*prefix, *n.label]
+    return root
+
+
+def is_empty(n: Node) -> bool:
+    """Nothing to show: no text, no title, nothing below."""
+    return not n.text.strip() and not n.title and not n.children

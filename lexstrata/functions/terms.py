@@ -6,19 +6,44 @@ import re
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-#: Endings of nouns and of their plurals; the first that fits is taken. Fixed values.
-PLURALS = [(r"(?i)(quiz)$", r"\1zes"), (r"(?i)([ml])ouse$", r"\1ice"), (r"(?i)(matr|vert|ind)(?:ix|ex)$", r"\1ices"), (r"(?i)(x|ch|ss|sh)$", r"\1es"), (r"(?i)([^aeiouy]|qu)y$", r"\1ies"), (r"(?i)([^f])fe$", r"\1ves"), (r"(?i)([lr])f$", r"\1ves"), (r"(?i)sis$", "ses"), (r"(?i)([ti])um$", r"\1a"), (r"(?i)(buffal|tomat)o$", r"\1oes"), (r"(?i)(bus)$", r"\1es"), (r"(?i)(alias|status)$", r"\1es"), (r"(?i)(child)$", r"\1ren"), (r"(?i)(m)an$", r"\1en"), (r"(?i)s$", "s"), (r"$", "s")]
+#: Nouns whose plural is the same, and irregular plurals. Fixed values.
 UNCOUNTABLE = {"equipment", "fish", "information", "money", "rice", "series", "sheep", "species"}
+IRREGULAR = {"child": "children", "man": "men", "ox": "oxen", "mouse": "mice", "louse": "lice", "quiz": "quizzes", "matrix": "matrices", "vertex": "vertices", "index": "indices", "axis": "axes", "octopus": "octopi", "virus": "viri"}
+#: Words in -o that take -es. Fixed values.
+O_WITH_E = {"buffalo", "tomato", "potato"}
+_VOWELS = "aeiou"
+
+
+def _plural_word(word: str) -> str:
+    """By the end of the word: -sis, -y after a consonant, -fe and -lf/-rf, hissing sounds, -tum/-ium, -o with e; else -s."""
+    low = word.lower()
+    if low in UNCOUNTABLE:
+        return word
+    for whole, many in IRREGULAR.items():
+        if low.endswith(whole) and low not in ("human", "german", "roman") and (low == whole or whole in ("man", "child", "mouse")):
+            kept = len(word) - len(whole)
+            return word[:kept] + (many if low[kept:] == word[kept:] else word[kept] + many[1:])
+    if low.endswith("sis"):
+        return word[:-2] + "es"
+    if low.endswith("y") and low[-2:-1] not in _VOWELS or low.endswith("quy"):
+        return word[:-1] + "ies"
+    if low.endswith("fe") and low[-3:-2] != "f":
+        return word[:-2] + "ves"
+    if low.endswith(("lf", "rf")):
+        return word[:-1] + "ves"
+    if low.endswith(("x", "ch", "ss", "sh", "bus", "alias", "status")) or low in O_WITH_E:
+        return word + "es"
+    if low.endswith(("tum", "ium")):
+        return word[:-2] + "a"
+    return word if low.endswith("s") else word + "s"
 
 
 def plural(term: str) -> str:
     """The plural of a term's last word; `person` stays regular."""
-    if not term or term.split()[-1].lower() in UNCOUNTABLE:
+    if not term.strip():
         return term
-    for ending, by in PLURALS:
-        if re.search(ending, term):
-            return re.sub(ending, by, term, count=1)
-    return term
+    at = term.rstrip().rfind(" ") + 1
+    return term[:at] + _plural_word(term[at:].rstrip()) + term[len(term.rstrip()) :]
 
 
 @dataclass(frozen=True)

@@ -19,7 +19,7 @@ from ..functions import terms as T
 from ..functions.arrow import flat_map
 from .joins import known_targets
 from .text import all_spans
-from .tree import table_of_contents, with_prefixes
+from .tree import with_prefixes
 
 LAYERS: dict[str, tuple[Callable[..., DataFrame], bool]] = {}
 
@@ -75,7 +75,17 @@ def internal_citations(nodes: DataFrame, title: str | None = None) -> DataFrame:
 
 @layer("toc")
 def toc(nodes: DataFrame) -> DataFrame:
-    return table_of_contents(nodes)
+    """Entries of each node's children (by place in the tree), where all of them are titled: tree, label_id, toc_pos, index, title.
+    An empty part (sections without subparts) is no entry; what it holds is also listed by the node above it."""
+    above = F.slice("path", 1, F.size("path") - 1)
+    slim = nodes.select("tree", "path", "label_id", F.element_at("label", -1).alias("index"), "title", (F.col("node_type") == "emptypart").alias("empty"))
+    held = slim.where("size(path) > 1 and not empty").select("tree", F.col("path").alias("at"), above.alias("path"), "index", "title")
+    direct = held.join(slim.select("tree", "path", "label_id", "empty"), ["tree", "path"])
+    lifted = direct.where("empty").select("tree", "at", above.alias("path"), "index", "title").join(slim.select("tree", "path", "label_id"), ["tree", "path"])
+    entries = direct.select("tree", "label_id", "at", "index", "title").unionByName(lifted.select("tree", "label_id", "at", "index", "title"))
+    whole = entries.groupBy("tree", "label_id").agg(F.bool_and(F.col("title").isNotNull()).alias("ok")).where("ok").select("tree", "label_id")
+    place = F.row_number().over(W.partitionBy("tree", "label_id").orderBy("at"))
+    return entries.join(whole, ["tree", "label_id"]).select("tree", "label_id", place.alias("toc_pos"), "index", "title")
 
 
 @layer("paragraph-markers", own_text=True)
@@ -94,6 +104,33 @@ def keyterms(nodes: DataFrame) -> DataFrame:
     return nodes.withColumn("keyterm", term).where("keyterm <> ''").select("tree", "label_id", "keyterm")
 
 
+#: Periods that end no sentence: of an abbreviation, within a number.
+_ABBREVIATED = re.compile(r"\bU\.S\.(?:C\.)?|\b\d+\.\d+|\be\.g\.|\bi\.e\.")
+
+
+def guessed_keyterm(text: str | None, node_type: str = "regtext") -> str | None:
+    """The key term of a paragraph without emphasis: its first sentence after the marker, if more follows it and it is short
+    and no citation; or the whole text, if that ends with a dash. Appendices have none."""
+    body = re.sub(r"^\s*(?:\([^)]*\)|\w+\.)?\s*", "", text or "")
+    if not body or node_type == "appendix":
+        return None
+    spared = [m.span() for m in _ABBREVIATED.finditer(body)] + [(c.start, c.end) for c in C.internal(body, C.Label())]
+    ends = [m.start() for m in re.finditer(r"\.(?!,)", body) if not any(a <= m.start() <= b for a, b in spared)]
+    if not ends:
+        return body if body.endswith("—") and len(body.split()) <= 12 else None
+    first = body[: ends[0] + 1]
+    return first if len(first.split()) <= 12 and (len(ends) > 1 or body[ends[0] + 1 :].strip()) and first.count("(") == first.count(")") else None
+
+
+@layer("guessed-keyterms", own_text=True)
+def guessed_keyterms(nodes: DataFrame) -> DataFrame:
+    """Key terms, guessed where the source has none marked (plain-text regulations)."""
+    marked = keyterms(nodes)
+    rest = nodes.join(marked.select("tree", "label_id"), ["tree", "label_id"], "left_anti")
+    guessed = flat_map(rest, ["tree", "label_id"], ["text", "node_type"], lambda t, k: [(g,) for g in [guessed_keyterm(t, k)] if g], "keyterm string")
+    return marked.unionByName(guessed)
+
+
 @layer("formatting", own_text=True)
 def formatting(nodes: DataFrame) -> DataFrame:
     """Subscripts, dashes and fences: kind, found (as written), n occurrences."""
@@ -107,14 +144,22 @@ def formatting(nodes: DataFrame) -> DataFrame:
 
 
 @layer("graphics", own_text=True)
-def graphics(nodes: DataFrame, template: str = "https://images.invalid/%s.gif", overrides: DataFrame | None = None) -> DataFrame:
+def graphics(nodes: DataFrame, template: str = "https://images.invalid/%s.gif", overrides: DataFrame | None = None, present: DataFrame | None = None) -> DataFrame:
+    """Pictures with their addresses. overrides: (gid, url). present: (url) of files that are known to be there; a picture
+    whose thumbnail (name.thumb.ext) is among them gets a thumb_url."""
     pattern = F.lit(r"!\[([^\]]*)\]\(([^)]*)\)")
     found = nodes.select("tree", "label_id", F.explode(F.arrays_zip(F.regexp_extract_all("text", pattern, 1).alias("alt"), F.regexp_extract_all("text", pattern, 2).alias("gid"))).alias("g")).select("tree", "label_id", "g.alt", "g.gid")
     counted = found.groupBy("tree", "label_id", "alt", "gid").agg(F.count(F.lit(1)).alias("n"))
     url = F.format_string(template, "gid")
     if overrides is None:
-        return counted.withColumn("url", url)
-    return counted.join(overrides.select("gid", F.col("url").alias("_url")), "gid", "left").withColumn("url", F.coalesce("_url", url)).drop("_url")
+        out = counted.withColumn("url", url)
+    else:
+        out = counted.join(overrides.select("gid", F.col("url").alias("_url")), "gid", "left").withColumn("url", F.coalesce("_url", url)).drop("_url")
+    if present is None:
+        return out
+    thumbs = present.select(F.col("url").alias("_thumb")).distinct()
+    wanted = out.withColumn("_thumb", F.regexp_replace("url", r"\.(png|gif|jpg)$", r".thumb.$1"))
+    return wanted.join(thumbs.withColumn("_there", F.lit(True)), "_thumb", "left").withColumn("thumb_url", F.when(F.col("_there"), F.col("_thumb"))).drop("_thumb", "_there")
 
 
 @layer("interpretations")
@@ -144,38 +189,57 @@ def analyses(nodes: DataFrame, sxs: DataFrame) -> DataFrame:
 
 
 @layer("terms")
-def terms(nodes: DataFrame) -> DataFrame:
+def terms(nodes: DataFrame, include: dict[str, list[tuple[str, str]]] | None = None, ignore: dict[str, list[str]] | None = None) -> DataFrame:
     """Uses of defined terms: tree, label_id, term, definition (label), start, stop.
 
     Definitions are found paragraph by paragraph with the texts above them; each holds for the scope that the paragraph
     or the nearest one above it names, else for the whole tree. Usage joins scopes on label prefixes and keeps the
     nearest definition of each term; texts are then matched longest term first. Terms are not linked where they are defined.
+
+    include: of a part (or ALL), phrases that are terms though no paragraph says so, with the label that explains them.
+    ignore: of a part (or ALL), phrases in which no term is seen. Both are settings, small enough to send along.
     """
+    include, ignore = include or {}, ignore or {}
     slim = nodes.select("tree", "path", "label", "label_id", "title", "text", F.coalesce("tagged_text", F.lit("")).alias("tagged_text"), "node_type")
     up = with_prefixes(slim.where("node_type in ('regtext', 'subpart', 'emptypart')")).drop("ancestor_depth")
     texts = slim.select("tree", F.col("label_id").alias("ancestor_id"), F.concat_ws("\n", "title", "text").alias("_t"), F.size("label").alias("_d"))
     above = up.join(texts, ["tree", "ancestor_id"]).groupBy("tree", "path", "label", "label_id", "text", "tagged_text").agg(F.array_sort(F.collect_list(F.struct("_d", "_t"))).alias("above"))
 
-    def find(label, text, tagged, chain):
+    # Sections by the subpart that they stand in: a definition may hold for all of them.
+    inside = slim.where("node_type = 'subpart'").select("tree", F.col("path").alias("_sub"))
+    sections = slim.where("size(label) = 2 and node_type = 'regtext'").withColumn("_sub", F.expr("slice(path, 1, size(path) - 1)")).join(inside, ["tree", "_sub"])
+    mates = sections.groupBy("tree", "_sub").agg(F.array_sort(F.collect_set("label_id")).alias("mates"))
+    of_section = sections.select("tree", F.col("label_id").alias("_section"), "_sub").join(mates, ["tree", "_sub"]).drop("_sub")
+    above = above.withColumn("_section", F.expr("array_join(slice(label, 1, 2), '-')")).join(of_section, ["tree", "_section"], "left")
+
+    def find(label, text, tagged, chain, mates):
         lines = [c["_t"] or "" for c in chain]
         included, _ = T.definitions(text or "", "-".join(label), lines[:-1], tagged)
         if included:
             scopes: list = []
             for i in range(len(lines), 0, -1):
-                scopes = T.scopes(lines[i - 1], list(label)[: max(1, len(label) - (len(lines) - i))])
+                scopes = T.scopes(lines[i - 1], list(label)[: max(1, len(label) - (len(lines) - i))], [m.split("-") for m in mates or ()])
                 if scopes:
                     break
             scopes = scopes or [list(label)[:1], [*list(label)[:1], "Interp"]]
             for r in included:
                 yield from (("-".join(s), r.term, r.label, r.start, r.end) for s in scopes)
 
-    defined = flat_map(above, ["tree"], ["label", "text", "tagged_text", "above"], find, "scope_id string, term string, definition string, start int, stop int")
+    defined = flat_map(above, ["tree"], ["label", "text", "tagged_text", "above", "mates"], find, "scope_id string, term string, definition string, start int, stop int")
+    named = [(part, phrase.lower(), label) for part, phrases in include.items() for phrase, label in phrases]
+    if named:
+        roots = slim.where("size(label) = 1").select("tree", "label_id")
+        listed = slim.sparkSession.createDataFrame(named, "part string, term string, definition string")
+        extra = roots.join(F.broadcast(listed), (F.col("part") == F.col("label_id")) | (F.col("part") == "ALL")).select("tree", F.col("label_id").alias("scope_id"), "term", "definition", F.lit(0).alias("start"), F.lit(0).alias("stop"))
+        defined = defined.unionByName(extra)
     prefixes = with_prefixes(slim.select("tree", "label", "label_id"), name="scope_id")
     best = prefixes.join(defined.select("tree", "scope_id", "term", "definition"), ["tree", "scope_id"]).groupBy("tree", "label_id", "term").agg(F.max_by("definition", "ancestor_depth").alias("definition"))
     here = best.groupBy("tree", "label_id").agg(F.collect_list(F.struct("term", "definition")).alias("ts"))
 
     def match(label_id, text, ts):
-        own = [(m.start(), m.end()) for t in ts if t["definition"] == label_id for m in [re.search(rf"(?i)\b{re.escape(t['term'])}\b", text or "")] if m]
+        spared = [p for k in ("ALL", label_id.split("-")[0]) for p in ignore.get(k, ())]
+        own = [m.span() for p in spared for m in re.finditer(rf"(?i)\b{re.escape(p)}\b", text or "")]
+        own += [(m.start(), m.end()) for t in ts if t["definition"] == label_id for m in [re.search(rf"(?i)\b{re.escape(t['term'])}\b", text or "")] if m]
         yield from T.uses(text or "", sorted((t["term"], t["definition"]) for t in ts if t["definition"] != label_id), own)
 
     rows = slim.select("tree", "label_id", "text").join(here, ["tree", "label_id"]).withColumn("_id", F.col("label_id"))

@@ -73,9 +73,11 @@ def gate(rows: DataFrame, keys: list[str], order: str, start: Column, stop: Colu
 
 
 def next_but(rows: DataFrame, keys: list[str], order: str, skip: Column, value: str, name: str) -> DataFrame:
-    """The value of the next row that is not skipped (the next marker, with stars and page breaks left out)."""
-    w = W.partitionBy(*keys).orderBy(order).rowsBetween(1, W.unboundedFollowing)
-    return rows.withColumn(name, F.first(F.when(~skip, F.col(value)), ignorenulls=True).over(w))
+    """The value of the next row that is not skipped (the next marker, with stars and page breaks left out).
+
+    Rows are gone through backwards, where a frame that only grows is kept as it is; forwards, every row's would be read anew."""
+    w = W.partitionBy(*keys).orderBy(F.desc(order)).rowsBetween(W.unboundedPreceding, -1)
+    return rows.withColumn(name, F.last(F.when(~skip, F.col(value)), ignorenulls=True).over(w))
 
 
 def missing_numbers(rows: DataFrame, keys: list[str], number: str) -> DataFrame:
@@ -95,6 +97,20 @@ def splice(text: Column, spans: Column) -> Column:
     return F.aggregate(spans, start, step, lambda a: F.concat(a["out"], text.substr(a["at"] + 1, F.length(text))))
 
 
+def splice_matches(df: DataFrame, text: str, pattern: str, value: str) -> DataFrame:
+    """df's texts with every match of a pattern replaced, spliced as they are found: one pass over each text, nothing is moved.
+    A null text is an empty one."""
+
+    def run(t, find=re.compile(pattern)):
+        t, out, at = t or "", [], 0
+        for m in find.finditer(t):
+            out += [t[at : m.start()], value]
+            at = m.end()
+        yield ("".join([*out, t[at:]]),)
+
+    return flat_map(df, [c for c in df.columns if c != text], [text], run, f"{text} string")
+
+
 def overlay(left: Column, right: Column) -> Column:
     """Array overlay: the right one's items where not null, else the left's; an empty right one gives the left."""
     return F.when(F.size(right) == 0, left).otherwise(F.transform(right, lambda x, i: F.coalesce(x, F.get(left, i))))

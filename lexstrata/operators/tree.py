@@ -106,7 +106,7 @@ def table_of_contents(nodes: DataFrame) -> DataFrame:
 def merkle(nodes: DataFrame, depths: int, fields: tuple[str, ...] = ("text", "title", "label_id")) -> DataFrame:
     """Adds node_hash (own fields) and subtree_hash (own hash and the children's subtree hashes, in order), bottom up: one aggregation a level.
 
-    Levels are persisted: each is read by the result and by the level above."""
+    A level is read by the result and by the level above; the exchange of its aggregation is planned once and reused."""
     own = nodes.withColumn("node_hash", F.sha2(F.concat_ws("\x1f", *[F.coalesce(F.col(f), F.lit("")) for f in fields]), 256)).withColumn("_depth", F.size("label"))
     done, below = None, None
     for d in range(depths, 0, -1):
@@ -115,7 +115,7 @@ def merkle(nodes: DataFrame, depths: int, fields: tuple[str, ...] = ("text", "ti
             level = level.withColumn("_below", F.lit(""))
         else:
             level = level.join(below, ["tree", "_id"], "left").withColumn("_below", F.coalesce("_below", F.lit("")))
-        level = level.withColumn("subtree_hash", F.sha2(F.concat("node_hash", "_below"), 256)).persist()
+        level = level.withColumn("subtree_hash", F.sha2(F.concat("node_hash", "_below"), 256))
         up = level.where(F.size("label") > 1).withColumn("_id", label_id(F.slice("label", 1, F.size("label") - 1)))
         below = up.groupBy("tree", "_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("path", "subtree_hash"))), lambda x: x["subtree_hash"]), "").alias("_below"))
         level = level.drop("_id", "_below")

@@ -105,16 +105,18 @@ def moved(old: DataFrame, new: DataFrame, key: str, parent: str) -> DataFrame:
 def tree_diff(old: DataFrame, new: DataFrame) -> DataFrame:
     """Differences of two node tables with subtree_hash (see merkle): tree, label_id, op, old/new text and title.
 
-    Nodes whose subtrees hash alike are dropped, with everything below them; text and title decide what is modified. A
-    node that changed its parent but not its label is not a difference.
+    Labels are joined once. What differs has a differing hash, and so has everything above it; where the hash is the same,
+    nothing else is compared. A node that changed its parent but not its label is not a difference.
     """
-    same = old.select("tree", "label_id", "subtree_hash").join(new.select("tree", "label_id", "subtree_hash"), ["tree", "label_id", "subtree_hash"]).select("tree", F.col("label_id").alias("ancestor_id")).distinct()
-
-    def left(nodes: DataFrame) -> DataFrame:
-        hit = with_prefixes(nodes.select("tree", "label", "label_id")).join(same, ["tree", "ancestor_id"], "left_semi").select("tree", "label_id").distinct()
-        return nodes.join(hit, ["tree", "label_id"], "left_anti")
-
-    return version_diff(left(old), left(new), ["tree", "label_id"], ["text", "title"])
+    fields = ["text", "title"]
+    a = old.select("tree", "label_id", F.col("subtree_hash").alias("_old"), *[F.col(f).alias(f"old_{f}") for f in fields])
+    b = new.select("tree", "label_id", F.col("subtree_hash").alias("_new"), *[F.col(f).alias(f"new_{f}") for f in fields])
+    met = a.join(b, ["tree", "label_id"], "full_outer").where(~F.col("_old").eqNullSafe(F.col("_new")))
+    differ = F.lit(False)
+    for f in fields:
+        differ = differ | ~F.col(f"old_{f}").eqNullSafe(F.col(f"new_{f}"))
+    op = F.when(F.col("_old").isNull(), "added").when(F.col("_new").isNull(), "deleted").when(differ, "modified")
+    return met.withColumn("op", op).where("op is not null").drop("_old", "_new")
 
 
 def replay_disjoint(nodes: DataFrame, changes: DataFrame) -> DataFrame:
@@ -126,3 +128,18 @@ def replay_disjoint(nodes: DataFrame, changes: DataFrame) -> DataFrame:
     gone = with_prefixes(nodes.select("tree", "label", "label_id")).join(changes.where("action in ('DELETE', 'PUT')").select("tree", F.col("label_id").alias("ancestor_id")), ["tree", "ancestor_id"], "left_semi").select("tree", "label_id").distinct()
     kept = nodes.join(gone, ["tree", "label_id"], "left_anti")
     return kept.unionByName(changes.where("action in ('PUT', 'POST')").select(*nodes.columns))
+
+
+def split_numbers(rows: DataFrame, number: str, date: str) -> DataFrame:
+    """Documents that take effect at several dates get numbers of their own: `number` of each of several rows is number_YYYYMMDD.
+    Rows are counted by number and joined back, so a number of many rows is no task of its own."""
+    many = rows.groupBy(number).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(F.col(number).alias("_number"))
+    met = rows.join(many, F.col(number) == F.col("_number"), "left")
+    new = F.when(F.col("_number").isNotNull(), F.concat_ws("_", F.col(number).cast("string"), F.date_format(date, "yyyyMMdd"))).otherwise(F.col(number).cast("string"))
+    return met.withColumn(number, new).drop("_number")
+
+
+def merge_changes(log: DataFrame, patches: DataFrame, document: str = "document_number", label: str = "label_id") -> DataFrame:
+    """A change log with patches by hand: what a patch says of a document's label takes the place of what the document does to it."""
+    fixed = patches.select(document, label).distinct()
+    return log.join(fixed, [document, label], "left_anti").unionByName(patches, allowMissingColumns=True)

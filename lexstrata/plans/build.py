@@ -64,9 +64,14 @@ def versions(nodes: DataFrame, changes: DataFrame) -> DataFrame:
     return nodes.select("tree", *columns).groupBy("tree").cogroup(changes.groupBy("tree")).applyInPandas(fold, schema)
 
 
-def all_layers(nodes: DataFrame, names: list[str] | None = None) -> dict[str, DataFrame]:
-    """Layers of all versions, by name."""
-    return {n: L.run_versions(n, nodes) for n in (names or ["external-citations", "internal-citations", "toc", "paragraph-markers", "keyterms", "formatting", "graphics", "interpretations", "terms"])}
+def all_layers(nodes: DataFrame, names: list[str] | None = None, settings: dict | None = None, sxs: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Layers of all versions, by name. meta takes its fields from the settings; analyses are there if sxs (the notices'
+    section-by-section rows, see layers.analyses) is given."""
+    settings = settings or {}
+    out = {"meta": L.run_versions("meta", nodes, title=settings.get("title"), extra=settings.get("meta"))}
+    if sxs is not None:
+        out["analyses"] = L.run_versions("analyses", nodes, sxs=sxs)
+    return out | {n: L.run_versions(n, nodes) for n in (names or ["external-citations", "internal-citations", "toc", "paragraph-markers", "keyterms", "formatting", "graphics", "interpretations", "terms"])}
 
 
 def version_pairs_diff(nodes: DataFrame) -> DataFrame:

@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 
 from ..functions import kernels
 from ..operators import joins as J
+from ..operators import layers as L
 from ..operators import text as X
 from ..operators import tree as T
 from ..operators import versions as V
-from .star import change_log, nodes, table
+from ..sources import readers
+from . import build
+from .star import change_log, nodes, part_nodes, segment_nodes, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -377,10 +380,13 @@ def citation_containment(spark, sf_dir):
     return J.not_contained(spans, ["doc_id"]).select("doc_id", "start", F.col("end").alias("stop"))
 
 
-@query(f"""select doc_id, match_no, found as marker, start from {_spans_sql('documents', 'doc_id', 'text', '[(]([a-z]|[0-9]+|[ivx]+)[)]', 1)}""")
+_LETTER = "substr('abcde', cast(p_size % 5 + 1 as int), 1)"
+_PART_LABEL = f"'100-' || p_partkey || '-' || {_LETTER}"
+
+
+@query(f"select {_PART_LABEL} as label_id, '(' || {_LETTER} || ')' as marker, 0 as location from part where p_size % 3 = 0")
 def paragraph_markers(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return X.all_spans(d, "text", "[(]([a-z]|[0-9]+|[ivx]+)[)]", 1, "marker").select("doc_id", "match_no", "marker", "start")
+    return L.run("paragraph-markers", part_nodes(spark, sf_dir)).select("label_id", "marker", "location")
 
 
 @query("select page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) as title, regexp_extract(html, '<h1>([^<]*)</h1>', 1) as heading from pages")
@@ -394,44 +400,102 @@ def html_elements(spark, sf_dir):
     return tags.groupBy("page_id", "tag").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(r"""with t as (select p_partkey, 'Let x_{' || p_size || '} be and y_{' || p_size || '} then x_{' || p_size || '}' as text from part)
-select p_partkey, v[1] as variable, v[2] as subscript, count(*) as n from (select p_partkey, unnest(list_zip(regexp_extract_all(text, '([a-z])_[{]([^}]*)[}]', 1), regexp_extract_all(text, '([a-z])_[{]([^}]*)[}]', 2))) as v from t) group by all""")
+@query("""select c_custkey as path, 0 as elem_id, -1 as parent_id, 0 as ord, 'PART' as tag, 'N=' || c_custkey as attrs, '' as text from customer
+union all select c_custkey, 1, 0, 0, 'HD', '', c_name from customer union all select c_custkey, 2, 0, 1, 'P', '', 'In ' from customer union all select c_custkey, 3, 2, 0, 'E', 'T=03', c_mktsegment from customer""")
+def xml_elements(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    files = c.select(F.col("c_custkey").alias("path"), F.expr("""concat('<PART N="', c_custkey, '"><HD>', c_name, '</HD><P>In <E T="03">', c_mktsegment, '</E>.</P></PART>')""").alias("text"))
+    attrs = F.array_join(F.transform(F.array_sort(F.map_entries("attrs")), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",")
+    return readers.xml_elements(files).select("path", "elem_id", _known("parent_id"), "ord", "tag", attrs.alias("attrs"), "text")
+
+
+@query("""with p as (select *, 100 + p_size as part from part)
+select p_partkey as tree, unnest([part || '', part || '-Subpart', part || '-1', part || '-1-a', part || '-1-a-1', part || '-2']) as label_id, unnest(['', '', 'Scope.', '(a) ' || p_name || '—', '(1) ' || p_type, '[Reserved]']) as words from p""")
+def regulation_tree(spark, sf_dir):
+    """Small regulations in XML, one for each part, read into trees."""
+    xml = """concat('<ROOT><PART><EAR>Pt. ', 100 + p_size, '</EAR><HD>PART ', 100 + p_size, '</HD><SECTION><SECTNO>§ ', 100 + p_size, '.1</SECTNO><SUBJECT>S.</SUBJECT><P>Scope.</P><P>(a) ', p_name, '—(1) ', p_type, '</P></SECTION><SECTION><SECTNO>§ ', 100 + p_size, '.2</SECTNO><RESERVED>[Reserved]</RESERVED></SECTION></PART></ROOT>')"""
+    trees = readers.regulation_trees(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("path"), F.expr(xml).alias("text")))
+    words = F.when(F.col("title").contains("[Reserved]"), "[Reserved]").otherwise(F.col("text"))
+    return trees.select("tree", "label_id", words.alias("words"))
+
+
+_SUBSCRIPT = " union all ".join(f"select {_PART_LABEL} as label_id, '{v}_{{' || p_size || '}}' as found, cast({n} as bigint) as n from part" for v, n in (("x", 2), ("y", 1)))
+
+
+def _formats(spark, sf_dir, kind: str) -> DataFrame:
+    return L.run("formatting", part_nodes(spark, sf_dir)).where(F.col("kind") == kind).select("label_id", "found", "n")
+
+
+@query(_SUBSCRIPT)
 def formatting_subscript(spark, sf_dir):
-    p = table(spark, sf_dir, "part").select("p_partkey", F.expr("concat('Let x_{', p_size, '} be and y_{', p_size, '} then x_{', p_size, '}')").alias("text"))
-    pattern = F.lit("([a-z])_[{]([^}]*)[}]")
-    pairs = p.select("p_partkey", F.explode(F.arrays_zip(F.regexp_extract_all("text", pattern, 1).alias("variable"), F.regexp_extract_all("text", pattern, 2).alias("subscript"))).alias("v"))
-    return pairs.groupBy("p_partkey", F.col("v.variable").alias("variable"), F.col("v.subscript").alias("subscript")).agg(F.count(F.lit(1)).alias("n"))
+    return _formats(spark, sf_dir, "subscript")
 
 
-@query("select p_partkey, regexp_extract(text, '^([^_]*)_+$', 1) as dashed from (select p_partkey, case when p_size % 2 = 0 then p_name || '_____' else p_name end as text from part) where regexp_matches(text, '_+$')")
+@query(f"select {_PART_LABEL} as label_id, 'Sign_____' as found, cast(1 as bigint) as n from part where p_size % 2 = 0")
 def formatting_dashes(spark, sf_dir):
-    p = table(spark, sf_dir, "part").select("p_partkey", F.expr("if(p_size % 2 = 0, concat(p_name, '_____'), p_name)").alias("text"))
-    return p.where(F.col("text").rlike("_+$")).select("p_partkey", F.regexp_extract("text", "^([^_]*)_+$", 1).alias("dashed"))
+    return _formats(spark, sf_dir, "dash")
 
 
-@query("select p_partkey, p_type as kind, p_name || chr(10) || p_brand as lines from part")
+@query(f"select {_PART_LABEL} as label_id, '```' || p_type || chr(10) || p_name || chr(10) || '```' as found, cast(1 as bigint) as n from part")
 def formatting_fence(spark, sf_dir):
-    p = table(spark, sf_dir, "part").select("p_partkey", F.expr("concat('```', p_type, '\n', p_name, '\n', p_brand, '\n```')").alias("text"))
-    pattern = r"(?s)```([^\n]*)\n(.*?)\n```"
-    return p.select("p_partkey", F.regexp_extract("text", pattern, 1).alias("kind"), F.regexp_extract("text", pattern, 2).alias("lines"))
+    return _formats(spark, sf_dir, "fence")
 
 
-@query("select p_partkey, p_name as alt, coalesce(case when p_size < 5 then 'local/' || p_partkey || '.png' end, 'https://images.invalid/G' || p_partkey || '.gif') as url, cast(1 as bigint) as n from part")
+@query(f"select {_PART_LABEL} as label_id, p_name as alt, coalesce(case when p_size < 5 then 'local/' || p_partkey || '.png' end, 'https://images.invalid/G' || p_partkey || '.gif') as url, cast(1 as bigint) as n from part")
 def graphics(spark, sf_dir):
-    p = table(spark, sf_dir, "part")
-    text = p.select("p_partkey", F.expr("concat('![', p_name, '](G', p_partkey, ')')").alias("text"))
-    pattern = F.lit(r"!\[([^\]]*)\]\(([^)]*)\)")
-    found = text.select("p_partkey", F.explode(F.arrays_zip(F.regexp_extract_all("text", pattern, 1).alias("alt"), F.regexp_extract_all("text", pattern, 2).alias("gid"))).alias("g")).select("p_partkey", "g.alt", "g.gid")
-    urls = found.select("gid").distinct().withColumn("url", F.concat(F.lit("https://images.invalid/"), "gid", F.lit(".gif")))
-    overrides = p.where("p_size < 5").select(F.expr("concat('G', p_partkey)").alias("gid"), F.expr("concat('local/', p_partkey, '.png')").alias("url"))
-    return J.first_source(found, [overrides, urls], "gid", "url").groupBy("p_partkey", "alt", "url").agg(F.count(F.lit(1)).alias("n"))
+    overrides = table(spark, sf_dir, "part").where("p_size < 5").select(F.expr("concat('G', p_partkey)").alias("gid"), F.expr("concat('local/', p_partkey, '.png')").alias("url"))
+    return L.run("graphics", part_nodes(spark, sf_dir), overrides=overrides).select("label_id", "alt", "url", "n")
 
 
-@query("""with k as (select page_id, regexp_extract(html, '<p><b>([^<]*)<', 1) as term from pages), d as (select distinct text as term from benchmark)
-select page_id, term from k where term <> '' and term not in (select term from d)""")
+@query(f"select {_PART_LABEL} as label_id, p_brand || '.' as keyterm from part where p_size % 2 = 0")
 def keyterms(spark, sf_dir):
-    found = table(spark, sf_dir, "pages").select("page_id", F.regexp_extract("html", "<p><b>([^<]*)<", 1).alias("term")).where("term <> ''")
-    return found.join(table(spark, sf_dir, "benchmark").select(F.col("text").alias("term")).distinct(), "term", "left_anti").select("page_id", "term")
+    return L.run("keyterms", part_nodes(spark, sf_dir)).select("label_id", "keyterm")
+
+
+_SOLD = "c as (select cast(c_nationkey as varchar) as tree, c_nationkey || '-' || (c_custkey + 1000) as label_id, lower(c_mktsegment) as s, c_custkey % 4 as m, c_custkey + 1000 as k from customer)"
+
+
+@query(f"with {_SOLD} select label_id, s as term, tree || '-1-' || s as definition, 2 as start, cast(2 + length(s) as integer) as stop from c")
+def terms_layer(spark, sf_dir):
+    return L.run("terms", segment_nodes(spark, sf_dir)).select("label_id", "term", "definition", "start", "stop")
+
+
+@query(f"with {_SOLD} select label_id, tree || '-1' as cited from c where m = 0")
+def internal_citations(spark, sf_dir):
+    """Citations of sections that are there; § n.2 is not."""
+    return L.run("internal-citations", segment_nodes(spark, sf_dir)).select("label_id", "cited")
+
+
+@query(f"with {_SOLD} select label_id, '12 U.S.C. ' || (m + 5000) as citation, 'USC' as citation_type from c")
+def external_citations(spark, sf_dir):
+    return L.run("external-citations", segment_nodes(spark, sf_dir)).select("label_id", "citation", "citation_type")
+
+
+@query(f"with {_SOLD} select label_id, label_id || '-Interp' as reference from c where k % 3 = 0 and m <> 1")
+def interpretations(spark, sf_dir):
+    return L.run("interpretations", segment_nodes(spark, sf_dir)).select("label_id", "reference")
+
+
+@query("select cast(n_nationkey as varchar) as label_id, n_name as statutory_name, 'Z' as reg_letter, '12' as cfr_title_number, '2024-01-01' as effective_date from nation")
+def meta_layer(spark, sf_dir):
+    return L.run("meta", segment_nodes(spark, sf_dir), effective_on="2024-01-01", title="12").select("label_id", "statutory_name", "reg_letter", "cfr_title_number", "effective_date")
+
+
+@query(f"""with {_SOLD}, r as (select o_orderkey, strftime(o_orderdate, '%Y-%m-%d') as day, c_nationkey || '-' || (o_custkey + 1000) as label_id from orders join customer on c_custkey = o_custkey where o_orderstatus = 'F')
+select label_id, cast(row_number() over (partition by label_id order by day, cast(o_orderkey as varchar)) as integer) as ref_no, cast(o_orderkey as varchar) as reference from r""")
+def analyses(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").join(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey")
+    sxs = o.select(F.col("o_orderkey").cast("string").alias("doc_number"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("publication_date"), F.lit(1).alias("fr_volume"), F.lit(1).alias("fr_page"), F.array(F.concat_ws("-", "c_nationkey", F.col("o_custkey") + 1000)).alias("labels"), F.col("o_orderpriority").alias("body"))
+    return L.run("analyses", segment_nodes(spark, sf_dir), sxs=sxs).select("label_id", "ref_no", "reference")
+
+
+@query(f"""with v as (select unnest(['v1', 'v2']) as version) select version, {_PART_LABEL} as label_id, '(' || {_LETTER} || ')' as marker from part, v where p_size % 3 = 0""")
+def run_versions(spark, sf_dir):
+    """A layer of two versions of which one half of the nodes is the same: distinct nodes are looked at once."""
+    n = part_nodes(spark, sf_dir)
+    second = n.withColumn("text", F.when(F.col("path")[1] % 2 == 0, F.concat("text", F.lit(" changed"))).otherwise(F.col("text")))
+    both = n.withColumn("version", F.lit("v1")).unionByName(second.withColumn("version", F.lit("v2")))
+    return L.run_versions("paragraph-markers", both).select("version", "label_id", "marker")
 
 
 @query("select item_id, doc_id, cast(instr(d.text, b.text) - 1 as integer) as start from benchmark b join documents d on contains(d.text, b.text)")
@@ -449,15 +513,15 @@ def _words(spark, sf_dir) -> DataFrame:
     return b.select(F.lower("w").alias("term")).distinct()
 
 
-@query(f"with {_WORDS} select doc_id, term, count(*) as n from (select doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) as term from documents where lang = 'en') d where term in (select term from w) group by doc_id, term")
+@query(f"with {_WORDS} select doc_id, term, count(*) as n from (select doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) as term from documents) d where term in (select term from w) group by doc_id, term")
 def terms_word_boundary(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").where("lang = 'en'").select("doc_id", F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), 0)).alias("term"))
+    d = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), 0)).alias("term"))
     return d.join(J.small(_words(spark, sf_dir)), "term").groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"with {_WORDS} select doc_id, found as term, cast(min(start) as integer) as first_start from {_spans_sql('''(select doc_id, lower(text) as text from documents where lang = 'en')''', 'doc_id', 'text', '[a-z]+')} where found in (select term from w) group by doc_id, found")
+@query(f"with {_WORDS} select doc_id, found as term, cast(min(start) as integer) as first_start from {_spans_sql('''(select doc_id, lower(text) as text from documents)''', 'doc_id', 'text', '[a-z]+')} where found in (select term from w) group by doc_id, found")
 def terms_referenced(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").where("lang = 'en'").select("doc_id", F.lower("text").alias("text"))
+    d = table(spark, sf_dir, "documents").select("doc_id", F.lower("text").alias("text"))
     spans = X.all_spans(d, "text", "[a-z]+", 0, "term")
     return spans.join(J.small(_words(spark, sf_dir)), "term").groupBy("doc_id", "term").agg(F.min("start").alias("first_start"))
 
@@ -475,10 +539,21 @@ def terms_scope(spark, sf_dir):
 
 @query("select doc_id, regexp_replace(text, '[0-9]+', '#', 'g') as text from documents")
 def splice_spans(spark, sf_dir):
+    return X.splice_matches(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", "[0-9]+", "#")
+
+
+@query("select doc_id, '[' || split_part(text, ' ', 1) || ']' || case when length(text) > length(split_part(text, ' ', 1)) then substr(text, length(split_part(text, ' ', 1)) + 1) else '' end as text from documents")
+def splice_first_word(spark, sf_dir):
+    """Spans of a table of spans, spliced."""
     d = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = X.all_spans(d, "text", "[0-9]+").groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("start", "end", F.lit("#").alias("value")))).alias("spans"))
-    joined = d.join(found, "doc_id", "left")
-    return joined.select("doc_id", F.when(F.col("spans").isNull(), F.col("text")).otherwise(X.splice(F.col("text"), F.col("spans"))).alias("text"))
+    first = F.substring_index("text", " ", 1)
+    spans = F.array(F.struct(F.lit(0).alias("start"), F.length(first).alias("end"), F.concat(F.lit("["), first, F.lit("]")).alias("value")))
+    return d.select("doc_id", X.splice(F.col("text"), spans).alias("text"))
+
+
+@query("select doc_id, case when contains(text, '.') then 'New' || substr(text, instr(text, '.')) else 'New' end as text from documents")
+def replace_first(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", X.replace_first(F.col("text"), F.lit("New.")).alias("text"))
 
 
 @query("select c_custkey, c_nationkey || '-' || coalesce(case when c_custkey % 2 = 0 then c_mktsegment end, 'X') as key from customer")
@@ -511,9 +586,32 @@ def local_override(spark, sf_dir):
 
 @query("select o_orderkey, case when count(*) over (partition by o_custkey) > 1 then o_custkey || '_' || strftime(o_orderdate, '%Y%m%d') else cast(o_custkey as varchar) end as number from orders")
 def split_doc_numbers(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").withColumn("number", F.col("o_custkey"))
+    return V.split_numbers(o, "number", "o_orderdate").select("o_orderkey", "number")
+
+
+@query("""with l as (select o_orderkey, o_custkey, o_orderkey % 2 as fixed from orders)
+select o_orderkey, '9-' || o_custkey as label_id, 'DELETE' as action from l where fixed = 0 union all select o_orderkey, '9-' || o_custkey, 'KEEP' from l where fixed = 1 union all select o_orderkey, '9-x', 'PUT' from l""")
+def merge_changes(spark, sf_dir):
+    """A change log in which patches take the place of some changes."""
     o = table(spark, sf_dir, "orders")
-    n = F.count(F.lit(1)).over(W.partitionBy("o_custkey"))
-    return o.withColumn("_n", n).select("o_orderkey", F.when(F.col("_n") > 1, F.concat_ws("_", "o_custkey", F.date_format("o_orderdate", "yyyyMMdd"))).otherwise(F.col("o_custkey").cast("string")).alias("number"))
+    at = F.concat(F.lit("9-"), F.col("o_custkey").cast("string")).alias("label_id")
+    log = o.select("o_orderkey", at, F.lit("DELETE").alias("action")).union(o.select("o_orderkey", F.lit("9-x"), F.lit("PUT")))
+    return V.merge_changes(log, o.where("o_orderkey % 2 = 1").select("o_orderkey", at, F.lit("KEEP").alias("action")), "o_orderkey")
+
+
+@query(f"with {_N3}, n as ({_ALL3}) select label_id from n where not exists (select 1 from nation where n_nationkey % 4 = 0 and (label_id = n_regionkey || '-' || n_nationkey or starts_with(label_id, n_regionkey || '-' || n_nationkey || '-')))")
+def prefix_anti(spark, sf_dir):
+    gone = table(spark, sf_dir, "nation").where("n_nationkey % 4 = 0").select(F.col("n_regionkey").cast("long").alias("tree"), F.concat_ws("-", "n_regionkey", "n_nationkey").alias("label_id"))
+    return J.prefix_anti(nodes(spark, sf_dir), gone).select("label_id")
+
+
+@query(f"""with {_SOLD} select label_id, case when label_id like '%-Interp' then case when k_of = 0 then tree else tree || '-Interp' end else case when k_of = 0 then null else tree end end as parent_id from (
+select cast(n_nationkey as varchar) as label_id, cast(n_nationkey as varchar) as tree, 0 as k_of from nation union all select label_id, tree, 1 from c union all select label_id || '-Interp', tree, 1 from c where k % 3 = 0)""")
+def parent_key(spark, sf_dir):
+    """Labels that nodes belong under: interpretations of a section under those of the part."""
+    n = segment_nodes(spark, sf_dir).where("size(label) <> 2 or label[1] <> '1'").where("not (size(label) = 3 and label[1] = '1')")
+    return n.select("label_id", T.label_id(T.parent_key()).alias("parent_id"))
 
 
 @query("""select o_orderkey, cast(year(o_orderdate) + case when cast(o_orderdate as date) > make_date(year(o_orderdate), case when o_custkey % 50 + 1 <= 16 then 1 when o_custkey % 50 + 1 <= 27 then 4 when o_custkey % 50 + 1 <= 41 then 7 else 10 end, 1) then 1 else 0 end as integer) as year from orders""")
@@ -521,10 +619,13 @@ def annual_edition(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", X.annual_edition(F.col("o_orderdate").cast("date"), F.col("o_custkey") % 50 + 1).alias("year"))
 
 
-@query("select l_orderkey, string_agg(l_returnflag || l_linestatus, ',' order by l_returnflag || l_linestatus) as changes from (select distinct l_orderkey, l_returnflag, l_linestatus from lineitem) group by l_orderkey")
-def notice_changes_dedupe(spark, sf_dir):
-    c = table(spark, sf_dir, "lineitem").select("l_orderkey", F.concat("l_returnflag", "l_linestatus").alias("c"))
-    return c.groupBy("l_orderkey").agg(F.array_join(F.array_sort(F.collect_set("c")), ",").alias("changes"))
+@query("""select o_orderkey as document_number, case o_orderkey % 3 when 2 then 'RESERVE' else 'DELETE' end as action, '100-' || o_custkey || case o_orderkey % 3 when 1 then '-b' else '' end as label_id from orders""")
+def notice_changes(spark, sf_dir):
+    """Changes of small notices in XML, in which an instruction that is there twice counts once."""
+    o = table(spark, sf_dir, "orders").repartition(2 * spark.sparkContext.defaultParallelism)
+    words = F.expr("case o_orderkey % 3 when 0 then concat('Remove § 100.', o_custkey, '.') when 1 then concat('In § 100.', o_custkey, ', remove paragraph (b).') else concat('Remove and reserve § 100.', o_custkey, '.') end")
+    twice = F.concat(F.lit('<RULE><REGTEXT PART="100"><AMDPAR>'), words, F.lit("</AMDPAR><AMDPAR>"), words, F.lit("</AMDPAR></REGTEXT></RULE>"))
+    return build.notice_changes(o.select(F.col("o_orderkey").alias("document_number"), twice.alias("text"))).select("document_number", "action", "label_id")
 
 
 @query("""with w as (select c_nationkey as g, c_custkey as key, c_mktsegment as weak from customer where c_custkey % 2 = 0),

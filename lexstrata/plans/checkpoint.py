@@ -13,8 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; where that is unset (one machine), a new local one."""
+    """The folder named by spark.checkpoint.dir. Where that is unset and all runs in one process, a new local one; on a cluster
+    that is an error, as executors would write to disks of their own."""
+    master = spark.sparkContext.master
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not found and (not master.startswith("local") or master.startswith("local-cluster")):
+        raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
     return (found or "file://" + tempfile.mkdtemp(prefix="lexstrata-stages-")).rstrip("/")
 
 

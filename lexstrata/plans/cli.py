@@ -1,6 +1,8 @@
 """Command line: build all versions of regulations, list notices in order, follow one node through its versions.
 
     python -m lexstrata.plans.cli build REGULATION.xml --notices 'NOTICES/*.xml' --dates DATES.csv --out DIR
+    python -m lexstrata.plans.cli tree REGULATION.xml --out DIR
+    python -m lexstrata.plans.cli layers REGULATION.xml --layer terms --layer toc --out DIR
     python -m lexstrata.plans.cli order NOTICES.json --title 12 --part 1005
     python -m lexstrata.plans.cli watch DIR 1005-2-a
 """
@@ -29,7 +31,10 @@ def build_command(spark: SparkSession, a: argparse.Namespace) -> None:
     versions = stages.stage("versions", lambda: build.versions(nodes, log))
     sink = sinks.Sink(a.out, a.format)
     sink.regulation(versions.withColumn("reg", F.col("tree")))
-    for name, rows in build.all_layers(versions).items():
+    from .settings import layered
+
+    settings = layered(*(a.settings or ()))
+    for name, rows in build.all_layers(versions, settings=settings).items():
         sink.layer(name, rows if "version" in rows.columns else rows.withColumns({"version": F.substring_index("tree", "@", -1), "tree": F.substring_index("tree", "@", 1)}))
     sink.diffs(build.version_pairs_diff(versions))
 
@@ -39,6 +44,22 @@ def order_command(spark: SparkSession, a: argparse.Namespace) -> None:
     group_by_effective_date(n, "effective_on", "publication_date", "document_number", F.col("type") == "Rule").orderBy("effective_on").show(1000, False)
 
 
+def tree_command(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Writes the tree of each regulation (XML, or plain text) as a JSON document."""
+    files = readers.whole_files(spark, a.regulation)
+    trees = readers.text_trees(files) if a.plain else readers.regulation_trees(files)
+    sinks.tree_documents(trees, ["tree"], "json").write.mode("overwrite").json(a.out)
+
+
+def layers_command(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Writes the named layers of regulations."""
+    from ..operators import layers as L
+
+    nodes = readers.regulation_trees(readers.whole_files(spark, a.regulation)).withColumn("tree", F.element_at("label", 1))
+    for name in a.layer:
+        L.run(name, nodes).write.mode("overwrite").json(f"{a.out}/{name}")
+
+
 def watch_command(spark: SparkSession, a: argparse.Namespace) -> None:
     nodes = sinks.Sink(a.out, a.format).read(spark, "regulation")
     build.history_of(nodes.withColumn("tree", F.col("reg").cast("string")), a.label).orderBy("tree", "version").show(1000, False)
@@ -54,6 +75,17 @@ def main(argv: list[str] | None = None) -> None:
     b.add_argument("--out", required=True)
     b.add_argument("--checkpoint", action="store_true")
     b.set_defaults(run=build_command)
+    b.add_argument("--settings", action="append", help="JSON files, later ones over earlier ones")
+    t = sub.add_parser("tree")
+    t.add_argument("regulation")
+    t.add_argument("--out", required=True)
+    t.add_argument("--plain", action="store_true")
+    t.set_defaults(run=tree_command)
+    y = sub.add_parser("layers")
+    y.add_argument("regulation")
+    y.add_argument("--layer", action="append", required=True)
+    y.add_argument("--out", required=True)
+    y.set_defaults(run=layers_command)
     o = sub.add_parser("order")
     o.add_argument("notices")
     o.add_argument("--title", type=int)

@@ -43,8 +43,8 @@ def xml_elements(files: DataFrame) -> DataFrame:
     return flat_map(files, ["path"], ["text"], lambda t: ((i, a, o, tag, list(at.items()), x, y) for i, a, o, tag, at, x, y in regxml.elements(t)), "elem_id int, parent_id int, ord int, tag string, attrs map<string,string>, text string, tail string")
 
 
-def notices(spark: SparkSession, path: str, title: int | None = None, part: int | None = None, final_only: bool = False, until: str | None = None, most: int = 1000) -> DataFrame:
-    """Notice records (JSON lines) with the filters of a search: by title and part, final rules, effective until a date; the oldest first, at most `most` of them."""
+def notices(spark: SparkSession, path: str, title: int | None = None, part: int | None = None, final_only: bool = False, until: str | None = None, most: int | None = None) -> DataFrame:
+    """Notice records (JSON lines) with the filters of a search: by title and part, final rules, effective until a date; the oldest first; all of them, or `most` where a page's size is asked for."""
     n = spark.read.schema(NOTICE_SCHEMA).json(path)
     if title is not None:
         n = n.where(F.exists("cfr_references", lambda r: (r["title"] == title) & (F.lit(part is None) | (r["part"] == part))))
@@ -52,7 +52,14 @@ def notices(spark: SparkSession, path: str, title: int | None = None, part: int
         n = n.where("type = 'Rule'")
     if until is not None:
         n = n.where(F.col("effective_on") <= F.lit(until).cast("date"))
-    return n.orderBy("publication_date", "document_number").limit(most)
+    n = n.orderBy("publication_date", "document_number")
+    return n if most is None else n.limit(most)
+
+
+def first_notice_and_text(notices_: DataFrame, files: DataFrame) -> DataFrame:
+    """The oldest notice whose file is there, with its text: one row. files: (path, text), named by document number."""
+    named = files.select(F.regexp_extract("path", r"([^/]+?)(?:_\\d{8})?\.\w+$", 1).alias("document_number"), "text")
+    return notices_.join(named, "document_number").orderBy("publication_date", "document_number").limit(1)
 
 
 def document_number(frdoc: DataFrame, rules: DataFrame) -> DataFrame:

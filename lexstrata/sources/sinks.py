@@ -56,6 +56,68 @@ def tree_documents(nodes: DataFrame, keys: list[str], form: str = "json") -> Dat
     return nodes.groupBy(*keys).applyInPandas(build, f"{kinds}, document string")
 
 
+def version_files(nodes: DataFrame) -> DataFrame:
+    """A file for every node of every version, as a repository would hold it: (reg, version, path, content). A node's folder
+    is its label, those of interpretations and subparts apart."""
+    folder = F.array_join(F.col("label"), "/")
+    front = F.concat(F.lit("---\nlabel: "), "label_id", F.lit("\ntype: "), "node_type", F.lit("\n---\n"))
+    content = F.concat(front, F.coalesce(F.concat(F.lit("# "), "title", F.lit("\n\n")), F.lit("")), F.trim("text"), F.lit("\n"))
+    return nodes.select("reg", "version", F.concat(F.lit("regulation/"), folder, F.lit("/index.md")).alias("path"), content.alias("content"))
+
+
+def commit_versions(files: DataFrame, repository: str, messages: dict[str, str] | None = None) -> int:
+    """Writes one regulation's versions into a git repository, a commit for each version in order; returns their number.
+
+    Rows are streamed in order, a partition at a time, into `git fast-import`, so the driver holds one file at a time. For
+    many regulations, call it for each; tables are the way to write all of them at once."""
+    import subprocess
+
+    subprocess.run(["git", "init", "-q", repository], check=True)
+    feed = subprocess.Popen(["git", "-C", repository, "fast-import", "--quiet", "--force"], stdin=subprocess.PIPE)
+    data = lambda b: feed.stdin.write(b"data %d\n%s\n" % (len(b), b))
+    seen: list[str] = []
+    for r in files.orderBy("version", "path").toLocalIterator():
+        if not seen or seen[-1] != r["version"]:
+            seen.append(r["version"])
+            feed.stdin.write(f"commit refs/heads/main\ncommitter writer <writer@localhost> {len(seen)} +0000\n".encode())
+            data(((messages or {}).get(r["version"]) or f"Version {r['version'] or 'first'}").encode())
+            feed.stdin.write(b"deleteall\n")
+        feed.stdin.write(f"M 100644 inline {r['path']}\n".encode())
+        data(r["content"].encode())
+    feed.stdin.close()
+    if feed.wait():
+        raise RuntimeError("git fast-import failed")
+    return len(seen)
+
+
+def post_documents(documents: DataFrame, base: str, path: str = "path", body: str = "document", tries: int = 3) -> DataFrame:
+    """POSTs every document to base/path from the executors; (path, status) of each. Tasks may be run again, so what
+    receives them has to take a document twice."""
+    from ..functions.arrow import flat_map
+
+    def send(where, what):
+        import time
+        import urllib.error
+        import urllib.request
+
+        request = urllib.request.Request(f"{base.rstrip('/')}/{where.lstrip('/')}", (what or "").encode(), {"Content-Type": "application/json"}, method="POST")
+        for i in range(tries):
+            try:
+                with urllib.request.urlopen(request, timeout=30) as answer:
+                    yield (answer.status,)
+                    return
+            except urllib.error.HTTPError as e:
+                if e.code < 500 or i + 1 == tries:
+                    yield (e.code,)
+                    return
+            except urllib.error.URLError:
+                if i + 1 == tries:
+                    raise
+            time.sleep(0.2 * 2**i)
+
+    return flat_map(documents.withColumn("_p", F.col(path)), [path], ["_p", body], send, "status int")
+
+
 def to_markdown(root: Node) -> str:
     """Front matter with label, type and title; then text and children."""
     out, stack = [], [(root, 1)]
