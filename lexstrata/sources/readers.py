@@ -58,7 +58,7 @@ def notices(spark: SparkSession, path: str, title: int | None = None, part: int
 
 def first_notice_and_text(notices_: DataFrame, files: DataFrame) -> DataFrame:
     """The oldest notice whose file is there, with its text: one row. files: (path, text), named by document number."""
-    named = files.select(F.regexp_extract("path", r"([^/]+?)(?:_\\d{8})?\.\w+$", 1).alias("document_number"), "text")
+    named = files.select(F.regexp_extract("path", r"([^/]+?)(?:_\d{8})?\.\w+$", 1).alias("document_number"), "text")
     return notices_.join(named, "document_number").orderBy("publication_date", "document_number").limit(1)
 
 

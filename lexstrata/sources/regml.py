@@ -70,9 +70,9 @@ def definitions(rows: DataFrame) -> DataFrame:
 
 def defined(uses: DataFrame, nodes: DataFrame) -> DataFrame:
     """Where terms that are used are defined: tree, label_id, term, start, stop, from the terms layer and the defining texts."""
-    # A use may be a plural, which the defining text need not have.
+    # Quoted, if it is; a use may be a plural, which the defining text need not have.
     named = uses.select("tree", F.col("definition").alias("label_id"), "term").distinct()
-    met = named.join(nodes.select("tree", "label_id", "text"), ["tree", "label_id"]).withColumn("at", F.expr("instr(lower(text), lower(term))")).where("at > 0")
+    met = named.join(nodes.select("tree", "label_id", "text"), ["tree", "label_id"]).withColumn("at", F.expr("coalesce(nullif(instr(lower(text), concat('“', lower(term), '”')), 0) + 1, instr(lower(text), lower(term)))")).where("at > 0")
     return met.select("tree", "label_id", "term", (F.col("at") - 1).alias("start"), (F.col("at") - 1 + F.length("term")).alias("stop"))
 
 
