@@ -44,8 +44,12 @@ def test_one_of_each_group_stays(stages):
     assert after == {i: before[i] for i, (_, root) in brute(before, 5, 4, 5).items() if i == root}
 
 
-def test_secrets_are_replaced(stages):
-    before, after = (texts(x) for x in stages["secrets"])
+def test_secrets_are_replaced(stages, make, spark, sf_dir):
+    docs = stages["secrets"][0]
+    planted = make([(10**9 + i, f"words before {x} and after", "en", "s") for i, x in enumerate(["token=abcdEFGH1234", "Password: 'hunter2hunter2'", "AKIA" + "Q7" * 8, "0123456789abcdef" * 2, "no secret"])])
+    whole = docs.unionByName(planted.select(*[planted[c].cast(docs.schema[c].dataType).alias(c) for c in docs.columns]))
+    before, after = texts(whole), texts(P.secrets(spark, whole, sf_dir))
+    assert {i: t for i, t in after.items() if i < 10**9} == texts(stages["secrets"][1])
     assert set(before) == set(after)
     changed = 0
     for i, t in before.items():
