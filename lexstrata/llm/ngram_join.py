@@ -120,7 +120,7 @@ def frequent_cells(documents: DataFrame, k: int, total: int) -> tuple[np.ndarray
     cells. Two tokens in one cell only steer the order of tokens; any order gives the same links.
     """
     most = max(LEAST_HOT, total >> HOT_BITS)
-    bits = max(6, (max(total, 1) // RANGE_TOKENS).bit_length())
+    bits = _range_bits(total, 1)
 
     def gather(batches):
         held, size = [], 0
@@ -206,7 +206,7 @@ class Sender:
     frequent tokens go to ranges of their own, dealt by entity, so that no range has to hold all rows of such a token."""
 
     def __init__(self, names: list[str], bits: int):
-        self.names, self.bits, self.loose = names, bits, max(64, 1 << (bits - 2))
+        self.names, self.bits, self.loose = names, bits, 1 << max(min(bits, 6), bits - 2)
         self.held, self.size = [], 0
 
     def add(self, frequent: np.ndarray, **columns: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -252,8 +252,9 @@ class Sender:
         return packed.groupBy("part").applyInArrow(unpack, kinds)
 
 
-def _range_bits(total: int) -> int:
-    return max(6, (max(total // 4, 1) // RANGE_TOKENS).bit_length())
+def _range_bits(total: int, share: int = 4) -> int:
+    """log2 of the number of ranges: of RANGE_TOKENS prefix tokens each, and 64 at least, but for very small corpora."""
+    return max(1, min(6, (total >> 12).bit_length()), (total // share // RANGE_TOKENS).bit_length())
 
 
 class Frequencies:
