@@ -18,6 +18,7 @@ from ..functions import citations as C
 from ..functions import terms as T
 from ..functions.arrow import flat_map
 from .joins import known_targets
+from .ranks import numbered
 from .text import all_spans
 from .tree import with_prefixes
 
@@ -84,8 +85,7 @@ def toc(nodes: DataFrame) -> DataFrame:
     lifted = direct.where("empty").select("tree", "at", above.alias("path"), "index", "title").join(slim.select("tree", "path", "label_id"), ["tree", "path"])
     entries = direct.select("tree", "label_id", "at", "index", "title").unionByName(lifted.select("tree", "label_id", "at", "index", "title"))
     whole = entries.groupBy("tree", "label_id").agg(F.bool_and(F.col("title").isNotNull()).alias("ok")).where("ok").select("tree", "label_id")
-    place = F.row_number().over(W.partitionBy("tree", "label_id").orderBy("at"))
-    return entries.join(whole, ["tree", "label_id"]).select("tree", "label_id", place.alias("toc_pos"), "index", "title")
+    return numbered(entries.join(whole, ["tree", "label_id"]), ["tree", "label_id"], ["at"], "toc_pos").select("tree", "label_id", "toc_pos", "index", "title")
 
 
 @layer("paragraph-markers", own_text=True)

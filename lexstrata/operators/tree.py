@@ -8,9 +8,10 @@ A node table has `tree` (which tree), `path` (array; order by it is pre-order),
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .ranks import carried, numbered
+
 SEP = "-"
 
 
@@ -39,7 +40,7 @@ def parent_key(label: str = "label", node_type: str = "node_type") -> Column:
 def walk(nodes: DataFrame, value: Column, name: str = "value") -> DataFrame:
     """Applies an expression in pre-order, leaving out nodes it is null for: tree, pos (from 1), label_id, value."""
     kept = nodes.withColumn(name, value).where(F.col(name).isNotNull())
-    return kept.select("tree", F.row_number().over(W.partitionBy("tree").orderBy("path")).alias("pos"), "label_id", name)
+    return numbered(kept.select("tree", "path", "label_id", name), ["tree"], ["path"], "pos").select("tree", "pos", "label_id", name)
 
 
 def find(nodes: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -70,7 +71,8 @@ def subtree(nodes: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def join_text(nodes: DataFrame, sep: str = "") -> DataFrame:
-    """Text of every node's subtree, in pre-order: tree, label_id, full_text."""
+    """Text of every node's subtree, in pre-order: tree, label_id, full_text. A root's row holds its document's whole text, so a
+    document has to fit in a row (2 GB)."""
     down = with_prefixes(nodes.select("tree", "path", "label", "text"))
     return down.groupBy("tree", F.col("ancestor_id").alias("label_id")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("path", "text"))), lambda x: x["text"]), sep).alias("full_text"))
 
@@ -100,7 +102,7 @@ def table_of_contents(nodes: DataFrame) -> DataFrame:
     rows = nodes.where(F.size("label") > 1).select("tree", "path", label_id(F.slice("label", 1, F.size("label") - 1)).alias("parent_id"), F.element_at("label", -1).alias("index"), "title")
     whole = rows.groupBy("tree", "parent_id").agg(F.bool_and(F.col("title").isNotNull()).alias("ok")).where("ok").select("tree", "parent_id")
     kept = rows.join(whole, ["tree", "parent_id"])
-    return kept.select("tree", F.col("parent_id").alias("label_id"), F.row_number().over(W.partitionBy("tree", "parent_id").orderBy("path")).alias("toc_pos"), "index", "title")
+    return numbered(kept, ["tree", "parent_id"], ["path"], "toc_pos").select("tree", F.col("parent_id").alias("label_id"), "toc_pos", "index", "title")
 
 
 def merkle(nodes: DataFrame, depths: int, fields: tuple[str, ...] = ("text", "title", "label_id")) -> DataFrame:
@@ -125,7 +127,7 @@ def merkle(nodes: DataFrame, depths: int, fields: tuple[str, ...] = ("text", "ti
 
 def carry_forward(rows: DataFrame, header: Column, order: str = "path", name: str = "carried") -> DataFrame:
     """Each row gets the last non-null header at or before it in its tree (sections under their subpart)."""
-    return rows.withColumn(name, F.last(header, ignorenulls=True).over(W.partitionBy("tree").orderBy(order).rowsBetween(W.unboundedPreceding, 0)))
+    return carried(rows, ["tree"], [order], {name: header})
 
 
 def parents_by_level(rows: DataFrame, level: str, levels: int, order: str = "pos", id_col: str = "id") -> DataFrame:
@@ -134,13 +136,13 @@ def parents_by_level(rows: DataFrame, level: str, levels: int, order: str = "pos
     For each level, the last row of that level is carried; it only counts while no smaller level came after it, which
     is so when its position is the largest among all smaller or equal levels.
     """
-    w = W.partitionBy("tree").orderBy(order).rowsBetween(W.unboundedPreceding, -1)
-    last = [F.last(F.when(F.col(level) == k, F.struct(F.col(order).alias("p"), F.col(id_col).alias("i"))), ignorenulls=True).over(w) for k in range(levels)]
+    held = {f"_last{k}": F.when(F.col(level) == k, F.struct(F.col(order).alias("p"), F.col(id_col).alias("i"))) for k in range(levels)}
+    rows, last = carried(rows, ["tree"], [order], held, here=False), [F.col(f"_last{k}") for k in range(levels)]
     best = None
     for k in range(levels):
         candidate = F.when(F.col(level) > k, last[k])
         best = candidate if best is None else F.when(best.isNull() | (candidate["p"] > best["p"]), F.coalesce(candidate, best)).otherwise(best)
-    return rows.withColumn("parent", best["i"])
+    return rows.withColumn("parent", best["i"]).drop(*held)
 
 
 # -- sort keys --------------------------------------------------------------------------------------------------

@@ -14,6 +14,7 @@ from ..operators import layers as L
 from ..operators import text as X
 from ..operators import tree as T
 from ..operators import versions as V
+from ..operators.ranks import numbered
 from ..sources import readers
 from . import build
 from .star import change_log, nodes, part_nodes, segment_nodes, table
@@ -172,14 +173,14 @@ k as (select *, list_transform(regexp_extract_all(name, '([0-9]+|[A-Z]+|[a-z]+)'
 select p_partkey, name, cast(row_number() over (partition by p_type order by key, p_partkey) as integer) as pos from k""")
 def natural_sort(spark, sf_dir):
     named = table(spark, sf_dir, "part").select("p_partkey", "p_type", F.concat_ws("-", "p_brand", "p_size").alias("name"))
-    return named.withColumn("pos", F.row_number().over(W.partitionBy("p_type").orderBy(T.natural_key(F.col("name")), "p_partkey"))).select("p_partkey", "name", "pos")
+    return numbered(named, ["p_type"], [T.natural_key(F.col("name")), "p_partkey"], "pos").select("p_partkey", "name", "pos")
 
 
 @query("""with l as (select c_nationkey, case when c_custkey % 7 = 0 then 'Subpart-' else '' end || c_custkey as label from customer)
 select c_nationkey, label, cast(row_number() over (partition by c_nationkey order by not contains(label, 'Subpart'), length(label), label) as integer) as pos from l""")
 def label_sort(spark, sf_dir):
     rows = table(spark, sf_dir, "customer").select("c_nationkey", F.concat(F.when(F.col("c_custkey") % 7 == 0, "Subpart-").otherwise(""), F.col("c_custkey").cast("string")).alias("label"))
-    return rows.withColumn("pos", F.row_number().over(W.partitionBy("c_nationkey").orderBy(*T.replay_order(F.col("label")))))
+    return numbered(rows, ["c_nationkey"], list(T.replay_order(F.col("label"))), "pos")
 
 
 @query("select o_orderkey, strftime(o_orderdate, '%Y-%m-%d') as day from orders order by o_orderdate desc, o_orderkey limit 10")
