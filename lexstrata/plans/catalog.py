@@ -667,9 +667,21 @@ def depth_solver(spark, sf_dir):
     return kernels.depths(seq.withColumn("markers", F.concat(F.array(F.lit("a")), "markers")), "o_custkey")
 
 
-@query()
+@query("""with s as (select s_suppkey, case s_suppkey % 2 when 0 then ['a', '1', 'i', 'ii', '2', 'b'] else ['a', 'b', '1', '2', 'c'] end as m, case s_suppkey % 2 when 0 then [0, 1, 2, 2, 1, 0] else [0, 0, 1, 1, 0] end as d from supplier)
+select s_suppkey, cast(unnest(range(len(m))) as integer) as pos, unnest(m) as marker, unnest(d) as depth from s""")
+def marker_depths(spark, sf_dir):
+    """Depths of paragraphs' markers whose nesting is known."""
+    s = table(spark, sf_dir, "supplier")
+    of = lambda *m: F.array(*[F.lit(x) for x in m])
+    markers = F.when(F.col("s_suppkey") % 2 == 0, of("a", "1", "i", "ii", "2", "b")).otherwise(of("a", "b", "1", "2", "c"))
+    return kernels.depths(s.select("s_suppkey", markers.alias("markers")), "s_suppkey")
+
+
+@query("""with s as (select o_orderkey, o_custkey || '-' || (o_orderkey % 90 + 1) as section, o_orderkey % 9 + 1 as n, o_orderkey % 4 as v, unnest([0, 1]) as seq from orders)
+select o_orderkey, cast(seq as integer) as seq, case v when 1 then 'POST' when 2 then 'DELETE' else 'PUT' end as action, section || case seq when 0 then '-a-' || n else '-b' end as label_id,
+case v when 3 then 'text' end as field, cast(null as varchar) as destination from s where v <> 3 or seq = 0""")
 def amdpar_tokens(spark, sf_dir):
-    """Amendments parsed from sentences made of orders."""
+    """Amendments parsed from sentences made of orders. `The introductory text of` is of one paragraph."""
     verb = F.element_at(F.array(*[F.lit(v) for v in ("revise", "add", "remove", "revising the introductory text of")]), (F.col("o_orderkey") % 4 + 1).cast("int"))
     o = table(spark, sf_dir, "orders").select("o_orderkey", F.concat(F.lit("In § "), F.col("o_custkey").cast("string"), F.lit("."), (F.col("o_orderkey") % 90 + 1).cast("string"), F.lit(", "), verb, F.lit(" paragraphs (a)("), (F.col("o_orderkey") % 9 + 1).cast("string"), F.lit(") and (b) to read as follows:")).alias("sentence"))
     # The table may be one file with one row group, which would be one task; parsing costs more than moving a sentence.
@@ -677,7 +689,9 @@ def amdpar_tokens(spark, sf_dir):
     return kernels.amendments(o, "o_orderkey", "sentence")
 
 
-@query()
+@query("""with s as (select p_partkey, cast(p_size as varchar) as z, length(cast(p_size as varchar)) as n from part)
+select p_partkey, cast(unnest([15, 22 + n, 30 + n, 59 + n, 76 + 2 * n, 89 + 2 * n, 98 + 2 * n]) as integer) as start, cast(unnest([20 + n, 25 + n, 36 + n, 66 + 2 * n, 84 + 2 * n, 99 + 2 * n, 111 + 2 * n]) as integer) as stop,
+unnest(['100-5-a-' || z, '100-5-b', '100-5-c-2', '100-' || z || '-d', '100-3-v-Interp-1-v', '100-G-Interp', '100-G-V-4-D']) as cited from s""")
 def citation_labels(spark, sf_dir):
     """Labels of internal citations in sentences made of parts."""
     p = table(spark, sf_dir, "part").select("p_partkey", F.expr("concat('See paragraphs (a)(', p_size, '), (b) and (c)(2) of this section and § 100.', p_size, '(d); comment 3(v)-1.v and appendix G, part V.4.D')").alias("text"), F.array(F.lit("100"), F.lit("5")).alias("label"))
