@@ -134,14 +134,15 @@ def _cut(text: bytes) -> np.ndarray:
 
 
 def labelled_windows(documents: DataFrame, keep) -> tuple[np.ndarray, list[str]]:
-    """A bounded sample: windows of labelled documents (keep is a condition on them), the same on every run."""
+    """A bounded sample: windows of labelled documents (keep is a condition on them), the same on every run. Of rows that
+    repeat an id and a language, the smallest text is looked at."""
     rows = documents.where(keep & F.col("lang").isNotNull()).select("doc_id", "lang")
     n_langs = max(1, rows.select("lang").distinct().count())
     each = max(1, min(PER_LANGUAGE, SAMPLE // n_langs) // 8)
     by = W.partitionBy("lang", "salt").orderBy("h", "doc_id")
     rows = rows.withColumn("h", F.xxhash64("doc_id")).withColumn("salt", F.pmod("h", F.lit(8))).withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= each)
-    ids = rows.select("doc_id", "lang").limit(SAMPLE + 8 * n_langs)
-    texts = documents.select("doc_id", F.col("text").cast("binary").alias("text")).join(F.broadcast(ids), "doc_id").select("doc_id", "lang", "text")
+    ids = rows.select("doc_id", "lang").limit(SAMPLE + 8 * n_langs).distinct()
+    texts = documents.select("doc_id", "lang", F.col("text").cast("binary").alias("text")).join(F.broadcast(ids), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
 
     def pick(batches):
         for batch in batches:
