@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import WORD_RE, Tables, unused_prefix
-from .ranks import hex_digits, join_small, running
+from .ranks import BROADCAST_ROWS, hex_digits, join_small, running
 
 WEIGHTS = (5, 2, 1)
 EPOCHS = 3
@@ -163,13 +163,15 @@ def mixed_documents(documents: DataFrame, **options) -> DataFrame:
     taken. Rows that repeat id, source and size are one unit; they are numbered as they come, which of them gives a word
     more does not matter to any source's sum."""
     p = unused_prefix(documents)
-    units = mix(documents, **options).taken.where("taken > 0")
+    units = Tables(documents.sparkSession, "units").put(mix(documents, **options).taken.where("taken > 0"), "taken")
     taken = units.select(F.col("doc_id").alias(f"{p}id"), F.col("source").alias(f"{p}source"), F.col("size").alias(f"{p}size"), F.col("taken").alias(f"{p}taken"), F.col("copies").alias(f"{p}copies"))
     sized = documents.withColumn(f"{p}n", size_of())
-    rows = sized.join(taken, F.col("doc_id").eqNullSafe(F.col(f"{p}id")) & F.col("source").cast("string").eqNullSafe(F.col(f"{p}source")) & (F.col(f"{p}n") == F.col(f"{p}size")))
-    # Only rows of repeated units are numbered, cell by cell, so none of the others is moved.
-    single = rows.where(f"{p}copies = 1").withColumn(f"{p}share", F.col(f"{p}taken"))
-    many = rows.where(f"{p}copies > 1").withColumn(f"{p}row", F.monotonically_increasing_id())
+    same = F.col("doc_id").eqNullSafe(F.col(f"{p}id")) & F.col("source").cast("string").eqNullSafe(F.col(f"{p}source")) & (F.col(f"{p}n") == F.col(f"{p}size"))
+    single = sized.join(taken.where(f"{p}copies = 1"), same).withColumn(f"{p}share", F.col(f"{p}taken"))
+    # Only rows of repeated units are numbered, cell by cell; where these units are few, documents are not moved for them.
+    repeated = taken.where(f"{p}copies > 1")
+    few = repeated.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    many = sized.join(F.broadcast(repeated) if few else repeated, same).withColumn(f"{p}row", F.monotonically_increasing_id())
     many = Tables(documents.sparkSession, "mixed").put(many, "repeated").withColumn(f"{p}cell", F.shiftright(f"{p}row", 10))  # numbers have to stay as they are
     many = many.withColumn(f"{p}key", F.to_json(F.struct(f"{p}id", f"{p}source", f"{p}size")))
     many = running(many, [f"{p}key"], f"{p}cell", [f"{p}row"], {f"{p}copy": F.lit(1).cast("long")})
