@@ -6,16 +6,17 @@ is bounded by the slice (or by one document, where that is longer) and not by th
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Bytes of text that are looked at together.
 SLICE_BYTES = 1 << 20
 
@@ -61,22 +62,29 @@ class Tables:
         """Writes df and returns the table that was written."""
         self.n += 1
         path = f"{self.root}/{self.n:03d}-{name}"
-        df.write.parquet(path)
+        with freed(self.spark):
+            df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._lexstrata_path = path
         return out
 
     def drop(self, *dfs: DataFrame) -> None:
-        """Deletes tables that nothing reads any more; the shuffles behind them go with the driver's garbage, which is collected."""
+        """Deletes tables that nothing reads any more."""
         for df in dfs:
             path = self.spark._jvm.org.apache.hadoop.fs.Path(df._lexstrata_path)
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
-        self.collect()
 
-    def collect(self) -> None:
-        """Lets Spark remove shuffle files that no plan needs any more; else they stay until the driver runs short of memory."""
-        gc.collect()
-        self.spark._jvm.System.gc()
+
+@contextmanager
+def freed(spark: SparkSession):
+    """Actions in here leave no shuffle files behind: Spark removes an action's when it has ended, and not when the driver happens
+    to collect its garbage. For actions whose shuffles nothing after them reads."""
+    was = spark.conf.get(FREE, "false")
+    spark.conf.set(FREE, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(FREE, was)
 
 
 def unused_prefix(df: DataFrame) -> str:

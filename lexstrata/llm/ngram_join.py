@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BASE, LOWER, Slice, SpanHash, Tables, as_bytes, chained, mixed, signed, slices, unused_prefix, words
+from .common import BASE, LOWER, Slice, SpanHash, Tables, as_bytes, chained, freed, mixed, signed, slices, unused_prefix, words
 from .graph import components
 from .ranks import BROADCAST_ROWS
 
@@ -151,7 +151,8 @@ def frequent_cells(documents: DataFrame, k: int, total: int) -> tuple[np.ndarray
         hot = n > most
         return pa.table({"cell": found[hot].astype(np.int64), "n": n[hot]})
 
-    rows = _map(documents, gather, "part int, once binary, cells binary, counts binary").groupBy("part").applyInArrow(count, "cell bigint, n bigint").toArrow()
+    with freed(documents.sparkSession):
+        rows = _map(documents, gather, "part int, once binary, cells binary, counts binary").groupBy("part").applyInArrow(count, "cell bigint, n bigint").toArrow()
     cells, n = rows["cell"].to_numpy(), rows["n"].to_numpy()
     order = np.argsort(cells)
     return cells[order].astype(np.uint32), n[order].astype(np.int64)
@@ -367,6 +368,11 @@ def _similar(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
     return den * both >= num * (len(a) + len(b) - both)
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """df, to be sent to all tasks if it has few rows (of some numbers each); else Spark moves both sides of its join."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
 def _only(sets: DataFrame, ids: DataFrame) -> DataFrame:
     """Those of the sets that are named, so that a join after it moves no others."""
     ids = ids.distinct()
@@ -381,7 +387,8 @@ def stars(members: DataFrame, sets: DataFrame, hot, num: int, den: int) -> DataF
     `least` tokens) can need. A family's members are dealt over its parts, each of which has a copy of
     the centre's set, so no task has to hold a family.
     """
-    centres = members.select("root", "centre", "part").distinct().join(sets.select(F.col("entity").alias("centre"), F.col("tokens").alias("core")), "centre").drop("centre")
+    copies = _small(members.select("root", "centre", "part").distinct())
+    centres = _only(sets, members.select(F.col("centre").alias("entity"))).select(F.col("entity").alias("centre"), F.col("tokens").alias("core")).join(copies, "centre").drop("centre")
 
     def run(batches):
         frequency = Frequencies(*hot.value)
@@ -402,7 +409,7 @@ def stars(members: DataFrame, sets: DataFrame, hot, num: int, den: int) -> DataF
                 n.append(len(a)), base.append(min(most, int((~late).sum()))), prefix.append(a[order].tobytes())
             yield pa.RecordBatch.from_arrays([entity, root, centre, chunk, pa.array(linked, pa.bool_()), pa.array(n, pa.int32()), pa.array(base, pa.int32()), pa.array(prefix, pa.binary())], names=["entity", "root", "centre", "chunk", "linked", "n", "base", "prefix"])
 
-    met = sets.join(members, "entity").join(centres, ["root", "part"]).select("entity", "root", "centre", "chunk", "tokens", "core", "least")
+    met = sets.join(_small(members), "entity").join(centres, ["root", "part"]).select("entity", "root", "centre", "chunk", "tokens", "core", "least")
     return met.mapInArrow(run, "entity bigint, root bigint, centre bigint, chunk int, linked boolean, n int, base int, prefix binary")
 
 
@@ -440,7 +447,7 @@ def open_groups(candidates: DataFrame, sets: DataFrame, groups: DataFrame, num:
         union = np.unique(np.concatenate(members))
         return pa.table({**{c: table[c][:1] for c in GROUP_KEYS}, "members": pa.array([table["entity"].to_pylist()], pa.list_(pa.int64())), "sizes": pa.array([[len(m) for m in members]], pa.list_(pa.int64())), "packed": pa.array([np.concatenate(members).tobytes()], pa.binary()), "union": pa.array([union.tobytes() if len(members) > 1 else b""], pa.binary())})
 
-    matrix = _only(sets, groups.select("entity")).join(groups, "entity").groupBy(*GROUP_KEYS).applyInArrow(build, "kind int, root bigint, chunk int, members array<bigint>, sizes array<bigint>, packed binary, union binary")
+    matrix = _only(sets, groups.select("entity")).join(_small(groups), "entity").groupBy(*GROUP_KEYS).applyInArrow(build, "kind int, root bigint, chunk int, members array<bigint>, sizes array<bigint>, packed binary, union binary")
 
     def run(batches):
         for batch in batches:
@@ -459,7 +466,7 @@ def open_groups(candidates: DataFrame, sets: DataFrame, groups: DataFrame, num:
             yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
     queries = _only(sets, candidates.select(F.col("a").alias("entity"))).select(F.col("entity").alias("a"), F.col("tokens").alias("x"))
-    met = candidates.join(queries, "a").join(matrix, GROUP_KEYS)
+    met = queries.join(_small(candidates), "a").join(matrix, GROUP_KEYS)
     return met.select("a", "x", "members", "sizes", "packed", "union").mapInArrow(run, "a bigint, b bigint")
 
 
@@ -493,7 +500,7 @@ def families(found: DataFrame, entities: DataFrame, tables: Tables, num: int, de
     sized = roots.join(entities.select(F.col("entity").alias("node"), "n"), "node").join(picked, "node", "left")
     centres = sized.groupBy("root").agg(F.count(F.lit(1)).alias("members"), F.min("n").alias("least"), F.max_by("node", F.struct(F.coalesce("votes", F.lit(0)), "node")).alias("centre"))
     centres = tables.put(centres, "centres")
-    centres = F.broadcast(centres) if centres.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else centres
+    centres = _small(centres)
     dealt = lambda most: F.expr(f"cast(pmod(xxhash64(node, {most}), (members + {most - 1}) div {most}) as int)")
     return roots.join(centres, "root").select(F.col("node").alias("entity"), "root", "centre", dealt(GROUP).alias("chunk"), dealt(PART).alias("part"), "least")
 
