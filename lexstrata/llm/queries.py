@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, language_id, max_score, mixing, ngram_join, packing, quality_classifier, quality_rules, secret_scan, toxicity
+from . import bpe, fill_middle, html_text, language_id, max_score, mixing, ngram_join, packing, quality_classifier, quality_rules, secret_scan, toxicity, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +64,24 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened vectors: the first eight components of every embedding."""
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's fill-in-middle form, and of the text restored from it."""
+    return fill_middle.forms(_table(spark, sf_dir, "documents")).drop("output")
+
+
+def op13_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    """Digests of every document's token ids, and of the text decoded from them. vocabulary: path of a tokenizer file."""
+    import public_tokenizers
+
+    encoded = bpe.encode(_table(spark, sf_dir, "documents"), vocabulary or public_tokenizers.path("byte_bpe_50k.json"), back=True)
+    return encoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def _any_case(word: str) -> str:
     return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)
 
@@ -148,6 +166,17 @@ r(doc_id, reach) as (select doc_id, doc_id from sets union select r.doc_id, l.y
 select sets.doc_id, cast(any_value(len(g)) as bigint) as n_shingles, min(reach) as component_id from sets join r on r.doc_id = sets.doc_id group by sets.doc_id"""
 
 
+_OP12_SQL = r"""
+with t as (select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as units, sha256('1:' || cast(doc_id as varchar)) as h from documents),
+d as (select *, cast(len(units) as bigint) as n, cast('0x' || h[1:8] as bigint) as h1, cast('0x' || h[9:16] as bigint) as h2, cast('0x' || h[17:24] as bigint) as h3, cast('0x' || h[25:32] as bigint) as h4 from t),
+f as (select *, least(h1 % (n + 1), h2 % (n + 1)) as lo, greatest(h1 % (n + 1), h2 % (n + 1)) as hi,
+    case when n = 0 or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 % 100 >= 90 then 'plain' when h4 % 100 < 20 then 'spm' else 'psm' end as form from d),
+p as (select *, array_to_string(units[1:lo], '') as prefix, array_to_string(units[lo + 1:hi], '') as middle, array_to_string(units[hi + 1:n], '') as suffix from f)
+select doc_id, n, form, case when form <> 'plain' then length(prefix) end as prefix_chars, case when form <> 'plain' then length(middle) end as middle_chars,
+    sha256(case form when 'plain' then text when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+    sha256(text) as restored_sha256 from p"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
@@ -160,8 +189,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_html_text": op8_html_text,
         "op9_quality_classifier": op9_quality_classifier,
         "op10_quality_rules": op10_quality_rules,
+        "op11_whitening": op11_whitening,
+        "op12_fill_middle": op12_fill_middle,
+        "op13_bpe": op13_bpe,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_max_score": _OP2_SQL, "op3_secret_scan": _op3_sql(), "op5_source_mix": _op5_sql(), "op6_ngram_join": _OP6_SQL}
+    return {"op2_max_score": _OP2_SQL, "op3_secret_scan": _op3_sql(), "op5_source_mix": _op5_sql(), "op6_ngram_join": _OP6_SQL, "op12_fill_middle": _OP12_SQL}
