@@ -6,6 +6,7 @@ is bounded by the slice (or by one document, where that is longer) and not by th
 
 from __future__ import annotations
 
+import pickle
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -13,6 +14,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,6 +89,16 @@ def freed(spark: SparkSession):
         spark.conf.set(FREE, was)
 
 
+def send(spark: SparkSession, model) -> Broadcast:
+    """A broadcast of an object of this library's classes. They travel with their code: executors that have no copy of the package can
+    read it by received(), which a broadcast of the object itself would not allow."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(model))
+
+
+def received(sent: Broadcast):
+    return pickle.loads(sent.value)
+
+
 def unused_prefix(df: DataFrame) -> str:
     """A prefix that no column of df begins with, for columns that come and go."""
     p = "_t_"

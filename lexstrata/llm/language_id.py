@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import as_bytes, fold
+from .common import as_bytes, fold, received, send
 
 WINDOW, HIDDEN = 64, 8
 #: The labelled sample: documents by language (in all at most SAMPLE), and windows of each.
@@ -206,10 +206,10 @@ def identify(documents: DataFrame) -> DataFrame:
     row is labelled). The score is the pooled probability of lang_pred. Only text and, in training, lang are read.
     """
     x, labels = labelled_windows(documents, fold("doc_id", 3) != 1)
-    net_var = documents.sparkSession.sparkContext.broadcast(fit(x, labels))
+    net_var = send(documents.sparkSession, fit(x, labels))
 
     def run(batches):
-        net = net_var.value
+        net = received(net_var)
         for batch in batches:
             texts = as_bytes(batch.column(1))
             lang, score = ["und"] * len(texts), [0.0] * len(texts)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, fold
+from .common import as_bytes, fold, received, send
 from .quality_classifier import labelled_sample
 
 #: Characters are told apart by 6 bits; a subsequence is three of them.
@@ -302,10 +302,10 @@ def learn(documents: DataFrame, labels: DataFrame, keep, sample: tuple[int, int]
 
 def score(documents: DataFrame, model: Model) -> DataFrame:
     """doc_id and score (probability that a text is toxic) of every document, over all units of its whole text."""
-    var = documents.sparkSession.sparkContext.broadcast(model)
+    var = send(documents.sparkSession, model)
 
     def run(batches):
-        m = var.value
+        m = received(var)
         for batch in batches:
             texts = [t.decode("utf-8", "replace") for t in as_bytes(batch.column(1))]
             worst, lo, size = [np.zeros((0, WORST))], 0, 0
