@@ -10,16 +10,19 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import as_bytes, fold, slices
+from .common import Tables, as_bytes, fold, slices
 from .word_grams import grams
 
 BITS = 18
 #: Labelled rows the model is fitted on, at most: those with the smallest hash of their id. It bounds what the driver holds.
 SAMPLE = 6000
-#: Bytes of a text that is learned from, at most; with SAMPLE it bounds what the driver holds, whatever the texts. Every text is scored whole.
-LONGEST = 1 << 18
+#: Bytes of a text that is learned from, at most, and of all texts of a sample: this bounds what the driver holds, whatever the texts. Every text is scored whole.
+LONGEST, SAMPLE_BYTES = 1 << 18, 48 << 20
+#: Labelled ids that are looked at for each one of the sample, so that others take the place of texts that are too long or not there.
+SPARE = 2
 EPOCHS = 4
 #: FTRL-proximal: learning rate, smoothing, L1 and L2.
 ALPHA, BETA, L1, L2 = 0.3, 1.0, 1e-3, 1e-6
@@ -58,12 +61,18 @@ def _vectors(s, bits: int):
 
 
 def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, keep, most: int) -> DataFrame:
-    """(doc_id, text, label): up to `most` labelled documents that keep (a condition on doc_id) allows, by hash of id. An id
-    has one row: of repeated ones, the smallest text, and the smallest label. Texts beyond LONGEST bytes are left out."""
+    """(doc_id, text, label): up to `most` labelled documents that keep (a condition on doc_id) allows, by hash of id, while their
+    texts have SAMPLE_BYTES at most. An id has one row: of repeated ones, the smallest text, and the smallest label. Texts
+    beyond LONGEST bytes are left out, and the next ids take their place (of SPARE times as many as are asked for)."""
     rows = labels.where(keep & F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.min(label).alias("label"))
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SPARE * most)
     short = documents.select("doc_id", F.col("text").cast("binary").alias("text")).where(f"text is null or octet_length(text) <= {LONGEST}")
-    return short.join(F.broadcast(rows), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("label").alias("label"))
+    found = short.join(F.broadcast(rows), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("label").alias("label"))
+    found = Tables(documents.sparkSession, "sample").put(found.withColumn("_hash", F.xxhash64("doc_id")), label)
+    upto = W.orderBy("_hash", "doc_id")  # over ids and lengths of SPARE * most rows
+    sizes = found.select("doc_id", F.row_number().over(upto).alias("_no"), F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")).over(upto).alias("_bytes"))
+    chosen = sizes.where((F.col("_no") <= most) & (F.col("_bytes") <= SAMPLE_BYTES)).select("doc_id")
+    return found.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")
 
 
 def train(documents: DataFrame, labels: DataFrame, keep=None, bits: int = BITS, sample: int = SAMPLE) -> np.ndarray:
