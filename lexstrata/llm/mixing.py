@@ -101,11 +101,11 @@ class Mix:
     taken: DataFrame
 
 
-def mix(documents: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS, seed: str = SEED, settled: bool = True) -> Mix:
+def mix(documents: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS, seed: str = SEED) -> Mix:
     """Plans the mix of all documents. Null texts are empty and are never taken; the null source is a source, ordered last.
 
     Rows that agree in doc_id, source and size are one unit and share what is taken of it evenly. Every source gives its
-    target, to the word; not settled, it gives a full block for each of its slots, which may be none.
+    target, to the word.
     """
     spark = documents.sparkSession
     tables = Tables(spark, "mix")
@@ -116,14 +116,12 @@ def mix(documents: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS, seed: str =
     block = max(1, min(BLOCK, total // SLOTS))
     shares = tables.put(targets(totals, weights, epochs), "targets")
     n_slots = -(-total // block)
-    slots = schedule(spark, shares, n_slots, n_sources)
-    if settled:
-        slots = tables.put(slots, "schedule")
-        without = shares.where("quota > 0").join(slots.select("ix").distinct(), "ix", "left_anti")
-        slots = slots.unionByName(without.select("ix", (F.col("ix") + (n_slots - 1)).cast("long").alias("slot"), F.lit(0).cast("long").alias("rank")))
+    slots = tables.put(schedule(spark, shares, n_slots, n_sources), "schedule")
+    without = shares.where("quota > 0").join(slots.select("ix").distinct(), "ix", "left_anti")
+    slots = slots.unionByName(without.select("ix", (F.col("ix") + (n_slots - 1)).cast("long").alias("slot"), F.lit(0).cast("long").alias("rank")))
     slots = tables.put(slots, "slots")
     counts = shares.join(slots.groupBy("ix").agg(F.count(F.lit(1)).alias("slots")), "ix", "left").select(F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("key"), "ix", "source_size", "target", F.coalesce("slots", F.lit(0)).cast("long").alias("slots"), "quota")
-    counts = counts.withColumn("upto", F.col("quota") if settled else F.col("slots") * block)
+    counts = counts.withColumn("upto", F.col("quota"))
     n_units = units.count()
     keyed = units.withColumn("key", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")))
     keyed = join_small(keyed, counts, ["key"], n_sources)

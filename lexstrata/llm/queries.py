@@ -35,8 +35,8 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the mix takes of every document: doc_id, size, source_size, target, taken. In full blocks, as its SQL says."""
-    return mixing.mixed_rows(_table(spark, sf_dir, "documents"), settled=False)
+    """What the mix takes of every document: doc_id, size, source_size, target, taken. Sources give their targets to the word."""
+    return mixing.mixed_rows(_table(spark, sf_dir, "documents"))
 
 
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,18 +131,13 @@ s5 as (select *, coalesce(rk >= first_free, false) as free, coalesce(min(case wh
 s6 as (select *, case when free then cast(w * rest as double) / cast(rest_w as double) else cast(3 * source_size as double) end as target,
     case when free then w * rest else 3 * source_size * rest_w end as num from s5),
 s7 as (select *, cast(sum(num) over (order by ix rows between unbounded preceding and current row) as hugeint) as cum from s6),
-s8 as (select source, ix, cast(source_size as bigint) as source_size, target,
-    case when total = 0 then 0 else ((cum - num) * 4294967296) // (total * rest_w) end as lo,
-    case when total = 0 then 0 else (cum * 4294967296) // (total * rest_w) end as hi from s7),
-n as (select cast(sum(source_size) as bigint) as total, greatest(1, least(1024, cast(sum(source_size) as bigint) // 65536)) as block from s8),
-pts as (select (i * 2654435769) % 4294967296 as x from (select unnest(range((total + block - 1) // block)) as i from n)),
-r as (select s8.ix, count(*) as slots from pts join s8 on x >= lo and x < hi group by s8.ix),
-p as (select u.*, s8.source_size, s8.target, coalesce(r.slots, 0) * (select block from n) as upto,
+s8 as (select source, ix, cast(source_size as bigint) as source_size, target, cum // rest_w - (cum - num) // rest_w as quota from s7),
+p as (select u.*, s8.source_size, s8.target, s8.quota,
     coalesce(sum(u.words) over (partition by s8.ix order by md5('mix:' || coalesce(cast(doc_id as varchar), '')), doc_id, size rows between unbounded preceding and 1 preceding), 0) as place
-    from u join s8 on u.source is not distinct from s8.source left join r on r.ix = s8.ix),
-q as (select *, greatest(0, least(upto, place + words) - place) + greatest(0, least(upto, place + source_size + words) - (place + source_size))
-    + greatest(0, least(upto, place + 2 * source_size + words) - (place + 2 * source_size)) as all_taken from p)
-select doc_id, size, source_size, target, cast(all_taken // copies as bigint) as taken from (select *, unnest(range(copies)) as c from q)"""
+    from u join s8 on u.source is not distinct from s8.source),
+q as (select *, greatest(0, least(quota, place + words) - place) + greatest(0, least(quota, place + source_size + words) - (place + source_size))
+    + greatest(0, least(quota, place + 2 * source_size + words) - (place + 2 * source_size)) as all_taken from p)
+select doc_id, size, source_size, target, cast(all_taken // copies + case when c < all_taken % copies then 1 else 0 end as bigint) as taken from (select *, unnest(range(copies)) as c from q)"""
 
 
 _OP2_SQL = """
