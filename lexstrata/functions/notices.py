@@ -144,9 +144,10 @@ def delays(sentence: str) -> tuple[list[tuple[int, int]], str | None]:
     notices, `delayed`, and then the date."""
     kinds = [(m.lastgroup if m.lastgroup in ("effective", "fr", "delayed", "date") else next(k for k in ("effective", "fr", "delayed", "date") if m[k]), m) for m in _DELAY.finditer(sentence)]
     order = [k for k, _ in kinds]
-    if "effective" not in order or "delayed" not in order:
+    if "effective" not in order or "delayed" not in order[order.index("effective") :]:
         return [], None
-    a, b = order.index("effective"), len(order) - 1 - order[::-1].index("delayed")
+    a = order.index("effective")
+    b = order.index("delayed", a)
     notices = [(int(m[3]), int(m[4])) for k, m in kinds[a:b] if k == "fr"]
     later = [m for k, m in kinds[b:] if k == "date"]
     return (notices, parse_dates(later[-1]["date"])[0].isoformat()) if notices and later else ([], None)

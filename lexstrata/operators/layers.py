@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from ..functions import citations as C
 from ..functions import terms as T
 from ..functions.arrow import flat_map
-from .joins import known_targets
+from .joins import known_targets, small
+from .notices import applies, notice_struct
 from .ranks import numbered
 from .text import all_spans
 from .tree import with_prefixes
@@ -43,7 +44,7 @@ def run_versions(name: str, nodes: DataFrame, **options) -> DataFrame:
     """A layer over many versions (column version): own-text layers over distinct nodes only."""
     f, own = LAYERS[name]
     if not own:
-        return f(nodes.withColumn("tree", F.concat_ws("@", F.col("tree").cast("string"), F.col("version").cast("string"))), **options)
+        return f(nodes.withColumn("_of", F.col("tree").cast("string")).withColumn("tree", F.concat_ws("@", F.col("tree").cast("string"), F.col("version").cast("string"))), **options)
     h = F.sha2(F.concat_ws("\x1f", "label_id", "node_type", F.coalesce("title", F.lit("")), "text", F.coalesce("tagged_text", F.lit(""))), 256)
     hashed = nodes.withColumn("node_hash", h)
     once = hashed.dropDuplicates(["node_hash"]).drop("tree").withColumn("tree", F.col("node_hash"))
@@ -172,18 +173,33 @@ def interpretations(nodes: DataFrame) -> DataFrame:
 
 
 @layer("meta")
-def meta(nodes: DataFrame, effective_on: str | None = None, title: str | None = None, extra: dict | None = None) -> DataFrame:
-    """Of each root: its number, name and letter, the effective date, and configured fields."""
+def meta(nodes: DataFrame, effective_on: str | None = None, title: str | None = None, extra: dict | None = None, versions: DataFrame | None = None) -> DataFrame:
+    """Of each root: its number, name and letter, the effective date, and configured fields.
+
+    versions (see notices.version_table): the effective date is that of the root's own version, null where that has none."""
     root = nodes.where("size(label) = 1")
+    effective = F.lit(effective_on)
+    if versions is not None:
+        root = root.join(small(versions.select(F.col("tree").cast("string").alias("_of"), "version", F.col("effective_on").cast("string").alias("_effective"))), ["_of", "version"], "left")
+        effective = F.col("_effective")
     name = F.trim(F.regexp_replace(F.regexp_extract("title", r"^[^—-]*[—-]?\s*(.*?)(?:\s*\(|$)", 1), r"\s+", " "))
     fields = [F.lit(v).alias(k) for k, v in (extra or {}).items()]
-    return root.select("tree", "label_id", F.lit(title).alias("cfr_title_number"), name.alias("statutory_name"), F.regexp_extract("title", r"\(REGULATION (\w+)\)", 1).alias("reg_letter"), F.lit(effective_on).alias("effective_date"), *fields)
+    return root.select("tree", "label_id", F.lit(title).alias("cfr_title_number"), name.alias("statutory_name"), F.regexp_extract("title", r"\(REGULATION (\w+)\)", 1).alias("reg_letter"), effective.alias("effective_date"), *fields)
 
 
 @layer("analyses")
-def analyses(nodes: DataFrame, sxs: DataFrame) -> DataFrame:
-    """References to analyses of a label: sxs (doc_number, publication_date, fr_volume, fr_page, labels, body). By date, then number."""
-    refs = sxs.where("body <> ''").withColumn("label_id", F.explode("labels")).join(nodes.select("tree", "label_id"), "label_id")
+def analyses(nodes: DataFrame, sxs: DataFrame, versions: DataFrame | None = None) -> DataFrame:
+    """References to analyses of a label: sxs (doc_number, publication_date, fr_volume, fr_page, labels, body). By date, then number.
+
+    versions (see notices.version_table; sxs then has effective_on too): a version's nodes have the analyses of the notices that
+    apply to it, none of later ones. Rows meet by label and are then compared in time, so versions and notices are not paired."""
+    refs = sxs.where("body <> ''").withColumn("label_id", F.explode("labels"))
+    if versions is None:
+        refs = refs.join(nodes.select("tree", "label_id"), "label_id")
+    else:
+        dated = versions.select(F.col("tree").cast("string").alias("_of"), "version", notice_struct("version").alias("_v"))
+        at = nodes.select("tree", "_of", "version", "label_id").join(small(dated), ["_of", "version"])
+        refs = refs.withColumn("_n", notice_struct("doc_number")).join(at, "label_id").where(applies("_n", "_v"))
     w = W.partitionBy("tree", "label_id").orderBy("publication_date", "doc_number")
     return refs.select("tree", "label_id", F.row_number().over(w).alias("ref_no"), F.col("doc_number").alias("reference"), "publication_date", "fr_volume", "fr_page")
 

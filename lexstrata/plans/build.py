@@ -9,7 +9,7 @@ from __future__ import annotations
 import itertools
 import xml.etree.ElementTree as ET
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import notices as N
@@ -17,6 +17,7 @@ from ..functions.arrow import flat_map
 from ..functions.model import Node, from_rows, to_rows
 from ..functions.replay import Change, replay
 from ..operators import layers as L
+from .settings import DEFAULTS
 
 CHANGE_SCHEMA = "seq int, action string, label_id string, field string, destination array<string>, subpart array<string>, node array<struct<path:array<int>,label:array<string>,label_id:string,node_type:string,title:string,text:string,tagged_text:string>>"
 
@@ -36,14 +37,46 @@ def _node(rows) -> Node | None:
     return from_rows([tuple(r.values()) if isinstance(r, dict) else tuple(r) for r in rows]) if rows is not None and len(rows) else None
 
 
+def notice_analyses(files: DataFrame) -> DataFrame:
+    """Section-by-section analyses of notice files (document_number, part, start_page, text): document_number, ord, fr_page,
+    title, labels, body (its paragraphs; empty where only what is below it says something)."""
+
+    def find(part, page, text):
+        held = next((found for e in ET.fromstring(text).iter() for found in [N.analysis_elements(e)] if found), [])
+        stack = list(reversed(N.analyses(held, str(part), page or 0)))
+        for i in itertools.count():
+            if not stack:
+                return
+            a = stack.pop()
+            stack += reversed(a["children"])
+            own = [*a["paragraphs"], *(p for c in a["children"] if not c["labels"] for p in [c["title"], *c["paragraphs"]])]
+            yield i, a["page"], a["title"], a["labels"], "\n".join(own)
+
+    return flat_map(files, ["document_number"], ["part", "start_page", "text"], find, "ord int, fr_page int, title string, labels array<string>, body string")
+
+
+def patch_rows(spark: SparkSession, patches: dict[str, list[dict]], changes: DataFrame) -> DataFrame:
+    """Patches by hand (of a document's number, changes as tables) as rows of the change log; dates are those of the document."""
+    columns = "document_number string, seq int, action string, label_id string, field string, destination array<string>, subpart array<string>, title string, text string, node_type string"
+    rows = [(number, 1_000_000 + i, p["action"], p["label_id"], p.get("field"), p.get("destination") or [], p.get("subpart") or [], p.get("title"), p.get("text"), p.get("node_type", "regtext")) for number, ps in patches.items() for i, p in enumerate(ps)]
+    made = spark.createDataFrame(rows, columns)
+    label = F.split("label_id", "-")
+    node = F.array(F.struct(F.array(F.lit(0)).alias("path"), label.alias("label"), "label_id", "node_type", "title", "text", F.lit("").alias("tagged_text")))
+    made = made.withColumn("node", F.when(F.col("text").isNotNull(), node).cast(changes.schema["node"].dataType)).drop("title", "text", "node_type")
+    own = changes.select("document_number", "tree", "effective_on", "publication_date").distinct()
+    return made.join(own, "document_number")
+
+
 def versions(nodes: DataFrame, changes: DataFrame) -> DataFrame:
-    """All versions of every tree: the first, and one for each effective date, in order.
+    """All versions of every tree: the first, and one for each notice that changes it, in order of time.
 
-    nodes: (tree, path, label, label_id, node_type, title, text, tagged_text). changes: (tree, effective_on,
-    publication_date, document_number) and the columns of notice_changes. Result: nodes with version ('' is the first).
+    nodes: (tree, path, label, label_id, node_type, title, text, tagged_text). changes: (tree, effective_on, publication_date,
+    document_number) and the columns of notice_changes. Result: nodes with version (the notice's number; '' is the first) and
+    version_no, its place (see notices.version_table). Notices of one day are versions of their own.
     """
     columns = ["path", "label", "label_id", "node_type", "title", "text", "tagged_text"]
     kind = nodes.schema["tree"].dataType.simpleString()
+    order = ["effective_on", "publication_date", "document_number"]
 
     def fold(left, right):
         import pandas as pd
@@ -52,26 +85,44 @@ def versions(nodes: DataFrame, changes: DataFrame) -> DataFrame:
         if len(left):
             key = left["tree"].iloc[0]
             root = from_rows([(list(r[0]), list(r[1]), *r[2:]) for r in left[columns].itertuples(index=False, name=None)])
-            out += [(key, "", *r) for r in to_rows(root)]
-            ordered = right.sort_values(["effective_on", "publication_date", "document_number", "seq"]) if len(right) else right
-            for date, group in ordered.groupby("effective_on", sort=True) if len(right) else ():
+            out += [(key, "", 0, *r) for r in to_rows(root)]
+            ordered = right[right["effective_on"].notna()].sort_values([*order, "seq"]) if len(right) else right
+            for no, (at, group) in enumerate(ordered.groupby(order, sort=True) if len(ordered) else (), 1):
                 log = [Change(r.action, r.label_id, _node(r.node), r.field, tuple(r.destination) if r.destination is not None else (), tuple(r.subpart) if r.subpart is not None else ()) for r in group.itertuples()]
                 root = replay(root, log)
-                out += [(key, str(date), *r) for r in to_rows(root)]
-        return pd.DataFrame(out, columns=["tree", "version", *columns])
+                out += [(key, str(at[2]), no, *r) for r in to_rows(root)]
+        return pd.DataFrame(out, columns=["tree", "version", "version_no", *columns])
 
-    schema = f"tree {kind}, version string, path array<int>, label array<string>, label_id string, node_type string, title string, text string, tagged_text string"
+    schema = f"tree {kind}, version string, version_no int, path array<int>, label array<string>, label_id string, node_type string, title string, text string, tagged_text string"
     return nodes.select("tree", *columns).groupBy("tree").cogroup(changes.groupBy("tree")).applyInPandas(fold, schema)
 
 
-def all_layers(nodes: DataFrame, names: list[str] | None = None, settings: dict | None = None, sxs: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Layers of all versions, by name. meta takes its fields from the settings; analyses are there if sxs (the notices'
-    section-by-section rows, see layers.analyses) is given."""
-    settings = settings or {}
-    out = {"meta": L.run_versions("meta", nodes, title=settings.get("title"), extra=settings.get("meta"))}
-    if sxs is not None:
-        out["analyses"] = L.run_versions("analyses", nodes, sxs=sxs)
-    return out | {n: L.run_versions(n, nodes) for n in (names or ["external-citations", "internal-citations", "toc", "paragraph-markers", "keyterms", "formatting", "graphics", "interpretations", "terms"])}
+#: Layers of a build, besides meta and analyses.
+NAMES = ("external-citations", "internal-citations", "toc", "paragraph-markers", "keyterms", "formatting", "graphics", "interpretations", "terms")
+
+
+def layer_options(spark: SparkSession, settings: dict, sxs: DataFrame | None = None, versions: DataFrame | None = None) -> dict[str, dict]:
+    """What the settings mean to each layer. title, meta: of regulations; act: (title, section) of the law they rest on; include_terms and
+    ignore_terms by part (or ALL); image_overrides by picture, graphics_template for all others."""
+    title = settings.get("title")
+    overrides = settings.get("image_overrides")
+    return {
+        "meta": {"title": title, "extra": settings.get("meta"), "versions": versions},
+        "analyses": {"sxs": sxs, "versions": versions},
+        "external-citations": {"title": title, "act": settings.get("act")},
+        "internal-citations": {"title": title},
+        "graphics": {"template": settings["graphics_template"] if settings.get("graphics_template") else DEFAULTS["graphics_template"], "overrides": spark.createDataFrame(sorted(overrides.items()), "gid string, url string") if overrides else None},
+        "terms": {"include": {k: [tuple(x) for x in v] for k, v in (settings.get("include_terms") or {}).items()}, "ignore": settings.get("ignore_terms")},
+    }
+
+
+def all_layers(nodes: DataFrame, names: list[str] | None = None, settings: dict | None = None, sxs: DataFrame | None = None, versions: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Layers of all versions, by name, with the settings that concern them. analyses are there if sxs (the notices' section-by-section
+    rows, see layers.analyses) is given. versions (see notices.version_table) says when each version takes effect: meta shows it,
+    and a version has the analyses of notices up to it."""
+    options = layer_options(nodes.sparkSession, settings or {}, sxs, versions)
+    wanted = ["meta", *(["analyses"] if sxs is not None else []), *(names or NAMES)]
+    return {n: L.run_versions(n, nodes, **options.get(n, {})) for n in wanted}
 
 
 def version_pairs_diff(nodes: DataFrame) -> DataFrame:
@@ -90,4 +141,4 @@ def version_pairs_diff(nodes: DataFrame) -> DataFrame:
 
 def history_of(nodes: DataFrame, label_id: str) -> DataFrame:
     """One node through all versions."""
-    return nodes.where(F.col("label_id") == label_id).select("tree", "version", "label_id", "title", "text")
+    return nodes.where(F.col("label_id") == label_id).select("tree", "version", "version_no", "label_id", "title", "text")

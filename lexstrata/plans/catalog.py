@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import kernels
 from ..operators import joins as J
 from ..operators import layers as L
+from ..operators import notices as O
 from ..operators import text as X
 from ..operators import tree as T
 from ..operators import versions as V
@@ -226,6 +227,88 @@ def modify_effective_dates(spark, sf_dir):
     return V.latest_change(met, ["o_orderkey"], "changed_to", ["l_orderkey", "l_linenumber", "day"])
 
 
+def _gazette(spark, sf_dir) -> DataFrame:
+    """Notices made of orders: each has pages of a volume and dates; every seventh speaks of the dates of two others."""
+    o = table(spark, sf_dir, "orders")
+    say = F.expr("""case when o_orderkey % 7 = 0 then concat('Comments are due on May 1, 1999. The effective date of ', year(o_orderdate) - 1930, ' FR ', o_orderkey * 53 % 20000, ' and of ', year(o_orderdate) - 1930, ' FR ', o_orderkey * 91 % 20000,
+        ' has been delayed until January ', o_orderkey % 28 + 1, ', ', 2000 + o_orderkey % 9, '.') when o_orderkey % 7 = 1 then 'The effective date of 12 FR 501 stays.' end""")
+    return o.select(F.col("o_orderkey").cast("string").alias("document_number"), F.col("o_custkey"), F.when(F.col("o_orderkey") % 5 == 0, "Proposed Rule").otherwise("Rule").alias("type"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("publication_date"), F.date_format(F.date_add(F.col("o_orderdate").cast("date"), 30), "yyyy-MM-dd").alias("effective_on"),
+        say.alias("dates"), (F.year("o_orderdate") - 1930).alias("volume"), (F.col("o_orderkey") * 37 % 20000).cast("int").alias("start_page"), (F.col("o_orderkey") * 37 % 20000 + F.col("o_custkey") % 40).cast("int").alias("end_page"))
+
+
+_GAZETTE = """g as (select cast(o_orderkey as varchar) as document_number, o_orderkey, case when o_orderkey % 5 = 0 then 'Proposed Rule' else 'Rule' end as type, strftime(o_orderdate, '%Y-%m-%d') as publication_date, strftime(cast(o_orderdate as date) + 30, '%Y-%m-%d') as effective_on,
+    year(o_orderdate) - 1930 as volume, o_orderkey * 37 % 20000 as start_page, o_orderkey * 37 % 20000 + o_custkey % 40 as end_page from orders)"""
+
+
+@query(f"""with {_GAZETTE}, c as (select document_number, publication_date, volume, unnest([0, 1]) as citation, unnest([o_orderkey * 53 % 20000, o_orderkey * 91 % 20000]) as page, (2000 + o_orderkey % 9) || '-01-' || lpad(cast(o_orderkey % 28 + 1 as varchar), 2, '0') as changed_to from g where type = 'Rule' and o_orderkey % 7 = 0)
+select g.document_number, coalesce(arg_max(c.changed_to, (c.publication_date, c.document_number, c.citation)), any_value(g.effective_on)) as effective_on from g left join c on c.volume = g.volume and c.page between g.start_page and g.end_page group by g.document_number""")
+def notice_delays(spark, sf_dir):
+    """Effective dates of notices after what later rules say of them, read from their sentences."""
+    return O.delayed(_gazette(spark, sf_dir)).select("document_number", "effective_on")
+
+
+@query("""with r as (select cast(o_orderkey as varchar) as number, strftime(o_orderdate, '%Y-%m-%d') as published, cast(o_orderdate as date) + cast(o_custkey % 90 as integer) as effective from orders where o_orderstatus = 'F')
+select c_custkey as tree, case when c_custkey % 4 = 0 then '2011-' || c_custkey else coalesce((select arg_min(number, (published, number)) from r where effective <= date '1991-12-01' + cast(c_custkey % 2500 as integer)), '') end as document_number from customer""")
+def document_numbers(spark, sf_dir):
+    """Numbers of documents: their own, or of the oldest final rule effective by then."""
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("tree"), F.when(F.col("c_custkey") % 4 == 0, F.concat(F.lit("[FR Doc. 2011-"), "c_custkey", F.lit(" Filed")))
+        .otherwise("Editorial note").alias("frdoc"), F.expr("date_add(date'1991-12-01', cast(c_custkey % 2500 as int))").alias("original_date"))
+    rules = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("document_number"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("publication_date"), F.expr("date_add(cast(o_orderdate as date), cast(o_custkey % 90 as int))").alias("effective_on"), F.when(F.col("o_orderstatus") == "F", "Rule").otherwise("Notice").alias("type"))
+    return readers.document_number(c, rules).select("tree", F.coalesce("document_number", F.lit("")).alias("document_number"))
+
+
+def _nation_notices(spark, sf_dir) -> DataFrame:
+    """Orders as notices about the nation of the customer, published up to 30 days before they take effect."""
+    o = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey")
+    return o.select(F.col("c_nationkey").cast("string").alias("tree"), F.col("o_orderkey").cast("string").alias("document_number"), "o_orderkey", "o_custkey", "o_orderpriority", F.date_format("o_orderdate", "yyyy-MM-dd").alias("effective_on"), F.expr("date_format(date_sub(cast(o_orderdate as date), cast(o_custkey % 30 as int)), 'yyyy-MM-dd')").alias("publication_date"))
+
+
+_NATION_NOTICES = "q as (select cast(c_nationkey as varchar) as tree, cast(o_orderkey as varchar) as number, o_orderkey, o_custkey, strftime(o_orderdate, '%Y-%m-%d') as eff, strftime(cast(o_orderdate as date) - cast(o_custkey % 30 as integer), '%Y-%m-%d') as pub from orders join customer on c_custkey = o_custkey)"
+
+
+@query(f"""with {_NATION_NOTICES}, v as (select *, row_number() over (partition by tree order by eff, pub, number) as version_no from q where o_orderkey % 40 = 0)
+select v.tree, v.number as version, cast(v.version_no as integer) as version_no, count(q.number) as n_applicable from v join q on q.tree = v.tree and (q.number = v.number or q.eff < v.eff or (q.eff = v.eff and q.pub < v.pub)) group by all
+union all select distinct tree, '', cast(0 as integer), cast(0 as bigint) from v""")
+def version_notices(spark, sf_dir):
+    """The versions that some notices make, in order, and how many of all notices apply to each."""
+    n = _nation_notices(spark, sf_dir)
+    versions = O.version_table(n.where("o_orderkey % 40 = 0"))
+    return versions.join(O.applicable_counts(versions, n), ["tree", "version"]).select("tree", "version", "version_no", "n_applicable")
+
+
+#: Three versions of every nation's tree, by the last day they know; the first lacks every fifth customer.
+_THREE = [("a", "1993-06-01"), ("b", "1995-06-01"), ("c", "1997-06-01")]
+
+
+def _three_versions(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    n = segment_nodes(spark, sf_dir)
+    three = F.explode(F.array(*[F.lit(v) for v, _ in _THREE])).alias("version")
+    late = (F.size("label") > 1) & (F.element_at("label", 2) != "1") & (F.element_at("label", 2).cast("long") % 5 == 0)
+    every = n.select("*", three).where(~(late & (F.col("version") == "a")))
+    dates = F.explode(F.array(*[F.struct(F.lit(v).alias("version"), F.lit(d).alias("effective_on"), F.lit(d).alias("publication_date"), F.lit(i).alias("version_no")) for i, (v, d) in enumerate(_THREE, 1)])).alias("v")
+    table_ = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("string").alias("tree"), dates).select("tree", "v.*")
+    return every, table_
+
+
+@query(f"""with {_NATION_NOTICES}, v as (select unnest(['a', 'b', 'c']) as version, unnest(['1993-06-01', '1995-06-01', '1997-06-01']) as day)
+select version, tree || '-' || (o_custkey + 1000) as label_id, cast(row_number() over (partition by version, tree, o_custkey order by pub, number) as integer) as ref_no, number as reference
+from q join v on (eff < day or (eff = day and pub < day)) and not (version = 'a' and (o_custkey + 1000) % 5 = 0)""")
+def version_analyses(spark, sf_dir):
+    """References to analyses in three versions: each has those of the notices up to it."""
+    every, versions = _three_versions(spark, sf_dir)
+    n = _nation_notices(spark, sf_dir)
+    sxs = n.select(F.col("document_number").alias("doc_number"), "effective_on", "publication_date", F.lit(1).alias("fr_volume"), F.lit(1).alias("fr_page"), F.array(F.concat_ws("-", "tree", F.col("o_custkey") + 1000)).alias("labels"), F.col("o_orderpriority").alias("body"))
+    return L.run_versions("analyses", every, sxs=sxs, versions=versions).select(F.substring_index("tree", "@", -1).alias("version"), "label_id", "ref_no", "reference")
+
+
+@query("""with v as (select unnest(['a', 'b', 'c']) as version, unnest(['1993-06-01', '1995-06-01', '1997-06-01']) as day)
+select version, cast(n_nationkey as varchar) as label_id, n_name as statutory_name, day as effective_date from nation, v""")
+def version_meta(spark, sf_dir):
+    """Names and effective dates of three versions."""
+    every, versions = _three_versions(spark, sf_dir)
+    return L.run_versions("meta", every, title="12", versions=versions).select(F.substring_index("tree", "@", -1).alias("version"), "label_id", "statutory_name", "effective_date")
+
+
 @query("select user_id, event_id, coalesce(last_value(case when event_type = 'signup' then cast(round(value * 100) as bigint) end ignore nulls) over (partition by user_id order by ts, event_id rows between unbounded preceding and current row), -1) as page from events")
 def asof_page(spark, sf_dir):
     e = table(spark, sf_dir, "events")

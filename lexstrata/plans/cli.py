@@ -14,27 +14,38 @@ import argparse
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.versions import group_by_effective_date
+from ..operators import notices as O
+from ..operators.versions import group_by_effective_date, merge_changes
 from ..sources import readers, sinks
 from . import build
 from .checkpoint import NoStages, Stages
+from .settings import layered
+
+
+#: A notice's line: the tree it changes, its dates, and (for delays and analyses) its type, volume, pages and text on dates.
+DATES = "document_number string, tree string, effective_on string, publication_date string, type string, volume int, start_page int, end_page int, dates string"
 
 
 def build_command(spark: SparkSession, a: argparse.Namespace) -> None:
-    files = readers.whole_files(spark, a.regulation)
+    settings = layered(*(a.settings or ()))
+    files = readers.with_macros(readers.whole_files(spark, a.regulation), settings["macros"])
     digest = files.agg(F.sha2(F.array_join(F.array_sort(F.collect_list("digest")), ""), 256)).first()[0]
     stages = Stages(spark, digest) if a.checkpoint else NoStages()
     nodes = stages.stage("trees", lambda: readers.regulation_trees(files).withColumn("tree", F.element_at("label", 1)))
-    dates = spark.read.csv(a.dates, header=True, schema="document_number string, tree string, effective_on string, publication_date string")
-    notices = readers.whole_files(spark, a.notices).withColumn("document_number", F.regexp_extract("path", r"([^/]+)\.\w+$", 1))
-    log = stages.stage("changes", lambda: build.notice_changes(notices).join(dates, "document_number"))
+    listed = spark.read.csv(a.dates, header=True, schema=DATES)
+    dates = O.delayed(listed.withColumn("type", F.coalesce("type", F.lit("Rule")))).where("effective_on is not null")
+    notices = readers.with_macros(readers.whole_files(spark, a.notices), settings["macros"]).withColumn("document_number", F.regexp_extract("path", r"([^/]+)\.\w+$", 1))
+    own = dates.select("document_number", "tree", "effective_on", "publication_date")
+    log = stages.stage("changes", lambda: build.notice_changes(notices).join(own, "document_number"))
+    if settings["patches"]:
+        log = merge_changes(log, build.patch_rows(spark, settings["patches"], log))
     versions = stages.stage("versions", lambda: build.versions(nodes, log))
     sink = sinks.Sink(a.out, a.format)
     sink.regulation(versions.withColumn("reg", F.col("tree")))
-    from .settings import layered
-
-    settings = layered(*(a.settings or ()))
-    for name, rows in build.all_layers(versions, settings=settings).items():
+    said = build.notice_analyses(notices.join(dates.select("document_number", F.col("tree").alias("part"), "start_page"), "document_number"))
+    sxs = said.join(dates, "document_number").select(F.col("document_number").alias("doc_number"), "effective_on", "publication_date", F.col("volume").alias("fr_volume"), "fr_page", "labels", "body")
+    table = O.version_table(log).join(versions.select("tree", "version").distinct(), ["tree", "version"], "right")
+    for name, rows in build.all_layers(versions, settings=settings, sxs=sxs, versions=table).items():
         sink.layer(name, rows if "version" in rows.columns else rows.withColumns({"version": F.substring_index("tree", "@", -1), "tree": F.substring_index("tree", "@", 1)}))
     sink.diffs(build.version_pairs_diff(versions))
 
@@ -62,7 +73,7 @@ def layers_command(spark: SparkSession, a: argparse.Namespace) -> None:
 
 def watch_command(spark: SparkSession, a: argparse.Namespace) -> None:
     nodes = sinks.Sink(a.out, a.format).read(spark, "regulation")
-    build.history_of(nodes.withColumn("tree", F.col("reg").cast("string")), a.label).orderBy("tree", "version").show(1000, False)
+    build.history_of(nodes.withColumn("tree", F.col("reg").cast("string")), a.label).orderBy("tree", "version_no").show(1000, False)
 
 
 def main(argv: list[str] | None = None) -> None:

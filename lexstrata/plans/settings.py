@@ -8,6 +8,7 @@ from pathlib import Path
 #: What a build reads where nothing else says so.
 DEFAULTS: dict[str, object] = {
     "title": None,
+    "act": None,
     "graphics_template": "https://images.invalid/%s.gif",
     "meta": {},
     "macros": [],

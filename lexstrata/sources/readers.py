@@ -4,6 +4,7 @@ through Spark, so any store that Spark reaches will do."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import regxml
@@ -63,12 +64,24 @@ def first_notice_and_text(notices_: DataFrame, files: DataFrame) -> DataFrame:
 
 
 def document_number(frdoc: DataFrame, rules: DataFrame) -> DataFrame:
-    """The number that a document names itself ([FR Doc. X), else that of the oldest final rule effective on or before its date.
-    frdoc: (tree, frdoc, original_date); rules: notices."""
+    """The number that a document names itself ([FR Doc. X), else that of the oldest final rule effective on or before its date (null
+    if there is none). frdoc: (tree, frdoc, original_date), a row for each of them; rules: notices."""
     own = F.nullif(F.regexp_extract("frdoc", r"\[?FR Doc\.? ([\w-]+)", 1), F.lit(""))
-    rule = rules.where("type = 'Rule'").select("document_number", "publication_date", "effective_on")
-    found = frdoc.join(rule, F.col("effective_on") <= F.col("original_date"), "left").groupBy("tree", "frdoc").agg(F.min_by("document_number", F.struct("publication_date", "document_number")).alias("_oldest"))
-    return found.select("tree", F.coalesce(own, "_oldest").alias("document_number"))
+    day = lambda c: F.col(c).cast("date").alias("_day")
+    oldest = F.min(F.struct(F.col("publication_date").alias("p"), F.col("document_number").alias("n")))
+    # One row a calendar day: the running minimum over days is small whatever the number of rules and documents.
+    rule = rules.where("type = 'Rule' and effective_on is not null").groupBy(day("effective_on")).agg(oldest.alias("_oldest"))
+    asked = frdoc.select(day("original_date")).where("_day is not null").distinct()
+    days = rule.withColumn("_asked", F.lit(False)).unionByName(asked.select("_day", F.lit(None).cast(rule.schema["_oldest"].dataType).alias("_oldest"), F.lit(True).alias("_asked")))
+    upto = days.withColumn("_oldest", F.min("_oldest").over(W.orderBy("_day"))).where("_asked").select("_day", F.col("_oldest.n").alias("_number"))
+    return frdoc.withColumn("_day", F.col("original_date").cast("date")).join(F.broadcast(upto), "_day", "left").select("tree", F.coalesce(own, "_number").alias("document_number"))
+
+
+def with_macros(files: DataFrame, macros: list) -> DataFrame:
+    """files (text) with replacements (old, new) made in every text, in order."""
+    for old, new in macros:
+        files = files.withColumn("text", F.replace("text", F.lit(old), F.lit(new)))
+    return files
 
 
 def volumes(spark: SparkSession, path: str) -> DataFrame:

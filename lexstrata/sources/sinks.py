@@ -62,7 +62,8 @@ def version_files(nodes: DataFrame) -> DataFrame:
     folder = F.array_join(F.col("label"), "/")
     front = F.concat(F.lit("---\nlabel: "), "label_id", F.lit("\ntype: "), "node_type", F.lit("\n---\n"))
     content = F.concat(front, F.coalesce(F.concat(F.lit("# "), "title", F.lit("\n\n")), F.lit("")), F.trim("text"), F.lit("\n"))
-    return nodes.select("reg", "version", F.concat(F.lit("regulation/"), folder, F.lit("/index.md")).alias("path"), content.alias("content"))
+    number = ["version_no"] if "version_no" in nodes.columns else []
+    return nodes.select("reg", "version", *number, F.concat(F.lit("regulation/"), folder, F.lit("/index.md")).alias("path"), content.alias("content"))
 
 
 def commit_versions(files: DataFrame, repository: str, messages: dict[str, str] | None = None) -> int:
@@ -76,7 +77,7 @@ def commit_versions(files: DataFrame, repository: str, messages: dict[str, str]
     feed = subprocess.Popen(["git", "-C", repository, "fast-import", "--quiet", "--force"], stdin=subprocess.PIPE)
     data = lambda b: feed.stdin.write(b"data %d\n%s\n" % (len(b), b))
     seen: list[str] = []
-    for r in files.orderBy("version", "path").toLocalIterator():
+    for r in files.orderBy("version_no" if "version_no" in files.columns else "version", "path").toLocalIterator():
         if not seen or seen[-1] != r["version"]:
             seen.append(r["version"])
             feed.stdin.write(f"commit refs/heads/main\ncommitter writer <writer@localhost> {len(seen)} +0000\n".encode())
