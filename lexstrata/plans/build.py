@@ -1,7 +1,7 @@
 """The whole build: trees, notices, versions, layers and differences, each stage a table.
 
-Versions of one document follow from one another, so a document is replayed by one task; documents are many. Layers and
-differences are computed for all versions at once, over distinct nodes.
+Parts of a document that changes do not tie together are replayed apart, as intervals (see history.py); versions are read from
+these. Layers and differences are computed for all versions at once, over distinct nodes.
 """
 
 from __future__ import annotations
@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 
 from ..functions import notices as N
 from ..functions.arrow import flat_map
-from ..functions.model import Node, from_rows, to_rows
-from ..functions.replay import Change, replay
+from ..functions.model import to_rows
 from ..operators import layers as L
+from . import history as H
 from .settings import DEFAULTS
 
 CHANGE_SCHEMA = "seq int, action string, label_id string, field string, destination array<string>, subpart array<string>, node array<struct<path:array<int>,label:array<string>,label_id:string,node_type:string,title:string,text:string,tagged_text:string>>"
@@ -33,10 +33,6 @@ def notice_changes(files: DataFrame) -> DataFrame:
     return flat_map(files, ["document_number"], ["text"], find, CHANGE_SCHEMA)
 
 
-def _node(rows) -> Node | None:
-    return from_rows([tuple(r.values()) if isinstance(r, dict) else tuple(r) for r in rows]) if rows is not None and len(rows) else None
-
-
 def notice_analyses(files: DataFrame) -> DataFrame:
     """Section-by-section analyses of notice files (document_number, part, start_page, text): document_number, ord, fr_page,
     title, labels, body (its paragraphs; empty where only what is below it says something)."""
@@ -72,29 +68,10 @@ def versions(nodes: DataFrame, changes: DataFrame) -> DataFrame:
 
     nodes: (tree, path, label, label_id, node_type, title, text, tagged_text). changes: (tree, effective_on, publication_date,
     document_number) and the columns of notice_changes. Result: nodes with version (the notice's number; '' is the first) and
-    version_no, its place (see notices.version_table). Notices of one day are versions of their own.
+    version_no, its place (see notices.version_table). Notices of one day are versions of their own. Parts of a tree that do not
+    depend on one another are replayed by different tasks (see history.states).
     """
-    columns = ["path", "label", "label_id", "node_type", "title", "text", "tagged_text"]
-    kind = nodes.schema["tree"].dataType.simpleString()
-    order = ["effective_on", "publication_date", "document_number"]
-
-    def fold(left, right):
-        import pandas as pd
-
-        out = []
-        if len(left):
-            key = left["tree"].iloc[0]
-            root = from_rows([(list(r[0]), list(r[1]), *r[2:]) for r in left[columns].itertuples(index=False, name=None)])
-            out += [(key, "", 0, *r) for r in to_rows(root)]
-            ordered = right[right["effective_on"].notna()].sort_values([*order, "seq"]) if len(right) else right
-            for no, (at, group) in enumerate(ordered.groupby(order, sort=True) if len(ordered) else (), 1):
-                log = [Change(r.action, r.label_id, _node(r.node), r.field, tuple(r.destination) if r.destination is not None else (), tuple(r.subpart) if r.subpart is not None else ()) for r in group.itertuples()]
-                root = replay(root, log)
-                out += [(key, str(at[2]), no, *r) for r in to_rows(root)]
-        return pd.DataFrame(out, columns=["tree", "version", "version_no", *columns])
-
-    schema = f"tree {kind}, version string, version_no int, path array<int>, label array<string>, label_id string, node_type string, title string, text string, tagged_text string"
-    return nodes.select("tree", *columns).groupBy("tree").cogroup(changes.groupBy("tree")).applyInPandas(fold, schema)
+    return H.versions_of(H.states(nodes, changes), H.all_numbers(nodes, changes))
 
 
 #: Layers of a build, besides meta and analyses.

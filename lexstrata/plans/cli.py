@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..operators import notices as O
 from ..operators.versions import group_by_effective_date, merge_changes
 from ..sources import readers, sinks
-from . import build
+from . import build, history
 from .checkpoint import NoStages, Stages
 from .settings import layered
 
@@ -39,13 +39,16 @@ def build_command(spark: SparkSession, a: argparse.Namespace) -> None:
     log = stages.stage("changes", lambda: build.notice_changes(notices).join(own, "document_number"))
     if settings["patches"]:
         log = merge_changes(log, build.patch_rows(spark, settings["patches"], log))
-    versions = stages.stage("versions", lambda: build.versions(nodes, log))
+    states = stages.stage("states", lambda: history.states(nodes, log))
+    numbers = history.all_numbers(nodes, log)
+    versions = stages.stage("versions", lambda: history.versions_of(states, numbers))
     sink = sinks.Sink(a.out, a.format)
+    if a.by_content:
+        sink.history(*history.bodies_and_places(states), numbers)
     sink.regulation(versions.withColumn("reg", F.col("tree")))
     said = build.notice_analyses(notices.join(dates.select("document_number", F.col("tree").alias("part"), "start_page"), "document_number"))
     sxs = said.join(dates, "document_number").select(F.col("document_number").alias("doc_number"), "effective_on", "publication_date", F.col("volume").alias("fr_volume"), "fr_page", "labels", "body")
-    table = O.version_table(log).join(versions.select("tree", "version").distinct(), ["tree", "version"], "right")
-    for name, rows in build.all_layers(versions, settings=settings, sxs=sxs, versions=table).items():
+    for name, rows in build.all_layers(versions, settings=settings, sxs=sxs, versions=numbers).items():
         sink.layer(name, rows if "version" in rows.columns else rows.withColumns({"version": F.substring_index("tree", "@", -1), "tree": F.substring_index("tree", "@", 1)}))
     sink.diffs(build.version_pairs_diff(versions))
 
@@ -85,6 +88,7 @@ def main(argv: list[str] | None = None) -> None:
     b.add_argument("--dates", required=True)
     b.add_argument("--out", required=True)
     b.add_argument("--checkpoint", action="store_true")
+    b.add_argument("--by-content", action="store_true", help="also keep the history by content: each body once, places with the versions they hold in")
     b.set_defaults(run=build_command)
     b.add_argument("--settings", action="append", help="JSON files, later ones over earlier ones")
     t = sub.add_parser("tree")

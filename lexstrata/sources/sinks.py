@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from html import escape
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +28,18 @@ class Sink:
     def regulation(self, nodes: DataFrame) -> str:
         return self._write(nodes, "regulation", "reg", "version")
 
+    def history(self, bodies: DataFrame, places: DataFrame, numbers: DataFrame) -> str:
+        """A history by content (see plans.history): bodies under body/, added to those that are there; places and the versions' numbers
+        under place/ and version/, which are small beside them and written anew. What is written grows with the changes."""
+        path = f"{self.root}/body"
+        try:
+            bodies = bodies.join(self.read(bodies.sparkSession, "body").select("node_hash"), "node_hash", "left_anti")
+        except AnalysisException:  # nothing there yet
+            pass
+        bodies.write.format(self.fmt).mode("append").save(path)
+        self._write(numbers.withColumn("reg", F.col("tree")), "version", "reg")
+        return self._write(places.withColumn("reg", F.col("tree")), "place", "reg")
+
     def layer(self, name: str, elements: DataFrame) -> str:
         return self._write(elements, f"layer/{name}", "version")
 

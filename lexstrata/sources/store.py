@@ -26,6 +26,25 @@ class Store:
     def versions(self, part: str) -> DataFrame:
         return self._table("regulation").where(F.col("reg").cast("string") == part).select(F.col("version").cast("string").alias("version")).distinct()
 
+    def as_of(self, part: str, version: str | None = None, date: str | None = None) -> DataFrame:
+        """The node table of one version of a history that is kept by content: of the version named, or of the last one in effect on a
+        date (ISO). Places that hold are found first, and only their bodies are read."""
+        from ..plans.history import joined, versions_of
+
+        numbers = self._table("version").where(F.col("reg").cast("string") == part).drop("reg")
+        if version is not None:
+            numbers = numbers.where(F.col("version") == version)
+        else:
+            until = numbers.where(F.col("effective_on").isNull() | (F.col("effective_on").cast("string") <= date))
+            numbers = until.orderBy(F.desc("version_no")).limit(1)
+        wanted = numbers.first()
+        places = self._table("place").where(F.col("reg").cast("string") == part).drop("reg")
+        if wanted is None:
+            return versions_of(joined(self._table("body"), places.where("false")), numbers)
+        no = wanted["version_no"]
+        places = places.where((F.col("from_no") <= no) & (F.col("to_no").isNull() | (F.col("to_no") > no)))
+        return versions_of(joined(self._table("body"), places), numbers)
+
     def layer(self, name: str, version: str) -> DataFrame:
         return self._table(f"layer/{name}").where(F.col("version").cast("string") == version)
 
