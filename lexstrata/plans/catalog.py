@@ -17,7 +17,7 @@ from ..operators import tree as T
 from ..operators import versions as V
 from ..operators.ranks import numbered
 from ..sources import readers
-from . import build
+from . import build, history
 from .star import change_log, nodes, part_nodes, segment_nodes, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -723,6 +723,51 @@ def candidate_match(spark, sf_dir):
     return J.match_with_fallback(c.where("key % 2 = 0"), found, "key", "weak", ["g"]).select("key", _known("found_key"), "how")
 
 
+# -- replay of whole documents ----------------------------------------------------------------------------------
+
+
+def _sold_trees(spark, sf_dir) -> DataFrame:
+    """Trees of nations with a section for each customer, which has paragraphs a and b."""
+    nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("string").alias("tree"), F.lit(0).alias("i"), F.array("tree").alias("label"), F.col("n_name").alias("text"))
+    c = table(spark, sf_dir, "customer").select(F.col("c_nationkey").cast("string").alias("tree"), F.col("c_custkey").cast("int").alias("i"), F.col("c_custkey").cast("string").alias("k"), F.col("c_mktsegment").alias("text"))
+    part = lambda m: c.select("tree", F.array(F.lit(0), "i", F.lit(m)).alias("path"), F.array("tree", "k", F.lit("ab"[m])).alias("label"), "text")
+    every = nation.select("tree", F.array(F.lit(0)).alias("path"), "label", "text").unionByName(c.select("tree", F.array(F.lit(0), "i").alias("path"), F.array("tree", "k").alias("label"), F.lit("").alias("text")))
+    return every.unionByName(part(0)).unionByName(part(1)).select("tree", "path", "label", F.array_join("label", "-").alias("label_id"), F.lit("regtext").alias("node_type"), F.lit(None).cast("string").alias("title"), "text", F.lit("").alias("tagged_text"))
+
+
+def _sold_changes(spark, sf_dir) -> DataFrame:
+    """A notice a year: every order sets the text of its customer's paragraph a; every eleventh removes paragraph b."""
+    o = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").cast("string").alias("tree")), "o_custkey")
+    gone, year = F.col("o_orderkey") % 11 == 0, F.year("o_orderdate").cast("string")
+    label = F.array("tree", F.col("o_custkey").cast("string"), F.when(gone, "b").otherwise("a"))
+    node = F.array(F.struct(F.array(F.lit(0)).alias("path"), label.alias("label"), F.array_join(label, "-").alias("label_id"), F.lit("regtext").alias("node_type"), F.lit(None).cast("string").alias("title"), F.concat_ws(" ", "o_orderpriority", "o_orderkey").alias("text"), F.lit("").alias("tagged_text")))
+    none = F.array().cast("array<string>")
+    return o.select("tree", year.alias("document_number"), F.concat(year, F.lit("-12-31")).alias("effective_on"), F.concat(year, F.lit("-12-01")).alias("publication_date"), F.col("o_orderkey").cast("int").alias("seq"), F.when(gone, "DELETE").otherwise("PUT").alias("action"), F.array_join(label, "-").alias("label_id"), F.when(~gone, "[text]").alias("field"), none.alias("destination"), none.alias("subpart"), F.when(~gone, node).alias("node"))
+
+
+@query("""with o as (select cast(c_nationkey as varchar) as tree, o_custkey, o_orderkey, year(o_orderdate) as y, o_orderpriority || ' ' || o_orderkey as text from orders join customer on c_custkey = o_custkey),
+v as (select distinct tree, y from o union select distinct cast(n_nationkey as varchar), 0 from nation where n_nationkey in (select c_nationkey from customer)),
+c as (select cast(c_nationkey as varchar) as tree, c_custkey, c_mktsegment from customer)
+select v.tree, case y when 0 then '' else cast(y as varchar) end as version, c.tree || '-' || c_custkey || '-a' as label_id, coalesce((select arg_max(o.text, (o.y, o.o_orderkey)) from o where o.o_custkey = c_custkey and o.y <= v.y and o.o_orderkey % 11 <> 0), c_mktsegment) as text from v join c using (tree)
+union all select v.tree, case y when 0 then '' else cast(y as varchar) end, c.tree || '-' || c_custkey || '-b', c_mktsegment from v join c using (tree) where not exists (select 1 from o where o.o_custkey = c_custkey and o.y <= v.y and o.o_orderkey % 11 = 0)""")
+def replay_versions(spark, sf_dir):
+    """The paragraphs of all versions of trees, replayed by section from a log of edits and removals."""
+    n = _sold_trees(spark, sf_dir)
+    return build.versions(n, _sold_changes(spark, sf_dir)).where("size(label) = 3").select("tree", "version", "label_id", "text")
+
+
+@query("""with o as (select o_custkey, o_orderkey, year(o_orderdate) as y, o_orderpriority || ' ' || o_orderkey as text from orders where year(o_orderdate) <= 1995), c as (select c_nationkey || '-' || c_custkey as label_id, c_custkey, c_mktsegment from customer)
+select label_id || '-a' as label_id, coalesce((select arg_max(o.text, (o.y, o.o_orderkey)) from o where o.o_custkey = c_custkey and o.o_orderkey % 11 <> 0), c_mktsegment) as text from c
+union all select label_id || '-b', c_mktsegment from c where not exists (select 1 from o where o.o_custkey = c_custkey and o.o_orderkey % 11 = 0)""")
+def history_as_of(spark, sf_dir):
+    """One version of all trees out of histories that are kept by content: bodies once, places with the versions they hold in."""
+    n, changes = _sold_trees(spark, sf_dir), _sold_changes(spark, sf_dir)
+    bodies, places = history.bodies_and_places(history.states(n, changes))
+    numbers = history.all_numbers(n, changes)
+    last = numbers.where("version_no = 0 or version <= '1995'").groupBy("tree").agg(F.max_by(F.struct("version", "version_no"), "version_no").alias("v")).select("tree", "v.*")
+    return history.versions_of(history.joined(bodies, places), last).where("size(label) = 3").select("label_id", "text")
+
+
 # -- kernels (no SQL equivalent; tested against golden results) --------------------------------------------------
 
 
