@@ -40,13 +40,17 @@ def run(name: str, nodes: DataFrame, **options) -> DataFrame:
     return LAYERS[name][0](nodes, **options)
 
 
+def node_hash():
+    """Of what layers read of a node: label, type, title and texts."""
+    return F.sha2(F.concat_ws("\x1f", "label_id", "node_type", F.coalesce("title", F.lit("")), "text", F.coalesce("tagged_text", F.lit(""))), 256)
+
+
 def run_versions(name: str, nodes: DataFrame, **options) -> DataFrame:
     """A layer over many versions (column version): own-text layers over distinct nodes only."""
     f, own = LAYERS[name]
     if not own:
         return f(nodes.withColumn("_of", F.col("tree").cast("string")).withColumn("tree", F.concat_ws("@", F.col("tree").cast("string"), F.col("version").cast("string"))), **options)
-    h = F.sha2(F.concat_ws("\x1f", "label_id", "node_type", F.coalesce("title", F.lit("")), "text", F.coalesce("tagged_text", F.lit(""))), 256)
-    hashed = nodes.withColumn("node_hash", h)
+    hashed = nodes.withColumn("node_hash", node_hash())
     once = hashed.dropDuplicates(["node_hash"]).drop("tree").withColumn("tree", F.col("node_hash"))
     found = f(once, **options).withColumnRenamed("tree", "node_hash").drop("label_id")
     return hashed.select("version", "tree", "label_id", "node_hash").join(found, "node_hash").drop("node_hash")

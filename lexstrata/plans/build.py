@@ -93,13 +93,13 @@ def layer_options(spark: SparkSession, settings: dict, sxs: DataFrame | None = N
     }
 
 
-def all_layers(nodes: DataFrame, names: list[str] | None = None, settings: dict | None = None, sxs: DataFrame | None = None, versions: DataFrame | None = None) -> dict[str, DataFrame]:
+def all_layers(nodes: DataFrame, names: list[str] | None = None, settings: dict | None = None, sxs: DataFrame | None = None, versions: DataFrame | None = None, run=L.run_versions) -> dict[str, DataFrame]:
     """Layers of all versions, by name, with the settings that concern them. analyses are there if sxs (the notices' section-by-section
     rows, see layers.analyses) is given. versions (see notices.version_table) says when each version takes effect: meta shows it,
-    and a version has the analyses of notices up to it."""
+    and a version has the analyses of notices up to it. run: layers.run_versions, or that of a LayerStore, which keeps what it computes."""
     options = layer_options(nodes.sparkSession, settings or {}, sxs, versions)
     wanted = ["meta", *(["analyses"] if sxs is not None else []), *(names or NAMES)]
-    return {n: L.run_versions(n, nodes, **options.get(n, {})) for n in wanted}
+    return {n: run(n, nodes, **options.get(n, {})) for n in wanted}
 
 
 def version_pairs_diff(nodes: DataFrame) -> DataFrame:

@@ -14,9 +14,11 @@ import argparse
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import layers as L
 from ..operators import notices as O
 from ..operators.versions import group_by_effective_date, merge_changes
 from ..sources import readers, sinks
+from ..sources.layer_store import LayerStore
 from . import build, history
 from .checkpoint import NoStages, Stages
 from .settings import layered
@@ -48,7 +50,7 @@ def build_command(spark: SparkSession, a: argparse.Namespace) -> None:
     sink.regulation(versions.withColumn("reg", F.col("tree")))
     said = build.notice_analyses(notices.join(dates.select("document_number", F.col("tree").alias("part"), "start_page"), "document_number"))
     sxs = said.join(dates, "document_number").select(F.col("document_number").alias("doc_number"), "effective_on", "publication_date", F.col("volume").alias("fr_volume"), "fr_page", "labels", "body")
-    for name, rows in build.all_layers(versions, settings=settings, sxs=sxs, versions=numbers).items():
+    for name, rows in build.all_layers(versions, settings=settings, sxs=sxs, versions=numbers, run=LayerStore(spark, a.keep_layers).run if a.keep_layers else L.run_versions).items():
         sink.layer(name, rows if "version" in rows.columns else rows.withColumns({"version": F.substring_index("tree", "@", -1), "tree": F.substring_index("tree", "@", 1)}))
     sink.diffs(build.version_pairs_diff(versions))
 
@@ -67,8 +69,6 @@ def tree_command(spark: SparkSession, a: argparse.Namespace) -> None:
 
 def layers_command(spark: SparkSession, a: argparse.Namespace) -> None:
     """Writes the named layers of regulations."""
-    from ..operators import layers as L
-
     nodes = readers.regulation_trees(readers.whole_files(spark, a.regulation)).withColumn("tree", F.element_at("label", 1))
     for name in a.layer:
         L.run(name, nodes).write.mode("overwrite").json(f"{a.out}/{name}")
@@ -88,6 +88,7 @@ def main(argv: list[str] | None = None) -> None:
     b.add_argument("--dates", required=True)
     b.add_argument("--out", required=True)
     b.add_argument("--checkpoint", action="store_true")
+    b.add_argument("--keep-layers", help="folder of layers that stay between builds: only what is new is computed")
     b.add_argument("--by-content", action="store_true", help="also keep the history by content: each body once, places with the versions they hold in")
     b.set_defaults(run=build_command)
     b.add_argument("--settings", action="append", help="JSON files, later ones over earlier ones")
