@@ -76,6 +76,89 @@ def uses(text: str, terms: Iterable[tuple[str, str]], excluded: Iterable[tuple[i
     return sorted(out, key=lambda x: (x[2], x[3]))
 
 
+_PIECE = re.compile(r"\w+|\W")
+
+
+class Scanner:
+    """All terms of a scope as one automaton over words: a trie of the words of terms and plurals, with links from each state to the
+    longest other beginning that ends there. One pass over a text finds every place of every term, however many there are."""
+
+    def __init__(self, terms: Iterable[tuple[str, str]]):
+        # of each phrase: the definition of the term that it is, if it is one, and of the terms whose plural it is
+        known: dict[str, tuple[list[str], list[str]]] = {}
+        for term, label in terms:
+            for phrase, i in ((term, 0), (plural(term), 1)):
+                if phrase:
+                    known.setdefault(phrase, ([], []))[i].append(label)
+        self.phrases = sorted(known, key=lambda t: (-len(t), t))
+        self.labels = [known[p] for p in self.phrases]
+        self.next: list[dict[str, int]] = [{}]
+        self.ends: list[list[int]] = [[]]
+        for i, phrase in enumerate(self.phrases):
+            state = 0
+            for piece in _PIECE.findall(phrase.lower()):
+                if piece not in self.next[state]:
+                    self.next[state][piece] = len(self.next)
+                    self.next.append({})
+                    self.ends.append([])
+                state = self.next[state][piece]
+            self.ends[state].append(i)
+        self.back = [0] * len(self.next)
+        queue = list(self.next[0].values())
+        for state in queue:  # breadth first: links lead to shorter beginnings, which are done
+            for piece, target in self.next[state].items():
+                self.back[target] = self._step(self.back[state], piece)
+                self.ends[target] = self.ends[target] + self.ends[self.back[target]]
+                queue.append(target)
+
+    def _step(self, state: int, piece: str) -> int:
+        while piece not in self.next[state]:
+            if not state:
+                return 0
+            state = self.back[state]
+        return self.next[state][piece]
+
+    def places(self, text: str) -> dict[int, list[tuple[int, int]]]:
+        """Start and end of every place of each phrase (by its number), in order; text is in lower case."""
+        out: dict[int, list[tuple[int, int]]] = {}
+        word = lambda at: 0 <= at < len(text) and (text[at].isalnum() or text[at] == "_")
+        state = 0
+        for m in _PIECE.finditer(text):
+            state = self._step(state, m[0])
+            for i in self.ends[state]:
+                a, b = m.end() - len(self.phrases[i].lower()), m.end()
+                if word(a) != word(a - 1) and word(b) != word(b - 1):
+                    out.setdefault(i, []).append((a, b))
+        return out
+
+    def uses(self, text: str, excluded: Iterable[tuple[int, int]] = (), without: str | None = None) -> list[tuple[str, str, int, int]]:
+        """What uses() gives for the terms whose definition is not `without`."""
+        text = text.lower()
+        within = bytearray(len(text) + 1)  # places at which no term may begin or end any more
+
+        def take(a: int, b: int) -> None:
+            within[max(a, 0) : b + 1] = b"\x01" * max(0, min(b, len(text)) + 1 - max(a, 0))
+
+        for a, b in excluded:
+            take(a, b)
+        out = []
+        for i, spans in sorted(self.places(text).items()):
+            own, of_plural = ([x for x in labels if x != without] for labels in self.labels[i])
+            label = own[-1] if own else of_plural[0] if of_plural else None
+            if label is None:
+                continue
+            last, found = 0, []
+            for a, b in spans:
+                if a >= last:
+                    last = b
+                    if not (within[a] or within[b]):
+                        found.append((a, b))
+            for a, b in found:
+                take(a, b)
+            out += [(self.phrases[i], label, a, b) for a, b in found]
+        return sorted(out, key=lambda x: (x[2], x[3]))
+
+
 _QUOTED = re.compile("[“”]([^“”]+)[“”]")
 _MEANS = re.compile(r"(?i)\b(?:means|refers?\s+to|has\s+the\s+(?:same\s+)?meaning)\b")
 _E = re.compile(r"<E[^>]*>\s*(.+?)\s*</E>", re.S)

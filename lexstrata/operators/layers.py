@@ -23,6 +23,9 @@ from .ranks import numbered
 from .text import all_spans
 from .tree import with_prefixes
 
+#: Nodes whose texts one task's automaton of terms reads.
+NODES = 4096
+
 LAYERS: dict[str, tuple[Callable[..., DataFrame], bool]] = {}
 
 
@@ -213,8 +216,8 @@ def terms(nodes: DataFrame, include: dict[str, list[tuple[str, str]]] | None = N
     """Uses of defined terms: tree, label_id, term, definition (label), start, stop.
 
     Definitions are found paragraph by paragraph with the texts above them; each holds for the scope that the paragraph
-    or the nearest one above it names, else for the whole tree. Usage joins scopes on label prefixes and keeps the
-    nearest definition of each term; texts are then matched longest term first. Terms are not linked where they are defined.
+    or the nearest one above it names, else for the whole tree. Scopes are joined on label prefixes; one automaton for all terms
+    of a node's scopes (the nearest definition of each) reads its text, longest term first. Terms are not linked where they are defined.
 
     include: of a part (or ALL), phrases that are terms though no paragraph says so, with the label that explains them.
     ignore: of a part (or ALL), phrases in which no term is seen. Both are settings, small enough to send along.
@@ -252,18 +255,40 @@ def terms(nodes: DataFrame, include: dict[str, list[tuple[str, str]]] | None = N
         listed = slim.sparkSession.createDataFrame(named, "part string, term string, definition string")
         extra = roots.join(F.broadcast(listed), (F.col("part") == F.col("label_id")) | (F.col("part") == "ALL")).select("tree", F.col("label_id").alias("scope_id"), "term", "definition", F.lit(0).alias("start"), F.lit(0).alias("stop"))
         defined = defined.unionByName(extra)
-    prefixes = with_prefixes(slim.select("tree", "label", "label_id"), name="scope_id")
-    best = prefixes.join(defined.select("tree", "scope_id", "term", "definition"), ["tree", "scope_id"]).groupBy("tree", "label_id", "term").agg(F.max_by("definition", "ancestor_depth").alias("definition"))
-    here = best.groupBy("tree", "label_id").agg(F.collect_list(F.struct("term", "definition")).alias("ts"))
-
-    def match(label_id, text, ts):
-        spared = [p for k in ("ALL", label_id.split("-")[0]) for p in ignore.get(k, ())]
-        own = [m.span() for p in spared for m in re.finditer(rf"(?i)\b{re.escape(p)}\b", text or "")]
-        own += [(m.start(), m.end()) for t in ts if t["definition"] == label_id for m in [re.search(rf"(?i)\b{re.escape(t['term'])}\b", text or "")] if m]
-        yield from T.uses(text or "", sorted((t["term"], t["definition"]) for t in ts if t["definition"] != label_id), own)
-
-    rows = slim.select("tree", "label_id", "text").join(here, ["tree", "label_id"]).withColumn("_id", F.col("label_id"))
-    return flat_map(rows, ["tree", "label_id"], ["_id", "text", "ts"], match, "term string, definition string, start int, stop int")
+    # Nodes of a tree that stand under the same scopes have the same terms: their chain of scopes is their key. Terms are gathered
+    # once for each chain, the nearest definition of each, and meet the chain's nodes in cells of bounded size.
+    scoped = defined.groupBy("tree", "scope_id", "term").agg(F.max("definition").alias("definition"))
+    under = with_prefixes(slim.select("tree", "label", "label_id"), name="scope_id").join(scoped.select("tree", "scope_id").distinct(), ["tree", "scope_id"])
+    chains = under.groupBy("tree", "label_id").agg(F.array_sort(F.collect_set(F.struct("ancestor_depth", "scope_id"))).alias("chain"))
+    sized = chains.groupBy("tree", "chain").agg(F.count(F.lit(1)).alias("n")).select("tree", "chain", F.ceil(F.col("n") / NODES).cast("int").alias("cells"))
+    every = sized.select("tree", "chain", F.explode("chain").alias("s")).select("tree", "chain", "s.*").join(scoped, ["tree", "scope_id"])
+    nearest = every.groupBy("tree", "chain", "term").agg(F.max_by("definition", "ancestor_depth").alias("definition"))
+    listed = nearest.groupBy("tree", "chain").agg(F.array_sort(F.collect_list(F.struct("term", "definition"))).alias("ts"))
+    key = lambda df: df.withColumn("chain", F.to_json("chain"))
+    sent = key(listed.join(sized, ["tree", "chain"]).withColumn("cell", F.explode(F.sequence(F.lit(0), F.col("cells") - 1))).drop("cells"))
+    asked = key(slim.select("tree", "label_id", "text").join(chains, ["tree", "label_id"]).join(sized, ["tree", "chain"]).withColumn("cell", F.pmod(F.xxhash64("label_id"), F.col("cells")).cast("int")).drop("cells"))
+    kind = nodes.schema["tree"].dataType.simpleString()
+
+    def match(left, right):
+        import pandas as pd
+
+        out = []
+        if len(left) and len(right):
+            ts = [(t["term"], t["definition"]) for t in right["ts"].iloc[0]]
+            scanner, of = T.Scanner(ts), {}
+            for term, definition in ts:
+                of.setdefault(definition, []).append(term)
+            for tree, label_id, text in left[["tree", "label_id", "text"]].itertuples(index=False, name=None):
+                text = text or ""
+                spared = [p for k in ("ALL", label_id.split("-")[0]) for p in ignore.get(k, ())]
+                own = [m.span() for p in spared for m in re.finditer(rf"(?i)\b{re.escape(p)}\b", text)]
+                own += [m.span() for t in of.get(label_id, ()) for m in [re.search(rf"(?i)\b{re.escape(t)}\b", text)] if m]
+                out += [(tree, label_id, *u) for u in scanner.uses(text, own, label_id)]
+        return pd.DataFrame(out, columns=["tree", "label_id", "term", "definition", "start", "stop"])
+
+    by = ["tree", "chain", "cell"]
+    sent = sent.select(*[F.col(c).alias(f"_{c}") for c in by], "ts")
+    return asked.groupBy(*by).cogroup(sent.groupBy(*[f"_{c}" for c in by])).applyInPandas(match, f"tree {kind}, label_id string, term string, definition string, start int, stop int")
 
 
 @layer("model-form-text", own_text=True)

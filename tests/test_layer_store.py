@@ -45,3 +45,31 @@ def test_options_count_by_value(spark):
     a, b = (spark.createDataFrame(rows, "gid string, url string") for rows in ([("1", "x"), ("2", "y")], [("2", "y"), ("1", "x")]))
     assert options_digest({"overrides": a}) == options_digest({"overrides": b}) != options_digest({"overrides": a.limit(1)})
     assert options_digest({"ignore": {}, "act": None}) == options_digest({})
+
+
+def test_scanner_finds_what_one_expression_a_term_finds():
+    import random
+
+    from lexstrata.functions import terms as T
+
+    rnd = random.Random(8)
+    words = ["act", "bank", "account", "open", "Bank", "x-y", "state's", "child", "children", "entity", "“q”", "e.g.", "banks", "İd", "a_b"]
+    for _ in range(1500):
+        terms = sorted({(" ".join(rnd.choices(words, k=rnd.randrange(1, 4))), f"1-{rnd.randrange(5)}") for _ in range(rnd.randrange(1, 9))})
+        terms = list({t: (t, d) for t, d in terms}.values())
+        text = "".join(rnd.choice([w, w.upper(), w + "s", T.plural(w)]) + rnd.choice([" ", " ", " ", ", ", "", "-"]) for w in rnd.choices(words, k=rnd.randrange(30)))
+        excluded = [(a, a + rnd.randrange(6)) for a in (rnd.randrange(max(1, len(text))) for _ in range(rnd.randrange(3)))]
+        without = rnd.choice([None, "1-0", "1-3"])
+        assert T.Scanner(terms).uses(text, excluded, without) == T.uses(text, [(t, d) for t, d in terms if d != without], excluded), (terms, text)
+
+
+def test_scanner_reads_a_text_once():
+    import time
+
+    from lexstrata.functions import terms as T
+
+    scanner = T.Scanner([(f"term number {i}", str(i)) for i in range(20_000)])
+    text = " ".join(f"of term number {i * 7 % 30_000}" for i in range(20_000))
+    began = time.thread_time()
+    assert len(scanner.uses(text)) == len({i for i in range(20_000) if i * 7 % 30_000 < 20_000})
+    assert time.thread_time() - began < 5
