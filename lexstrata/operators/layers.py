@@ -20,7 +20,6 @@ from ..functions.arrow import flat_map
 from .joins import known_targets, small
 from .notices import applies, notice_struct
 from .ranks import numbered
-from .text import all_spans
 from .tree import with_prefixes
 
 #: Nodes whose texts one task's automaton of terms reads.
@@ -142,13 +141,11 @@ def guessed_keyterms(nodes: DataFrame) -> DataFrame:
 @layer("formatting", own_text=True)
 def formatting(nodes: DataFrame) -> DataFrame:
     """Subscripts, dashes and fences: kind, found (as written), n occurrences."""
-    base = nodes.select("tree", "label_id", "text")
-    parts = [("subscript", r"([a-zA-Z0-9]+)_\{(\w+)\}"), ("dash", r"[^_\n]*_{5,}"), ("fence", r"(?s)```[^\n]*\n.*?\n```"), ("table", r"(?m)^\|.*\|$")]
-    out = None
-    for kind, pattern in parts:
-        one = all_spans(base, "text", pattern).groupBy("tree", "label_id", F.lit(kind).alias("kind"), "found").agg(F.count(F.lit(1)).alias("n"))
-        out = one if out is None else out.unionByName(one)
-    return out
+    # (?U): letters of all alphabets; (?d): lines end at \n alone
+    parts = [("subscript", r"(?U)([a-zA-Z0-9]+)_\{(\w+)\}"), ("dash", r"[^_\n]*_{5,}"), ("fence", r"(?s)```[^\n]*\n.*?\n```"), ("table", r"(?dm)^\|.*\|$")]
+    of = lambda kind: lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("found"))
+    found = F.concat(*[F.transform(F.regexp_extract_all("text", F.lit(pattern), F.lit(0)), of(kind)) for kind, pattern in parts])
+    return nodes.select("tree", "label_id", F.explode(found).alias("f")).groupBy("tree", "label_id", "f.kind", "f.found").agg(F.count(F.lit(1)).alias("n"))
 
 
 @layer("graphics", own_text=True)
