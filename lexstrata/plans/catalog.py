@@ -779,6 +779,18 @@ def text_diff_ops(spark, sf_dir):
     return kernels.text_diffs(pairs, ["conv_id", "turn"], "old", "new")
 
 
+@query("select conv_id, turn, text from (select *, lag(text) over (partition by conv_id order by turn) as old from conversations) where old is not null")
+def text_diff_applied(spark, sf_dir):
+    """Every turn's text, rebuilt from the one before and the differences between them."""
+    w = W.partitionBy("conv_id").orderBy("turn")
+    pairs = table(spark, sf_dir, "conversations").withColumn("old", F.lag("text").over(w)).where("old is not null").select("conv_id", "turn", "old", F.col("text").alias("new"))
+    ops = kernels.text_diffs(pairs, ["conv_id", "turn"], "old", "new")
+    # insertions stand before deletions that begin at the same place
+    spans = ops.groupBy("conv_id", "turn").agg(F.array_sort(F.collect_list(F.struct("start", F.coalesce("stop", "start").alias("end"), F.coalesce("text", F.lit("")).alias("value")))).alias("spans"))
+    met = pairs.select("conv_id", "turn", "old").join(spans, ["conv_id", "turn"], "left")
+    return met.select("conv_id", "turn", F.when(F.col("spans").isNull(), F.col("old")).otherwise(X.splice(F.col("old"), F.col("spans"))).alias("text"))
+
+
 @query()
 def terms_longest_first(spark, sf_dir):
     """Non-overlapping uses of terms in each document of any language, longer terms first."""

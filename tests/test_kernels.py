@@ -65,6 +65,51 @@ def test_depths():
     assert levels_of("i") == [0, 2] and marker_of(["1", "2", "a"], "regtext", "") == "(a)"
 
 
+def test_text_diff_of_small_edits():
+    old = "I have a string to change"
+    assert X.opcodes(old, "We have a string to change now") == [[("delete", 0, 1), ("insert", 0, "We")], ("insert", 25, " now")]
+    assert X.opcodes("I a string to change", old) == [("insert", 2, "have ")]
+    assert X.opcodes(old, "have a string to change") == [("delete", 0, 2)]
+    assert X.opcodes(old, "I have a change") == [("delete", 9, 19)]
+    assert X.opcodes("Howdy howdy. ", "Howdy howdy. More content") == [("insert", 13, "More content")]
+    assert X.opcodes("a b c", "x y z") == [[("delete", 0, 5), ("insert", 0, "x y z")]]
+
+
+def test_common_words_are_as_many_as_can_be(monkeypatch):
+    rnd = random.Random(5)
+
+    def longest(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            new = [0]
+            for j, y in enumerate(b):
+                new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
+            row = new
+        return row[-1]
+
+    for bits in (1 << 28, 40, 4):
+        monkeypatch.setattr(X, "BITS", bits)
+        for _ in range(300):
+            a, b = (rnd.choices("abcdef", k=rnd.randrange(25)) for _ in range(2))
+            places = X.common(a, b)
+            assert len(places) == longest(a, b) and all(a[i] == b[j] for i, j in places)
+            assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(places, places[1:], strict=False))
+
+
+def test_long_texts_are_compared_fast():
+    import time
+
+    rnd = random.Random(6)
+    words = [f"w{rnd.randrange(800)}" for _ in range(20_000)]
+    other = [w for w in words if rnd.random() > 0.1]
+    for _ in range(2000):
+        other.insert(rnd.randrange(len(other)), "new")
+    a, b = " ".join(words), " ".join(other)
+    began = time.thread_time()
+    ops = X.opcodes(a, b)
+    assert time.thread_time() - began < 4 and X.apply(a, ops) == b
+
+
 def test_text_diff():
     assert X.opcodes("This is the old text here", "This is new text here and") == [[("delete", 8, 15), ("insert", 8, "new")], ("insert", 25, " and")]
     assert X.words("a ![x y](z) b") == ["a", " ", "![x y](z)", " ", "b"]
