@@ -204,6 +204,8 @@ def identify(documents: DataFrame) -> DataFrame:
 
     lang_pred is a language of the labelled sample; `und` with score 0 where the text is null or has no letter (or no
     row is labelled). The score is the pooled probability of lang_pred. Only text and, in training, lang are read.
+    Texts are read whole, in windows; rows that repeat are labelled each, of equal probabilities the first language by name
+    wins. No documents give no rows.
     """
     x, labels = labelled_windows(documents, fold("doc_id", 3) != 1)
     net_var = send(documents.sparkSession, fit(x, labels))

@@ -224,5 +224,6 @@ def top_k(vectors: DataFrame, queries, k: int = 20) -> DataFrame:
 
 
 def search(embeddings: DataFrame, every: int = 20, k: int = 20) -> DataFrame:
-    """Top k of every vector whose vec_id is divisible by `every`. Repeated ids are candidates each; a row is never its own id's candidate."""
+    """Top k of every vector whose vec_id is divisible by `every`. Repeated ids are candidates each; a row is never its own id's candidate.
+    Other columns are not read; without usable vectors, queries or other candidates there are no rows."""
     return top_k(quantised(embeddings), F.expr(f"vec_id % {every} = 0"), k)

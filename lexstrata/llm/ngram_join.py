@@ -575,7 +575,7 @@ def ngram_components(documents: DataFrame, k: int = 5, num: int = 4, den: int =
     A document's set: its distinct k-word shingles, words being runs without ASCII whitespace, A-Z in lower case; with
     fewer words, the whole sequence as one. Two documents link when den * intersection >= num * union. Texts without
     words (null, empty, blank) are linked with nothing. Rows that repeat an id are compared like others; null ids are
-    never the smallest. Extra columns are not read.
+    never the smallest. Extra columns are not read. Texts are taken whole, however long; no documents give no rows.
     """
     tables = Tables(documents.sparkSession, "ngrams")
     return _labelled(*_rooted(documents, tables, k, num, den), tables)
@@ -598,7 +598,8 @@ def _with_entities(documents: DataFrame, k: int, size: str, entity: str) -> Data
 
 def keep_one_of_each(documents: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
     """documents without near copies: of every component, one row with the smallest doc_id stays. Rows are told apart by
-    their texts where ids are null or repeat. Texts without words are copies of nothing and stay."""
+    their texts where ids are null or repeat. Texts without words are copies of nothing and stay. Texts are taken whole; of no
+    documents none stay."""
     p = unused_prefix(documents)
     tables = Tables(documents.sparkSession, "ngrams")
     docs, rooted = _rooted(documents, tables, k, num, den)

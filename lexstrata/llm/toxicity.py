@@ -324,7 +324,8 @@ def classify(documents: DataFrame, labels: DataFrame, threshold: float = 0.7) ->
     """doc_id, held_out, score, predicted of every document, by a machine that never saw rows with crc32(doc_id) mod 3 = 1.
 
     Empty and null texts get the score of a text without any suspicious unit. Labels that are null or not 0/1 are not
-    learned; of a repeated id the smaller label counts. Only text is scored; extra columns are not read.
+    learned; of a repeated id the smaller label counts. Only text is scored; extra columns are not read. Texts are scored whole, some
+    at a time; rows that repeat are scored each. Without labels of both kinds all texts score alike; no documents give no rows.
     """
     out = score(documents, learn(documents, labels, fold("doc_id", 3) != 1))
     return out.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
