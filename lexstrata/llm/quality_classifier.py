@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -88,16 +89,27 @@ def train(documents: DataFrame, labels: DataFrame, keep=None, bits: int = BITS,
 
     rows = labelled_sample(documents, labels, "quality", F.lit(True) if keep is None else keep, sample)
     kind = documents.schema["doc_id"].dataType.simpleString()
-    rows = rows.mapInArrow(vectors, f"doc_id {kind}, label int, at binary, x binary").toArrow().sort_by("doc_id")
+    rows = rows.mapInArrow(vectors, f"doc_id {kind}, label int, at binary, x binary").toArrow()
+    ids, label, at, x = rows["doc_id"], rows["label"].to_pylist(), _views(rows["at"], np.int32), _views(rows["x"], np.float32)
     model = Ftrl((1 << bits) + 1)
-    data = [(np.frombuffer(a, np.int32), np.frombuffer(x, np.float32), y) for a, x, y in zip(*(rows[c].to_pylist() for c in ("at", "x", "label")), strict=True)]
-    order = np.random.default_rng(9)
+    order, by_id = np.random.default_rng(9), pc.sort_indices(ids).to_numpy()
     for _ in range(EPOCHS):
-        for i in order.permutation(len(data)):
-            model.learn(*data[i])
+        for i in by_id[order.permutation(len(by_id))]:
+            model.learn(at[i], x[i], label[i])
+    del rows, ids, at, x
+    pa.default_memory_pool().release_unused()  # the driver goes on without the sample
     return model.weights().astype(np.float32)
 
 
+def _views(column: pa.ChunkedArray, kind: type) -> list[np.ndarray]:
+    """The values of a binary column as arrays that lie where Arrow has them."""
+    out, size = [], np.dtype(kind).itemsize
+    for chunk in column.cast(pa.binary()).chunks:
+        ends = np.frombuffer(chunk.buffers()[1], np.int32)[chunk.offset : chunk.offset + len(chunk) + 1] if len(chunk) else ()
+        out += [np.frombuffer(chunk.buffers()[2], kind, (b - a) // size, a) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    return out
+
+
 def _probabilities(s, weights: np.ndarray) -> np.ndarray:
     """Probability of label 1 of each document of the slice: the sparse dot product of its shares and the weights."""
     doc, bucket = grams(s, (len(weights) - 1).bit_length() - 1)
