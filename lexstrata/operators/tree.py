@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from .ranks import carried, numbered
 
 SEP = "-"
+#: Children whose hashes one group holds; nodes with more of them are listed to all tasks up to this number.
+CELL, LISTED = 4096, 100_000
 
 
 def label_id(label: str | Column = "label") -> Column:
@@ -105,11 +107,28 @@ def table_of_contents(nodes: DataFrame) -> DataFrame:
     return numbered(kept, ["tree", "parent_id"], ["path"], "toc_pos").select("tree", F.col("parent_id").alias("label_id"), "toc_pos", "index", "title")
 
 
-def merkle(nodes: DataFrame, depths: int, fields: tuple[str, ...] = ("text", "title", "label_id")) -> DataFrame:
+def _celled(own: DataFrame, cell: int) -> DataFrame:
+    """own with _cell: -1, but the number of a child's cell among its parent's children where there are more than `cell` of them."""
+    rows = own.withColumn("_parent", label_id(F.slice("label", 1, F.greatest(F.size("label") - 1, F.lit(0)))))
+    crowded = rows.where("_depth > 1").groupBy("tree", "_parent").agg(F.count(F.lit(1)).alias("_n")).where(f"_n > {cell}").select("tree", "_parent")
+    n = crowded.limit(LISTED + 1).count()
+    if not n:
+        return rows.withColumn("_cell", F.lit(-1))
+    crowded = F.broadcast(crowded) if n <= LISTED else crowded
+    placed = numbered(rows.where("_depth > 1").join(crowded, ["tree", "_parent"], "left_semi"), ["tree", "_parent"], ["path"], "_nth")
+    placed = placed.withColumn("_cell", F.expr(f"cast((_nth - 1) div {cell} as int)")).drop("_nth")
+    return rows.join(crowded, ["tree", "_parent"], "left_anti").withColumn("_cell", F.lit(-1)).unionByName(placed)
+
+
+def merkle(nodes: DataFrame, depths: int, fields: tuple[str, ...] = ("text", "title", "label_id"), cell: int = CELL) -> DataFrame:
     """Adds node_hash (own fields) and subtree_hash (own hash and the children's subtree hashes, in order), bottom up: one aggregation a level.
 
-    A level is read by the result and by the level above; the exchange of its aggregation is planned once and reused."""
+    More than `cell` children of a node go by cells of so many in order: the hash of each cell stands for it in the node's, so
+    no group holds more than `cell` hashes and no node's row more than one for each cell. A level is read by the result and by
+    the level above; the exchange of its aggregation is planned once and reused. The path is unique in a tree."""
     own = nodes.withColumn("node_hash", F.sha2(F.concat_ws("\x1f", *[F.coalesce(F.col(f), F.lit("")) for f in fields]), 256)).withColumn("_depth", F.size("label"))
+    own = _celled(own, cell)
+    in_order = lambda at, h: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(at, h))), lambda x: x[h]), "")
     done, below = None, None
     for d in range(depths, 0, -1):
         level = own.where(F.col("_depth") == d).withColumn("_id", F.col("label_id"))
@@ -118,11 +137,13 @@ def merkle(nodes: DataFrame, depths: int, fields: tuple[str, ...] = ("text", "ti
         else:
             level = level.join(below, ["tree", "_id"], "left").withColumn("_below", F.coalesce("_below", F.lit("")))
         level = level.withColumn("subtree_hash", F.sha2(F.concat("node_hash", "_below"), 256))
-        up = level.where(F.size("label") > 1).withColumn("_id", label_id(F.slice("label", 1, F.size("label") - 1)))
-        below = up.groupBy("tree", "_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("path", "subtree_hash"))), lambda x: x["subtree_hash"]), "").alias("_below"))
+        up = level.where("_depth > 1").select("tree", F.col("_parent").alias("_id"), "_cell", "path", "subtree_hash")
+        below = up.groupBy("tree", "_id", "_cell").agg(in_order("path", "subtree_hash").alias("_h"))
+        below = below.withColumn("_h", F.when(F.col("_cell") < 0, F.col("_h")).otherwise(F.sha2("_h", 256)))
+        below = below.groupBy("tree", "_id").agg(in_order("_cell", "_h").alias("_below"))
         level = level.drop("_id", "_below")
         done = level if done is None else done.unionByName(level)
-    return done.drop("_depth")
+    return done.drop("_depth", "_parent", "_cell")
 
 
 def carry_forward(rows: DataFrame, header: Column, order: str = "path", name: str = "carried") -> DataFrame:

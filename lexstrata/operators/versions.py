@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .tree import with_prefixes
+from ..plans.checkpoint import shared_root
+from .tree import LISTED, SEP, with_prefixes
+
+#: What is compared of a node.
+FIELDS = ("text", "title")
 
 
 def group_by_effective_date(notices: DataFrame, date: str, published: str, number: str, final: Column | None = None) -> DataFrame:
@@ -102,21 +108,60 @@ def moved(old: DataFrame, new: DataFrame, key: str, parent: str) -> DataFrame:
 # -- trees ------------------------------------------------------------------------------------------------------
 
 
+def _met(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Rows of two node tables by label: _old and _new (subtree hashes), old/new text and title."""
+    a = old.select("tree", "label_id", F.col("subtree_hash").alias("_old"), *[F.col(f).alias(f"old_{f}") for f in FIELDS])
+    b = new.select("tree", "label_id", F.col("subtree_hash").alias("_new"), *[F.col(f).alias(f"new_{f}") for f in FIELDS])
+    return a.join(b, ["tree", "label_id"], "full_outer")
+
+
+def _differing(met: DataFrame) -> DataFrame:
+    differ = F.lit(False)
+    for f in FIELDS:
+        differ = differ | ~F.col(f"old_{f}").eqNullSafe(F.col(f"new_{f}"))
+    op = F.when(F.col("_old").isNull(), "added").when(F.col("_new").isNull(), "deleted").when(differ, "modified")
+    return met.where(~F.col("_old").eqNullSafe(F.col("_new"))).withColumn("op", op).where("op is not null").drop("_old", "_new")
+
+
 def tree_diff(old: DataFrame, new: DataFrame) -> DataFrame:
     """Differences of two node tables with subtree_hash (see merkle): tree, label_id, op, old/new text and title.
 
     Labels are joined once. What differs has a differing hash, and so has everything above it; where the hash is the same,
     nothing else is compared. A node that changed its parent but not its label is not a difference.
     """
-    fields = ["text", "title"]
-    a = old.select("tree", "label_id", F.col("subtree_hash").alias("_old"), *[F.col(f).alias(f"old_{f}") for f in fields])
-    b = new.select("tree", "label_id", F.col("subtree_hash").alias("_new"), *[F.col(f).alias(f"new_{f}") for f in fields])
-    met = a.join(b, ["tree", "label_id"], "full_outer").where(~F.col("_old").eqNullSafe(F.col("_new")))
-    differ = F.lit(False)
-    for f in fields:
-        differ = differ | ~F.col(f"old_{f}").eqNullSafe(F.col(f"new_{f}"))
-    op = F.when(F.col("_old").isNull(), "added").when(F.col("_new").isNull(), "deleted").when(differ, "modified")
-    return met.withColumn("op", op).where("op is not null").drop("_old", "_new")
+    return _differing(_met(old, new))
+
+
+def descended(old: DataFrame, new: DataFrame, root: str | None = None) -> DataFrame:
+    """The nodes that a descent from the roots meets, with both sides' hashes, texts and titles: the roots, and the children of every
+    node whose subtree hash differs or that only one side has. Every label's shorter label has to be a node of its tree.
+
+    A level is the rows of its depth whose parents are in the frontier, so rows met grow with the changes and their
+    siblings, not with the trees. Both tables are read once a level, so they should be stored tables, best in
+    parts by `level` (the label's length); a level is written (to root, or
+    the shared folder) and read by the next one. The descent ends with the first level that has no difference."""
+    spark, root = old.sparkSession, root or f"{shared_root(old.sparkSession)}/descent-{uuid.uuid4().hex[:12]}"
+    parent = F.array_join(F.slice("label", 1, F.size("label") - 1), SEP)
+    depth, frontier, whole = 1, None, None
+    while True:
+        a, b = (side.where((F.col("level") if "level" in side.columns else F.size("label")) == depth) for side in (old, new))
+        if frontier is not None:
+            a, b = (side.withColumn("_parent", parent).join(frontier, ["tree", "_parent"], "left_semi") for side in (a, b))
+        met = _met(a, b)
+        met.write.parquet(f"{root}/level={depth}")
+        met = spark.read.schema(met.schema).parquet(f"{root}/level={depth}")
+        whole = met if whole is None else whole.unionByName(met)
+        frontier = met.where("not (_old <=> _new)").select("tree", F.col("label_id").alias("_parent"))
+        n = frontier.limit(LISTED + 1).count()
+        if not n:
+            return whole
+        frontier = F.broadcast(frontier) if n <= LISTED else frontier
+        depth += 1
+
+
+def tree_diff_by_descent(old: DataFrame, new: DataFrame, root: str | None = None) -> DataFrame:
+    """tree_diff() of trees that are hierarchies (see descended()); equal subtrees are not joined. Empty tables have no differences."""
+    return _differing(descended(old, new, root))
 
 
 def replay_disjoint(nodes: DataFrame, changes: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,7 @@ from ..operators import versions as V
 from ..operators.ranks import numbered
 from ..sources import readers
 from . import build, history
+from .checkpoint import shared_root
 from .star import change_log, nodes, part_nodes, segment_nodes, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -137,6 +139,30 @@ def tree_diff(spark, sf_dir):
     return d.select("tree", "label_id", "op", "old_text", "new_text")
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """df as a table in the shared folder, in parts by depth, so that a level's rows are read without the others."""
+    path = f"{shared_root(df.sparkSession)}/{name}-{uuid.uuid4().hex[:12]}"
+    df.withColumn("level", F.size("label")).write.partitionBy("level").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+@query(f"""with {_N4}, o as (select * from order_ where path[3] % 7 <> 0),
+n as (select * replace (case when path[3] % 5 = 0 then text || '!' else text end as text) from order_ where path[3] % 11 <> 0),
+gone as (select label_id from customer_ where path[3] % 11 = 0), come as (select label_id from customer_ where path[3] % 7 = 0),
+a as (select tree, label_id, title, text from o union all select tree, label_id, title, text from ({_ALL3}) where label_id not in (select label_id from come)),
+b as (select tree, label_id, title, text from n union all select tree, label_id, title, text from ({_ALL3}) where label_id not in (select label_id from gone))
+select coalesce(a.tree, b.tree) as tree, label_id, case when a.tree is null then 'added' when b.tree is null then 'deleted' else 'modified' end as op, coalesce(a.text, '') as old_text, coalesce(b.text, '') as new_text
+from a full outer join b using (label_id) where a.tree is null or b.tree is null or a.text <> b.text or a.title <> b.title""")
+def tree_diff_descent(spark, sf_dir):
+    n = nodes(spark, sf_dir, 4)
+    customer, low = F.element_at("path", 3), F.col("depth") >= 3
+    old = n.where(~low | (customer % 7 != 0))
+    new = n.where(~low | (customer % 11 != 0)).withColumn("text", F.when((F.col("depth") == 4) & (customer % 5 == 0), F.concat("text", F.lit("!"))).otherwise(F.col("text")))
+    d = V.tree_diff_by_descent(_stored(T.merkle(old, 4), "old"), _stored(T.merkle(new, 4), "new"))
+    none = lambda c: F.coalesce(c, F.lit("")).alias(c)
+    return d.select("tree", "label_id", "op", none("old_text"), none("new_text"))
+
+
 @query(f"""with {_N3}, n as ({_ALL3} union all select tree, path, label_id, parent_id, depth, title, text from region_ where false),
 gone as (select label_id from nation_ where path[2] % 4 = 0), put as (select label_id from customer_ where path[3] % 7 = 0 and path[2] % 4 <> 0)
 select tree, label_id, case when label_id in (select label_id from put) then 'new ' || text else text end as text from n
