@@ -109,7 +109,7 @@ def table_of_contents(nodes: DataFrame) -> DataFrame:
 
 def _celled(own: DataFrame, cell: int) -> DataFrame:
     """own with _cell: -1, but the number of a child's cell among its parent's children where there are more than `cell` of them."""
-    rows = own.withColumn("_parent", label_id(F.slice("label", 1, F.greatest(F.size("label") - 1, F.lit(0)))))
+    rows = own.withColumn("_parent", F.coalesce(label_id(F.slice("label", 1, F.greatest(F.size("label") - 1, F.lit(0)))), F.lit("")))
     crowded = rows.where("_depth > 1").groupBy("tree", "_parent").agg(F.count(F.lit(1)).alias("_n")).where(f"_n > {cell}").select("tree", "_parent")
     n = crowded.limit(LISTED + 1).count()
     if not n:

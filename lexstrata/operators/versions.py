@@ -141,7 +141,7 @@ def descended(old: DataFrame, new: DataFrame, root: str | None = None) -> DataFr
     parts by `level` (the label's length); a level is written (to root, or
     the shared folder) and read by the next one. The descent ends with the first level that has no difference."""
     spark, root = old.sparkSession, root or f"{shared_root(old.sparkSession)}/descent-{uuid.uuid4().hex[:12]}"
-    parent = F.array_join(F.slice("label", 1, F.size("label") - 1), SEP)
+    parent = F.coalesce(F.array_join(F.slice("label", 1, F.size("label") - 1), SEP), F.lit(""))  # never null, so no filter is derived from it
     depth, frontier, whole = 1, None, None
     while True:
         a, b = (side.where((F.col("level") if "level" in side.columns else F.size("label")) == depth) for side in (old, new))
