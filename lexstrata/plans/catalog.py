@@ -155,7 +155,7 @@ select coalesce(a.tree, b.tree) as tree, label_id, case when a.tree is null then
 from a full outer join b using (label_id) where a.tree is null or b.tree is null or a.text <> b.text or a.title <> b.title""")
 def tree_diff_descent(spark, sf_dir):
     n = nodes(spark, sf_dir, 4)
-    customer, low = F.element_at("path", 3), F.col("depth") >= 3
+    customer, low = F.get("path", F.lit(2)), F.col("depth") >= 3  # null above customers
     old = n.where(~low | (customer % 7 != 0))
     new = n.where(~low | (customer % 11 != 0)).withColumn("text", F.when((F.col("depth") == 4) & (customer % 5 == 0), F.concat("text", F.lit("!"))).otherwise(F.col("text")))
     d = V.tree_diff_by_descent(_stored(T.merkle(old, 4), "old"), _stored(T.merkle(new, 4), "new"))
