@@ -120,12 +120,13 @@ def _celled(own: DataFrame, cell: int) -> DataFrame:
     return rows.join(crowded, ["tree", "_parent"], "left_anti").withColumn("_cell", F.lit(-1)).unionByName(placed)
 
 
-def merkle(nodes: DataFrame, depths: int, fields: tuple[str, ...] = ("text", "title", "label_id"), cell: int = CELL) -> DataFrame:
+def merkle(nodes: DataFrame, depths: int, fields: tuple[str, ...] = ("text", "title", "label_id"), cell: int = CELL, plain: bool = False) -> DataFrame:
     """Adds node_hash (own fields) and subtree_hash (own hash and the children's subtree hashes, in order), bottom up: one aggregation a level.
 
     More than `cell` children of a node go by cells of so many in order: the hash of each cell stands for it in the node's, so
-    no group holds more than `cell` hashes and no node's row more than one for each cell. A level is read by the result and by
-    the level above; the exchange of its aggregation is planned once and reused. The path is unique in a tree."""
+    no group holds more than `cell` hashes and no node's row more than one for each cell. plain: cells are put together as they are,
+    so the hash is that of all children's hashes whatever their number (a node's row then holds 64 bytes a child, 2 GB at most). A level
+    is read by the result and by the level above; the exchange of its aggregation is planned once and reused. The path is unique in a tree."""
     own = nodes.withColumn("node_hash", F.sha2(F.concat_ws("\x1f", *[F.coalesce(F.col(f), F.lit("")) for f in fields]), 256)).withColumn("_depth", F.size("label"))
     own = _celled(own, cell)
     in_order = lambda at, h: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(at, h))), lambda x: x[h]), "")
@@ -139,7 +140,8 @@ def merkle(nodes: DataFrame, depths: int, fields: tuple[str, ...] = ("text", "ti
         level = level.withColumn("subtree_hash", F.sha2(F.concat("node_hash", "_below"), 256))
         up = level.where("_depth > 1").select("tree", F.col("_parent").alias("_id"), "_cell", "path", "subtree_hash")
         below = up.groupBy("tree", "_id", "_cell").agg(in_order("path", "subtree_hash").alias("_h"))
-        below = below.withColumn("_h", F.when(F.col("_cell") < 0, F.col("_h")).otherwise(F.sha2("_h", 256)))
+        if not plain:
+            below = below.withColumn("_h", F.when(F.col("_cell") < 0, F.col("_h")).otherwise(F.sha2("_h", 256)))
         below = below.groupBy("tree", "_id").agg(in_order("_cell", "_h").alias("_below"))
         level = level.drop("_id", "_below")
         done = level if done is None else done.unionByName(level)

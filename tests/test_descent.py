@@ -46,6 +46,29 @@ def test_children_beyond_a_cell(spark):
         assert got.count() == nodes.count() and "_cell" not in got.columns
 
 
+def test_plain_hashes_do_not_depend_on_cells(spark):
+    """As SQL has them: of all children's hashes in order, however many there are."""
+    nodes = wide(spark, 23, 3)
+    want = by_hand(nodes.collect(), 10**9)
+    for cell in (4, 4096):
+        assert {r["label_id"]: r["subtree_hash"] for r in T.merkle(nodes, 3, cell=cell, plain=True).collect()} == want
+
+
+def test_query_equals_sql_for_more_children_than_a_cell(spark, tmp_path):
+    import duckdb
+
+    from lexstrata.plans import catalog
+
+    c = duckdb.connect()
+    made = {"region": "select 0 as r_regionkey, 'R' as r_name", "nation": "select range::int as n_nationkey, 'N' || range as n_name, 0 as n_regionkey from range(2)",
+        "customer": "select range as c_custkey, 'C' || range as c_name, (range // 4500)::int as c_nationkey, 'M' as c_mktsegment from range(9000)"}
+    for name, sql in made.items():
+        c.sql(f"copy ({sql}) to '{tmp_path}/{name}.parquet'")
+        c.sql(f"create view {name} as select * from '{tmp_path}/{name}.parquet'")
+    want = {tuple(r) for r in c.sql(catalog.SQL["tree_merkle"]).fetchall()}
+    assert {tuple(r) for r in catalog.QUERIES["tree_merkle"](spark, str(tmp_path)).collect()} == want
+
+
 def test_no_group_holds_more_than_a_cell(spark):
     """Of a node with many children, what is gathered in one row stays within the cell."""
     nodes = wide(spark, 500, 1)
