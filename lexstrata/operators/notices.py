@@ -5,17 +5,20 @@ A notice's place in time is (effective_on, publication_date). Dates are ISO stri
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import notices as N
 from ..functions.arrow import flat_map
-from .joins import range_join, small
-from .versions import latest_change
+from ..plans.checkpoint import shared_root
 
 #: Pages of a bucket that citations meet notices in.
 PAGES = 64
+#: Cited pages that are sent to all tasks; more are shuffled.
+SENT = 400_000
 TIME = ("effective_on", "publication_date")
 
 
@@ -34,22 +37,37 @@ def delay_citations(notices: DataFrame) -> DataFrame:
     return flat_map(rules, ["document_number", "publication_date"], ["dates"], read, "sentence int, citation int, volume int, page int, changed_to string")
 
 
+def last_said(notices: DataFrame) -> DataFrame:
+    """The last that is said of each cited page: volume, page, said (published, by, sentence, citation, changed_to; in this order)."""
+    said = F.struct(F.col("publication_date").alias("published"), F.col("document_number").alias("by"), "sentence", "citation", "changed_to")
+    return delay_citations(notices).groupBy("volume", "page").agg(F.max(said).alias("said"))
+
+
 def delayed(notices: DataFrame, pages: int = PAGES) -> DataFrame:
     """notices with the effective dates that later rules give them: of several, the one published last (then the larger number,
     then the later sentence). A notice is meant if a cited page of its volume lies within its pages, ends included.
 
     notices: as for delay_citations, with volume, start_page, end_page and effective_on; all columns stay. A delay sets a date and
     reads none, so the order in which delays apply is the order of publication, whatever they do to one another. Notices
-    without dates get one if they are named. Citations meet notices by buckets of pages; a page that no notice holds and notices
-    without pages change nothing.
+    without dates get one if they are named. A page that no notice holds and notices without pages change nothing.
+
+    Of what is said of a page only the last counts, so citations are brought down to one a page first, and these to arrays by
+    buckets of pages; a notice meets the buckets that it touches and takes the last of those within its pages. So there is one row for
+    each notice and bucket, however many citations and notices share a page.
     """
     kind = notices.schema["effective_on"].dataType
-    cited = delay_citations(notices).withColumnsRenamed({"document_number": "_by", "publication_date": "_published"})
+    best = last_said(notices)
+    path = f"{shared_root(notices.sparkSession)}/delays-{uuid.uuid4().hex[:12]}"
+    best.write.parquet(path)
+    best = notices.sparkSession.read.schema(best.schema).parquet(path)
+    cells = best.groupBy("volume", F.floor(F.col("page") / pages).cast("long").alias("_b")).agg(F.collect_list(F.struct("page", "said")).alias("_cell"))
     held = notices.where("volume is not null and start_page <= end_page").select("document_number", F.col("volume").cast("int").alias("volume"), "start_page", "end_page")
-    met = range_join(cited, held, ["volume"], "page", "start_page", "end_page", pages)
-    last = latest_change(met, ["document_number"], "changed_to", ["_published", "_by", "sentence", "citation"])
-    last = last.select(F.col("document_number").alias("_number"), F.col("changed_to").cast(kind).alias("_to"))
-    out = notices.join(small(last), F.col("document_number") == F.col("_number"), "left")
+    touched = held.withColumn("_b", F.explode(F.sequence(F.floor(F.col("start_page") / pages).cast("long"), F.floor(F.col("end_page") / pages).cast("long"))))
+    met = touched.join(F.broadcast(cells) if best.count() <= SENT else cells, ["volume", "_b"])
+    inside = F.filter("_cell", lambda x: x["page"].between(F.col("start_page"), F.col("end_page")))
+    met = met.select("document_number", F.array_max(F.transform(inside, lambda x: x["said"])).alias("said")).where("said is not null")
+    last = met.groupBy(F.col("document_number").alias("_number")).agg(F.max("said").alias("said")).select("_number", F.col("said.changed_to").cast(kind).alias("_to"))
+    out = notices.join(last, F.col("document_number") == F.col("_number"), "left")
     return out.withColumn("effective_on", F.coalesce("_to", "effective_on")).select(*notices.columns)
 
 

@@ -48,6 +48,15 @@ def test_delays_agree_with_one_after_the_other(spark):
     assert sorted((r["document_number"], r["effective_on"]) for r in got.collect()) == sorted((r["document_number"], r["effective_on"]) for r in serial)
 
 
+def test_notices_meet_one_row_of_a_page_however_often_it_is_cited(spark):
+    """400 rules that cite a page which 400 notices hold: 160,000 pairs of which none is made."""
+    rows = [(f"r{i:03}", "Rule", f"2001-{i % 12 + 1:02}-01", "2001-06-01", None, None, None, f"The effective date of 12 FR 501 is delayed until March {i % 28 + 1}, 2003") for i in range(400)]
+    rows += [(f"n{i:03}", "Notice", "2000-01-01", "2000-02-01", 12, 501 - i % 90, 501 + i % 70, None) for i in range(400)]
+    df = spark.createDataFrame(rows, FIELDS)
+    assert [(r["volume"], r["page"], r["said"]["by"]) for r in O.last_said(df).collect()] == [(12, 501, "r395")]
+    assert {r["effective_on"] for r in O.delayed(df).where("type = 'Notice'").collect()} == {f"2003-03-{395 % 28 + 1:02}"}
+
+
 def test_words_after_delayed_are_no_notices():
     assert N.delays("The effective date of 12 FR 501 is delayed, as 13 FR 7 was delayed, until May 1, 2003") == ([(12, 501)], "2003-05-01")
     assert N.delays("It was delayed. The effective date of 12 FR 501 is May 1, 2003") == ([], None)
