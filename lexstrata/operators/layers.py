@@ -77,7 +77,9 @@ def internal_citations(nodes: DataFrame, title: str | None = None) -> DataFrame:
             a, b = c.start + len(raw) - len(raw.lstrip()), c.end - len(raw) + len(raw.rstrip())
             yield a, b, "-".join(c.label.parts())
 
-    found = flat_map(nodes, ["tree", "label_id"], ["text", "label", "node_type"], find, "start int, stop int, cited string")
+    # A table may be one file with one row group, which would be one task; reading a text costs more than moving it.
+    spread = nodes.select("tree", "label_id", "text", "label", "node_type").repartition(4 * nodes.sparkSession.sparkContext.defaultParallelism)
+    found = flat_map(spread, ["tree", "label_id"], ["text", "label", "node_type"], find, "start int, stop int, cited string")
     return known_targets(found, nodes, "cited").select("tree", "label_id", "start", "stop", "cited")
 
 
