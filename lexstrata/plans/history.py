@@ -12,10 +12,13 @@ rows of a history grow with the changes and not with the number of versions.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.arrow import flat_map
 from ..functions.model import Node, from_rows, to_rows
 from ..functions.replay import Change, replay
 from ..operators.joins import small
@@ -108,7 +111,6 @@ def states(nodes: DataFrame, changes: DataFrame) -> DataFrame:
     a unit, the rows of that unit have paths below its place. A row holds from version from_no on and before version to_no
     (null: still). One task has a unit with its changes, or a skeleton with the units that are tied together.
     """
-    kind = nodes.schema["tree"].dataType.simpleString()
     numbers = small(version_table(changes).where("version_no > 0").select("tree", F.col("version").alias("_version"), "version_no"))
     log = changes.where("effective_on is not null").withColumn("_version", F.col("document_number").cast("string")).join(numbers, ["tree", "_version"])
     free = independent(nodes, changes).withColumn("_free", F.lit(True))
@@ -120,31 +122,30 @@ def states(nodes: DataFrame, changes: DataFrame) -> DataFrame:
     wanted = ["tree", "unit", "version_no", "seq", "action", "label_id", "field", "destination", "subpart", "node"]
     told = log.withColumn("unit", unit_of(label)).join(free, ["tree", "unit"], "left").withColumn("unit", F.when(F.col("_free"), F.col("unit")).otherwise(F.lit(CORE))).select(*wanted)
 
-    def fold(left, right):
-        import pandas as pd
-
-        out = []
-        if len(left):
-            key, unit = left["tree"].iloc[0], left["unit"].iloc[0]
-            given = [(list(r[0]), list(r[1]), *r[2:]) for r in left[list(COLUMNS)].itertuples(index=False, name=None)]
-            if unit:
-                top = min(given, key=lambda r: len(r[0]))
-                depth = len(top[0])
-                root = Node("", [top[1][0]], "regtext")
-                root.children = [from_rows([(r[0][depth - 1 :], *r[1:]) for r in given])]
-            else:
-                root = from_rows(given)
-            right = right.sort_values(["version_no", "seq"], kind="stable") if len(right) else right
-            log = (
-                (int(no), [Change(r.action, r.label_id, _node(r.node), r.field, tuple(r.destination) if r.destination is not None else (), tuple(r.subpart) if r.subpart is not None else ()) for r in group.itertuples()])
-                for no, group in (right.groupby("version_no", sort=True) if len(right) else ())
-            )
-            stubs = set(left.loc[left["_stub"], "label_id"])
-            out = [(key, unit, r[0], list(r[1]), list(r[2]), *r[3:]) for r in _replayed(root, log, 2 if unit else 0, stubs)]
-        return pd.DataFrame(out, columns=["tree", *(c.split()[0] for c in _STATE.split(", "))], dtype=object)
-
-    both = own.unionByName(core)
-    return both.groupBy("tree", "unit").cogroup(told.groupBy("tree", "unit")).applyInPandas(fold, f"tree {kind}, {_STATE}")
+    def fold(unit, rows, log):
+        given = [tuple(r[c] for c in COLUMNS) for r in rows]
+        if unit:
+            top = min(given, key=lambda r: len(r[0]))
+            depth = len(top[0])
+            root = Node("", [top[1][0]], "regtext")
+            root.children = [from_rows([(r[0][depth - 1 :], *r[1:]) for r in given])]
+        else:
+            root = from_rows(given)
+        ordered = sorted(log or (), key=lambda r: (r["version_no"], r["seq"] is None, r["seq"] or 0))
+        notices = (
+            (no, [Change(r["action"], r["label_id"], _node(r["node"]), r["field"], tuple(r["destination"] or ()), tuple(r["subpart"] or ())) for r in group])
+            for no, group in itertools.groupby(ordered, key=lambda r: r["version_no"])
+        )
+        return _replayed(root, notices, 2 if unit else 0, {r["label_id"] for r in rows if r["_stub"]})
+
+    # A unit with its changes is one row: many small units go in one batch, so that none costs a group of its own. Replay costs more
+    # than the bytes of its input tell, so the number of tasks is given.
+    spark = nodes.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    both = own.unionByName(core).repartition(tasks, "tree", "unit").groupBy("tree", "unit").agg(F.collect_list(F.struct(*COLUMNS, "_stub")).alias("_rows"))
+    logs = told.repartition(tasks, "tree", "unit").groupBy("tree", "unit").agg(F.collect_list(F.struct(*wanted[2:])).alias("_log"))
+    met = both.join(logs, ["tree", "unit"], "left").withColumn("_unit", F.col("unit"))
+    return flat_map(met, ["tree", "unit"], ["_unit", "_rows", "_log"], fold, _STATE.removeprefix("unit string, "))
 
 
 def versions_of(history: DataFrame, numbers: DataFrame) -> DataFrame:

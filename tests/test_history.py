@@ -108,6 +108,25 @@ def test_units_replayed_apart_give_the_same_versions(logs):
     assert got == sorted((t, v, tuple(p), tuple(x), i, k, title or "", text, tagged) for t, v, p, x, i, k, title, text, tagged in want)
 
 
+def test_units_share_batches(logs):
+    """A group of its own in Python costs more than a small unit's replay: units are rows of batches."""
+    nodes, changes, _ = logs
+    plan = H.states(nodes, changes)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "CoGroups" not in plan
+
+
+def test_copies_are_as_deep_as_deepcopy():
+    import copy
+
+    from lexstrata.functions import replay as R
+
+    root = tree("5", random.Random(1))
+    twin = R._copied(root)
+    assert twin == copy.deepcopy(root) and not {id(n) for n in root.walk()} & {id(n) for n in twin.walk()}
+    twin.children[0].label.append("x"), twin.children[0].children.pop(), twin.children[1].child_labels.append("y")
+    assert root == tree("5", random.Random(1))
+
+
 def test_what_stays_within_a_unit_is_a_task_of_its_own(logs):
     nodes, changes, _ = logs
     free = H.independent(nodes, changes).groupBy("tree").count().collect()
