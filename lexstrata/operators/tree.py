@@ -7,9 +7,12 @@ A node table has `tree` (which tree), `path` (array; order by it is pre-order),
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.checkpoint import shared_root
 from .ranks import carried, numbered
 
 SEP = "-"
@@ -111,6 +114,9 @@ def _celled(own: DataFrame, cell: int) -> DataFrame:
     """own with _cell: -1, but the number of a child's cell among its parent's children where there are more than `cell` of them."""
     rows = own.withColumn("_parent", F.coalesce(label_id(F.slice("label", 1, F.greatest(F.size("label") - 1, F.lit(0)))), F.lit("")))
     crowded = rows.where("_depth > 1").groupBy("tree", "_parent").agg(F.count(F.lit(1)).alias("_n")).where(f"_n > {cell}").select("tree", "_parent")
+    path = f"{shared_root(own.sparkSession)}/crowded-{uuid.uuid4().hex[:12]}"
+    crowded.write.parquet(path)  # read three times below, and counting is a pass over all rows
+    crowded = own.sparkSession.read.schema(crowded.schema).parquet(path)
     n = crowded.limit(LISTED + 1).count()
     if not n:
         return rows.withColumn("_cell", F.lit(-1))
@@ -120,32 +126,41 @@ def _celled(own: DataFrame, cell: int) -> DataFrame:
     return rows.join(crowded, ["tree", "_parent"], "left_anti").withColumn("_cell", F.lit(-1)).unionByName(placed)
 
 
-def merkle(nodes: DataFrame, depths: int, fields: tuple[str, ...] = ("text", "title", "label_id"), cell: int = CELL, plain: bool = False) -> DataFrame:
+def merkle(nodes: DataFrame, depths: int, fields: tuple[str, ...] = ("text", "title", "label_id"), cell: int = CELL, plain: bool = False, root: str | None = None) -> DataFrame:
     """Adds node_hash (own fields) and subtree_hash (own hash and the children's subtree hashes, in order), bottom up: one aggregation a level.
 
     More than `cell` children of a node go by cells of so many in order: the hash of each cell stands for it in the node's, so
     no group holds more than `cell` hashes and no node's row more than one for each cell. plain: cells are put together as they are,
-    so the hash is that of all children's hashes whatever their number (a node's row then holds 64 bytes a child, 2 GB at most). A level
-    is read by the result and by the level above; the exchange of its aggregation is planned once and reused. The path is unique in a tree."""
-    own = nodes.withColumn("node_hash", F.sha2(F.concat_ws("\x1f", *[F.coalesce(F.col(f), F.lit("")) for f in fields]), 256)).withColumn("_depth", F.size("label"))
-    own = _celled(own, cell)
+    so the hash is that of all children's hashes whatever their number (a node's row then holds 64 bytes a child, 2 GB at most).
+    The path is unique in a tree.
+
+    A level is a table, written (to root, or the shared folder) with its hashes and read by the level above and by the result, so
+    nodes are computed once, not once for every reader. The label's length tells the level; nodes that have it as `level`, best a constant
+    of each branch of a union, are not computed for other levels, and the result is read level by level (see versions.descended)."""
+    spark, root = nodes.sparkSession, root or f"{shared_root(nodes.sparkSession)}/merkle-{uuid.uuid4().hex[:12]}"
+    at = F.col("level") if "level" in nodes.columns else F.size("label")
+    node_hash = F.sha2(F.concat_ws("\x1f", *[F.coalesce(F.col(f), F.lit("")) for f in fields]), 256)
     in_order = lambda at, h: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(at, h))), lambda x: x[h]), "")
-    done, below = None, None
+    below = None
     for d in range(depths, 0, -1):
-        level = own.where(F.col("_depth") == d).withColumn("_id", F.col("label_id"))
+        level = nodes.where(at == d).drop("level")
         if below is None:
             level = level.withColumn("_below", F.lit(""))
         else:
-            level = level.join(below, ["tree", "_id"], "left").withColumn("_below", F.coalesce("_below", F.lit("")))
-        level = level.withColumn("subtree_hash", F.sha2(F.concat("node_hash", "_below"), 256))
-        up = level.where("_depth > 1").select("tree", F.col("_parent").alias("_id"), "_cell", "path", "subtree_hash")
-        below = up.groupBy("tree", "_id", "_cell").agg(in_order("path", "subtree_hash").alias("_h"))
+            level = level.join(below, ["tree", "label_id"], "left").withColumn("_below", F.coalesce("_below", F.lit("")))
+        level = level.withColumn("subtree_hash", F.sha2(F.concat(node_hash, "_below"), 256)).select(*[c for c in nodes.columns if c != "level"], "subtree_hash")
+        level.write.parquet(f"{root}/level={d}")
+        if d == 1:
+            break
+        up = spark.read.schema(level.schema).parquet(f"{root}/level={d}").select("tree", "label", "path", "subtree_hash", F.lit(d).alias("_depth"))
+        up = _celled(up, cell)
+        below = up.where("_cell < 0").groupBy("tree", "_parent").agg(in_order("path", "subtree_hash").alias("_below"))
+        cells = up.where("_cell >= 0").groupBy("tree", "_parent", "_cell").agg(in_order("path", "subtree_hash").alias("_h"))
         if not plain:
-            below = below.withColumn("_h", F.when(F.col("_cell") < 0, F.col("_h")).otherwise(F.sha2("_h", 256)))
-        below = below.groupBy("tree", "_id").agg(in_order("_cell", "_h").alias("_below"))
-        level = level.drop("_id", "_below")
-        done = level if done is None else done.unionByName(level)
-    return done.drop("_depth", "_parent", "_cell")
+            cells = cells.withColumn("_h", F.sha2("_h", 256))
+        below = below.unionByName(cells.groupBy("tree", "_parent").agg(in_order("_cell", "_h").alias("_below"))).withColumnRenamed("_parent", "label_id")
+    done = spark.read.schema(level.withColumn("level", F.lit(1)).schema).parquet(root)
+    return done.withColumn("node_hash", node_hash).select(*nodes.columns, "node_hash", "subtree_hash")
 
 
 def carry_forward(rows: DataFrame, header: Column, order: str = "path", name: str = "carried") -> DataFrame:

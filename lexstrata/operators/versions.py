@@ -139,13 +139,15 @@ def descended(old: DataFrame, new: DataFrame, root: str | None = None) -> DataFr
     A level is the rows of its depth whose parents are in the frontier, so rows met grow with the changes and their
     siblings, not with the trees. Both tables are read once a level, so they should be stored tables, best in
     parts by `level` (the label's length); a level is written (to root, or
-    the shared folder) and read by the next one. The descent ends with the first level that has no difference."""
+    the shared folder) and read by the next one. The descent ends with the first level that has no difference, or no nodes."""
     spark, root = old.sparkSession, root or f"{shared_root(old.sparkSession)}/descent-{uuid.uuid4().hex[:12]}"
     parent = F.coalesce(F.array_join(F.slice("label", 1, F.size("label") - 1), SEP), F.lit(""))  # never null, so no filter is derived from it
     depth, frontier, whole = 1, None, None
     while True:
         a, b = (side.where((F.col("level") if "level" in side.columns else F.size("label")) == depth) for side in (old, new))
         if frontier is not None:
+            if a.isEmpty() and b.isEmpty():
+                return whole
             a, b = (side.withColumn("_parent", parent).join(frontier, ["tree", "_parent"], "left_semi") for side in (a, b))
         met = _met(a, b)
         met.write.parquet(f"{root}/level={depth}")
@@ -155,7 +157,7 @@ def descended(old: DataFrame, new: DataFrame, root: str | None = None) -> DataFr
         n = frontier.limit(LISTED + 1).count()
         if not n:
             return whole
-        frontier = F.broadcast(frontier) if n <= LISTED else frontier
+        frontier = F.broadcast(frontier) if n <= LISTED else frontier.hint("shuffle_hash")  # the trees' rows are not sorted for it
         depth += 1
 
 

@@ -28,9 +28,9 @@ def nodes(spark: SparkSession, sf_dir: str, depth: int = 3) -> DataFrame:
     if depth > 3:
         orders = t("orders").join(customer, F.col("o_custkey") == F.col("c_custkey"))
         levels.append(orders.select(F.array(key("n_regionkey"), key("n_nationkey"), key("c_custkey"), key("o_orderkey")).alias("path"), F.col("o_orderpriority").alias("title"), F.concat_ws(" ", "o_orderpriority", "o_orderstatus").alias("text")))
-    out = reduce(DataFrame.unionByName, levels[:depth])
+    out = reduce(DataFrame.unionByName, [level.withColumn("depth", F.lit(d)) for d, level in enumerate(levels[:depth], 1)])  # a constant, so that a level is read without the others
     label = F.transform("path", lambda x: x.cast("string"))
-    return out.select(F.col("path")[0].alias("tree"), "path", label.alias("label"), label_id(label).alias("label_id"), F.size("path").alias("depth"), "title", "text")
+    return out.select(F.col("path")[0].alias("tree"), "path", label.alias("label"), label_id(label).alias("label_id"), "depth", "title", "text")
 
 
 def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -76,6 +76,22 @@ def test_no_group_holds_more_than_a_cell(spark):
     assert len(sizes) == 32 and max(r["count"] for r in sizes) <= 16 and sum(r["count"] for r in sizes) == 500
 
 
+def test_nodes_are_computed_once(spark):
+    """However many read a level: the count of its children, their places, the level above and the result."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    nodes = wide(spark, 23, 3)
+    branches = [nodes.where(F.size("label") == d).mapInArrow(look, SCHEMA).withColumn("level", F.lit(d)) for d in (1, 2, 3)]
+    got = T.merkle(branches[0].unionByName(branches[1]).unionByName(branches[2]), 3, cell=4)
+    assert {r["label_id"]: r["subtree_hash"] for r in got.collect()} == by_hand(nodes.collect(), 4)
+    assert seen.value == 1 + 23 + 23 * 3
+
+
 def as_set(d):
     return {(r["tree"], r["label_id"], r["op"], r["old_text"], r["new_text"]) for r in d.collect()}
 
@@ -103,3 +119,9 @@ def test_rows_met_grow_with_changes(spark):
     two = T.merkle(wide(spark, 60, 20, changed={("1", "7", "2"), ("1", "8", "2")}), 3)
     assert V.descended(old, two).count() == 1 + 60 + 40
     old.unpersist()
+
+
+def test_no_level_is_met_below_the_leaves(spark, tmp_path):
+    old, new = (T.merkle(wide(spark, 6, 2, changed=changed), 3) for changed in ((), {("1", "4", "1")}))
+    assert V.descended(old, new, str(tmp_path)).count() == 1 + 6 + 2
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["level=1", "level=2", "level=3"]
